@@ -1,0 +1 @@
+"""The operator inventory has no streaming operators, so none are built."""
