@@ -29,9 +29,16 @@ REPORT_KEYS = [
     "stay_date", "hotel_id", "hotel_code", "no_of_rooms", "source", "segment",
     "reservation_status", "owned_vs_managed",
 ]
-# Booked rooms per night and their price, NULL when rooms or rate are.
-ROOMS = F.col("num_of_room_booked") * F.col("copies")
-REVENUE = ROOMS * F.col("room_rate")
+
+
+def rooms():
+    """Rooms of a stay, times the rows that say so; NULL when the rooms are."""
+    return F.col("num_of_room_booked") * F.col("copies")
+
+
+def revenue():
+    """Price of one night of a stay; NULL when its rooms or rate are."""
+    return rooms() * F.col("room_rate")
 
 
 def counts_as_booked():
@@ -114,7 +121,7 @@ def rob(reservations, hotels, bridge, segments, as_of):
     totals = (
         stay_nights(stays, not_before=F.lit(day))
         .groupBy("stay_date", *BOOKING_KEYS)
-        .agg(F.sum(ROOMS).alias("rob"), F.sum(REVENUE).alias("room_revenue"))
+        .agg(F.sum(rooms()).alias("rob"), F.sum(revenue()).alias("room_revenue"))
     )
     return _report(
         _decorated(totals, hotels, segments)
@@ -149,13 +156,13 @@ def rob_range(reservations, hotels, bridge, segments, start, end):
         .filter(F.col("day") <= F.lit(end))
         .groupBy("stay_date", "day", *BOOKING_KEYS)
         .agg(
-            F.sum(sign * ROOMS).alias("rob"),
-            F.sum(sign * REVENUE).alias("room_revenue"),
+            F.sum(sign * rooms()).alias("rob"),
+            F.sum(sign * revenue()).alias("room_revenue"),
             # How many stays are on books, and how many of them have rooms and a rate:
             # sums over none are absent or NULL, not zero.
             F.sum(sign).alias("stays"),
-            F.sum(F.when(ROOMS.isNotNull(), sign)).alias("with_rooms"),
-            F.sum(F.when(REVENUE.isNotNull(), sign)).alias("with_revenue"),
+            F.sum(F.when(rooms().isNotNull(), sign)).alias("with_rooms"),
+            F.sum(F.when(revenue().isNotNull(), sign)).alias("with_revenue"),
         )
     )
     measures = ["rob", "room_revenue", "stays", "with_rooms", "with_revenue"]

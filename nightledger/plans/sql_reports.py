@@ -9,7 +9,7 @@ from ..operators.joins import with_segment_ids
 from ..operators.nights import stay_nights
 from ..schemas import MAT_REVENUE, ROB_REVENUE
 from .mat import decorated, fact_totals, facts_between
-from .rob import BOOKING_KEYS, REVENUE, ROOMS, _decorated, booked_stays
+from .rob import BOOKING_KEYS, _decorated, booked_stays, revenue, rooms
 
 
 def rob_room_nights(reservations, hotels, bridge, segments, as_of):
@@ -24,9 +24,9 @@ def rob_room_nights(reservations, hotels, bridge, segments, as_of):
         stay_nights(stays, not_before=F.lit(day), night_cap=REPORT_NIGHT_CAP)
         .groupBy("stay_date", *BOOKING_KEYS)
         .agg(
-            F.sum(ROOMS * F.datediff("departure", "arrival")).alias("number_of_room_nights"),
-            F.sum(REVENUE).alias("room_revenue"),
-            F.sum(ROOMS).alias("rob"),
+            F.sum(rooms() * F.datediff("departure", "arrival")).alias("number_of_room_nights"),
+            F.sum(revenue()).alias("room_revenue"),
+            F.sum(rooms()).alias("rob"),
         )
     )
     return (

@@ -39,7 +39,7 @@ def reservations(spark, sf_dir, loaded_until=None):
         .when(F.col("l_returnflag") == "R", 9)
         .alias("reservation_status"),
         (F.col("l_suppkey") % 40).cast("int").alias("room_typ"),
-        F.when(F.col("l_linenumber") != 3, (F.col("l_extendedprice") / 100).cast(RATE)).alias("rm_rate"),
+        F.when(F.col("l_linenumber") != 3, F.col("l_extendedprice").cast(RATE)).alias("rm_rate"),
         (F.col("l_discount") * 1000).cast(RATE).alias("rm_rate_wo_split"),
         F.col("l_suppkey").alias("hotel_id"),
         F.col("l_partkey").cast("int").alias("price_typ_grp"),
