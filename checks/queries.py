@@ -248,12 +248,12 @@ def null_markers(spark, sf_dir):
         .when(priority.startswith("4"), "NULL")
         .otherwise(priority)
     )
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    orders = stand_in.table(spark, sf_dir, "orders")
     return null_markers_to_null(orders.select("o_orderkey", marked.alias("priority")))
 
 
 def zero_dates(spark, sf_dir):
-    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    lines = stand_in.table(spark, sf_dir, "lineitem")
     exported = F.when(F.col("l_linenumber") == 3, "0000-00-00 00:00:00").otherwise(
         F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss")
     )
@@ -276,7 +276,7 @@ def parse_dates(spark, sf_dir):
 
 def fiscal_weeks(spark, sf_dir):
     day = F.col("o_orderdate").cast("date")
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    orders = stand_in.table(spark, sf_dir, "orders")
     return orders.select("o_orderkey", day.alias("order_day"), fiscal_week(day).alias("fiscal_week"))
 
 
@@ -388,7 +388,8 @@ def mat_daily_job(spark, sf_dir):
 def mat_bulk_job(spark, sf_dir):
     """The default range: from the first fact to two days ago."""
     path, table = scratch_path(spark, "mat-bulk"), _table_name()
-    jobs.mat_bulk(*_mat_tables(spark, sf_dir, text_dates=False), path, table=table)
+    tables = _mat_tables(spark, sf_dir, text_dates=False)
+    jobs.mat_bulk(*tables, path, table=table, tasks=spark.sparkContext.defaultParallelism)
     return spark.table(table)
 
 

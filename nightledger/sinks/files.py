@@ -1,17 +1,18 @@
 from pyspark.sql import functions as F
 
 
-def _sized(df, by, files):
-    """`df` laid out for writing: `files` pieces, or by default pieces sized at run time.
+def _laid_out(df, by, tasks):
+    """`df` gathered by date for writing.
 
-    The rebalance hint gathers each partition value into few files, and splits
-    values too big for one task instead of piling them into it.
+    By default Spark sizes the tasks at run time: small dates share one, and a
+    date too big for one is split. With `tasks` each date goes whole to one of
+    that many, for results of many dates that are all small.
     """
-    return df.repartition(files) if files else df.hint("rebalance", F.col(by))
+    return df.repartition(tasks, by) if tasks else df.hint("rebalance", F.col(by))
 
 
 def write_by_date(
-    df, path, by="as_of_date", mode="replace", file_format="parquet", files=None, watch=None, **options
+    df, path, by="as_of_date", mode="replace", file_format="parquet", tasks=None, watch=None, **options
 ):
     """Writes one folder per value of `by`.
 
@@ -22,7 +23,7 @@ def write_by_date(
     """
     if mode not in ("replace", "append"):
         raise ValueError(f"unknown mode {mode!r}: expected 'replace' or 'append'")
-    rows = _sized(df, by, files)
+    rows = _laid_out(df, by, tasks)
     if watch:
         rows = watch(rows)
     writer = rows.write.partitionBy(by).format(file_format).options(**options)
@@ -32,8 +33,8 @@ def write_by_date(
         writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").save(path)
 
 
-def write_csv_by_date(df, path, by="as_of_date", mode="append", files=None, delimiter=","):
-    write_by_date(df, path, by, mode, "csv", files, header=True, delimiter=delimiter)
+def write_csv_by_date(df, path, by="as_of_date", mode="append", tasks=None, delimiter=","):
+    write_by_date(df, path, by, mode, "csv", tasks, header=True, delimiter=delimiter)
 
 
 def write_parquet(df, path, files=None):

@@ -10,8 +10,25 @@ from pyspark.sql import functions as F
 from ..schemas import MONEY, RATE
 
 
-def _read(spark, sf_dir, name):
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+# Declared so that no job has to look into the files for their columns.
+_FILES = {
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_returnflag string, l_shipdate timestamp_ntz"
+    ),
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp_ntz, "
+        "o_orderpriority string"
+    ),
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+}
+
+
+def table(spark, sf_dir, name):
+    """One of the generic tables, with the columns used here."""
+    return spark.read.schema(_FILES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def reservations(spark, sf_dir, loaded_until=None):
@@ -21,7 +38,7 @@ def reservations(spark, sf_dir, loaded_until=None):
     never before the ship date, so this loses no version loaded by that day, and
     unlike a filter on the derived load time it reaches the scan.
     """
-    lines = _read(spark, sf_dir, "lineitem")
+    lines = table(spark, sf_dir, "lineitem")
     if loaded_until is not None:
         lines = lines.filter(F.col("l_shipdate") <= F.lit(loaded_until))
     shipped = F.col("l_shipdate").cast("date")
@@ -50,7 +67,7 @@ def reservations(spark, sf_dir, loaded_until=None):
 def hotels(spark, sf_dir):
     """Hotels from supplier."""
     key = F.col("s_suppkey")
-    return _read(spark, sf_dir, "supplier").select(
+    return table(spark, sf_dir, "supplier").select(
         F.when(F.col("s_acctbal") < 0, -key).otherwise(key).alias("hotel_id"),
         F.col("s_name").alias("hotel_code"),
         (50 + key % 200).cast("int").alias("no_of_rooms"),
@@ -64,7 +81,7 @@ def hotels(spark, sf_dir):
 def bridge(spark, sf_dir):
     """Booking to segment links from orders."""
     key = F.col("o_orderkey")
-    return _read(spark, sf_dir, "orders").select(
+    return table(spark, sf_dir, "orders").select(
         F.when(F.col("o_orderstatus") == "P", -key).otherwise(key).alias("source_rsrv_id"),
         (F.col("o_custkey") % 27).cast("int").alias("src_sgmnt_id"),
     )
@@ -73,8 +90,8 @@ def bridge(spark, sf_dir):
 def segments(spark, sf_dir):
     """Segments from nation and region."""
     return (
-        _read(spark, sf_dir, "nation")
-        .join(_read(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+        table(spark, sf_dir, "nation")
+        .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
         .select(
             F.col("n_nationkey").alias("src_sgmnt_id"),
             F.col("r_name").alias("source"),
@@ -87,9 +104,9 @@ def hotel_facts(spark, sf_dir, text_dates=True):
     """Daily hotel facts from lineitem, with dates as `dd-MM-yyyy` text or as DATE."""
     day = F.date_format("l_shipdate", "dd-MM-yyyy") if text_dates else F.col("l_shipdate").cast("date")
     return (
-        _read(spark, sf_dir, "lineitem")
+        table(spark, sf_dir, "lineitem")
         .join(
-            _read(spark, sf_dir, "supplier").select("s_suppkey", "s_name"),
+            table(spark, sf_dir, "supplier").select("s_suppkey", "s_name"),
             F.col("l_suppkey") == F.col("s_suppkey"),
             "left",
         )

@@ -1,0 +1,71 @@
+"""Random logs against the row-by-row report, with hot keys, ties, copies and NULLs."""
+
+import random
+from datetime import date, datetime, timedelta
+from decimal import Decimal
+
+import brute
+import pytest
+
+from nightledger.plans.rob import rob, rob_range
+
+FIRST = date(2025, 3, 1)
+
+
+def random_tables(seed, rows=150):
+    rng = random.Random(seed)
+    pick = rng.choice
+    versions = []
+    for _ in range(rows):
+        arrival = FIRST + timedelta(days=rng.randrange(12))
+        versions.append((
+            # A third of the log belongs to one booking.
+            1 if rng.random() < 0.33 else pick([None, 2, 3, 4, 5, 6, 7, 8]),
+            datetime(2025, 3, 1) + timedelta(hours=12 * rng.randrange(20)),
+            pick([arrival] * 15 + [None]),
+            arrival + timedelta(days=rng.randrange(6)),
+            pick([0, 0, 5, 9, None]),
+            pick([1, 2, 3, 4, 32, None]),
+            pick([None, Decimal("10.50"), Decimal("99.99")]),
+            pick([None, Decimal("7.25")]),
+            pick([7, 7, 8, -9, None]),
+            pick([1, 2, 3, 4, 681, None]),
+            pick([1, 2, 3, None]),
+        ))
+    versions += [versions[0]] * (rows // 3)
+    hotels = [(7, "H7", 40, "Owned"), (8, "H8", 10, None), (8, "H8", 10, None), (-9, None, None, "Managed")]
+    bridge = [(1, 3)] * 4 + [(1, 4), (2, 3), (3, 5), (4, 99), (5, None), (6, 3), (6, 6)]
+    segments = [(3, "Web", "Leisure"), (4, "Web", "Leisure"), (5, "Desk", None), (6, None, None)]
+    return versions, hotels, bridge, segments
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_every_date_and_the_range(tables, seed):
+    raw = random_tables(seed)
+    frames = tables(*raw)
+    days = [FIRST + timedelta(days=n) for n in range(16)]
+    expected = {}
+    for day in days:
+        expected.update(brute.rob(*raw, day))
+    assert brute.as_dict(rob_range(*frames, days[0], days[-1])) == expected
+    middle = days[seed + 4]
+    assert brute.as_dict(rob(*frames, middle)) == brute.rob(*raw, middle)
+
+
+def test_range_without_start_begins_at_the_first_load(tables):
+    raw = random_tables(11)
+    frames = tables(*raw)
+    first = min(row[1] for row in raw[0]).date()
+    end = FIRST + timedelta(days=9)
+    assert brute.as_dict(rob_range(*frames, None, end)) == brute.as_dict(rob_range(*frames, first, end))
+
+
+def test_same_results_without_broadcasts(spark, tables):
+    raw = random_tables(12)
+    frames = tables(*raw)
+    end = FIRST + timedelta(days=9)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        assert brute.as_dict(rob(*frames, end)) == brute.rob(*raw, end)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
