@@ -2,21 +2,25 @@
 
 Each takes the tables as DataFrames. Dates may be dates or ISO text; None and
 blank text mean the default. With `table` the catalog table over `path` is
-created if need be and told about the new dates. `mode` and `tasks` are those of
+created if need be and told about the new dates. A rerun replaces what the path
+holds for the job's dates; with `mode` "append" it adds to it. `tasks` is that of
 `write_by_date`.
 """
 
 from datetime import date
 
 from ..dates import as_day, days_ago
-from ..sinks.files import write_by_date
+from ..sinks.files import replace_dates, write_by_date
 from ..sinks.tables import refresh_by_date, register_by_date
 from .mat import mat_range
 from .rob import rob, rob_range
 
 
-def _store(report, path, table, mode, tasks):
-    write_by_date(report, path, mode=mode, tasks=tasks)
+def _store(report, start, end, path, table, mode, tasks):
+    if mode == "replace":
+        replace_dates(report, path, start, end, tasks=tasks)
+    else:
+        write_by_date(report, path, mode=mode, tasks=tasks)
     if table:
         register_by_date(report.sparkSession, table, path, report.schema)
         refresh_by_date(report.sparkSession, table)
@@ -25,25 +29,28 @@ def _store(report, path, table, mode, tasks):
 def rob_daily(reservations, hotels, bridge, segments, path, as_of=None, table=None, mode="replace", tasks=None):
     """Rooms on books as of a date; today by default."""
     day = as_day(as_of) or date.today()
-    _store(rob(reservations, hotels, bridge, segments, day), path, table, mode, tasks)
+    report = rob(reservations, hotels, bridge, segments, day)
+    _store(report, day, day, path, table, mode, tasks)
 
 
 def rob_bulk(
     reservations, hotels, bridge, segments, path, start=None, end=None, table=None, mode="replace", tasks=None
 ):
     """Rooms on books for a range; from the first load to yesterday by default."""
-    last = as_day(end) or days_ago(1)
-    report = rob_range(reservations, hotels, bridge, segments, as_day(start), last)
-    _store(report, path, table, mode, tasks)
+    first, last = as_day(start), as_day(end) or days_ago(1)
+    report = rob_range(reservations, hotels, bridge, segments, first, last)
+    _store(report, first, last, path, table, mode, tasks)
 
 
 def mat_daily(facts, hotels, segments, path, day=None, table=None, mode="replace", tasks=None):
     """The materialized report of one business date; yesterday by default."""
     chosen = as_day(day) or days_ago(1)
-    _store(mat_range(facts, hotels, segments, chosen, chosen), path, table, mode, tasks)
+    report = mat_range(facts, hotels, segments, chosen, chosen)
+    _store(report, chosen, chosen, path, table, mode, tasks)
 
 
 def mat_bulk(facts, hotels, segments, path, start=None, end=None, table=None, mode="replace", tasks=None):
     """The materialized report of a range; from the first fact to two days ago by default."""
-    last = as_day(end) or days_ago(2)
-    _store(mat_range(facts, hotels, segments, as_day(start), last), path, table, mode, tasks)
+    first, last = as_day(start), as_day(end) or days_ago(2)
+    report = mat_range(facts, hotels, segments, first, last)
+    _store(report, first, last, path, table, mode, tasks)

@@ -1,10 +1,11 @@
 """Materialized room nights and revenue per business date, hotel and segment."""
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..dates import as_day
-from ..fixed_values import BUSINESS_DATE_FORMAT
 from ..functions.parsing import business_day
 from ..operators.joins import with_hotels, with_segments
 from ..schemas import MAT_REVENUE
@@ -12,16 +13,26 @@ from ..schemas import MAT_REVENUE
 REPORT_KEYS = ["as_of_date", "hotel_id", "hotel_code", "inventory", "source_nm", "segment_nm"]
 
 
+# Ranges up to this many days look text dates up as text before parsing them.
+TEXT_LOOKUP_DAYS = 400
+
+
+def _texts(start, end):
+    """The days of a range as business-date text."""
+    days = [start + timedelta(days=n) for n in range((end - start).days + 1)]
+    return [day.strftime("%d-%m-%Y") for day in days]
+
+
 def facts_between(facts, start, end):
     """Facts with `business_date` as a DATE from `start` to `end`; None leaves a side open.
 
-    A single day is looked up in text dates as text, which the scan can check
-    without parsing every row.
+    Text dates of a range that is not too long are first looked up as text: the
+    scan can do that, and only the rows found have to be parsed.
     """
     kind = facts.schema["business_date"].dataType
     day = F.col("business_date")
-    if isinstance(kind, T.StringType) and start is not None and start == end:
-        facts = facts.filter(day == F.date_format(F.lit(start), BUSINESS_DATE_FORMAT))
+    if isinstance(kind, T.StringType) and start and end and (end - start).days < TEXT_LOOKUP_DAYS:
+        facts = facts.filter(day.isin(_texts(start, end)))
     facts = facts.withColumn("business_date", business_day(day, kind))
     if start is not None:
         facts = facts.filter(day >= F.lit(start))

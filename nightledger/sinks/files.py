@@ -1,3 +1,4 @@
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 
@@ -17,9 +18,8 @@ def write_by_date(
     """Writes one folder per value of `by`.
 
     `replace` swaps the folders of the dates in `df` and leaves all others, so a
-    rerun leaves one copy; a date that now has no rows at all keeps its old
-    folder. `append` adds to what is there. `watch` sees the rows as they are
-    written (see `audit`).
+    rerun leaves one copy. `append` adds to what is there. `watch` sees the rows
+    as they are written (see `audit`).
     """
     if mode not in ("replace", "append"):
         raise ValueError(f"unknown mode {mode!r}: expected 'replace' or 'append'")
@@ -33,6 +33,27 @@ def write_by_date(
         writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").save(path)
 
 
+def replace_dates(df, path, start, end, by="as_of_date", tasks=None):
+    """Replaces what is stored from `start` (None: the beginning) to `end` by `df`.
+
+    Unlike a plain `replace` this also empties dates of the range that had rows
+    before and have none now.
+    """
+    seen = Observation()
+    write_by_date(
+        df, path, by, tasks=tasks, watch=lambda rows: rows.observe(seen, F.collect_set(by).alias("days"))
+    )
+    spark = df.sparkSession
+    stored = spark.read.schema(df.schema).parquet(path).filter(F.col(by) <= F.lit(end))
+    if start is not None:
+        stored = stored.filter(F.col(by) >= F.lit(start))
+    # At most one row per day of the range comes to the driver.
+    days = {row[by] for row in stored.select(by).distinct().collect()}
+    nothing = df.drop(by).limit(0)
+    for day in sorted(days - set(seen.get["days"])):
+        nothing.write.mode("overwrite").parquet(f"{path}/{by}={day}")
+
+
 def write_csv_by_date(df, path, by="as_of_date", mode="append", tasks=None, delimiter=","):
     write_by_date(df, path, by, mode, "csv", tasks, header=True, delimiter=delimiter)
 

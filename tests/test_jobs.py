@@ -62,6 +62,30 @@ def test_bulk_then_daily_gives_the_daily_report(spark, tables, path):
     spark.sql("DROP TABLE job_check")
 
 
+def test_dates_left_without_rows_are_emptied(spark, tables, path):
+    booked, cancelled = version(), version(load="2025-03-02", status=9)
+    jobs.rob_bulk(*tables([booked]), path, "2025-03-01", "2025-03-04")
+    assert len(days(spark, path)) == 4
+    jobs.rob_bulk(*tables([booked, cancelled]), path, None, "2025-03-03")
+    assert days(spark, path) == [date(2025, 3, 1), date(2025, 3, 4)]
+    jobs.rob_daily(*tables([cancelled]), path, "2025-03-04", table="emptied_check")
+    assert days(spark, path) == [date(2025, 3, 1)]
+    assert spark.table("emptied_check").count() == 2
+    spark.sql("DROP TABLE emptied_check")
+
+
+def test_a_first_run_without_rows(spark, tables, path):
+    jobs.rob_daily(*tables([version(status=9)]), path, "2025-03-04", table="first_check")
+    assert spark.table("first_check").count() == 0
+    spark.sql("DROP TABLE first_check")
+
+
+def test_append_repeats_a_date(spark, tables, path):
+    for _ in range(2):
+        jobs.rob_daily(*tables([version()]), path, "2025-03-04", mode="append")
+    assert spark.read.parquet(path).count() == 4
+
+
 def test_mat_daily_is_for_yesterday(spark, tables, facts, path):
     _, hotels, _, segments = tables([version()])
     jobs.mat_daily(facts, hotels, segments, path)

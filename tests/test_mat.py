@@ -75,6 +75,8 @@ def test_range_is_the_union_of_its_dates(frames):
     each = [row for day in days for row in rows(mat(*frames, day))]
     assert rows(mat_range(*frames, days[0], days[-1])) == sorted(each, key=str)
     assert rows(mat_range(*frames)) == sorted(each, key=str)
+    assert rows(mat_range(*frames, "2020-01-01", "2025-12-31")) == sorted(each, key=str)
+    assert rows(mat_range(*frames, "2025-11-07", "2025-11-06")) == []
     # Bounds are inclusive, and text bounds do not compare as text.
     assert {r[0] for r in rows(mat_range(*frames, "2025-11-06", None))} == set(days[1:])
 

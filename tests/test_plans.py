@@ -80,6 +80,8 @@ def test_text_dates_are_looked_up_as_text(spark, tmp_path, capsys):
     hotels, _, segments = rob_tables(spark)[1:]
     plan = plan_of(mat_range(spark.read.parquet(path), hotels, segments, DAY, DAY), capsys)
     assert "EqualTo(business_date,01-06-1998)" in plan
+    plan = plan_of(mat_range(spark.read.parquet(path), hotels, segments, DAY, date(1998, 6, 3)), capsys)
+    assert "In(business_date, [01-06-1998,02-06-1998,03-06-1998])" in plan
 
 
 WRITING = {
