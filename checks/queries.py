@@ -8,10 +8,11 @@ from pyspark.sql import types as T
 
 from nightledger import schemas
 from nightledger.fixed_values import HOTEL_RECODES, STATUS_LABELS
-from nightledger.functions.calendar import fiscal_start, fiscal_week
+from nightledger.functions.calendar import fiscal_week
 from nightledger.functions.codes import recode
 from nightledger.functions.parsing import business_day, moment_from, zero_date_to_null
 from nightledger.functions.rates import effective_rate
+from nightledger.operators import calendar
 from nightledger.operators.joins import with_hotels, with_segment_ids, with_segments
 from nightledger.operators.nights import stay_nights
 from nightledger.operators.schema import align_schema, conform, null_markers_to_null
@@ -285,13 +286,7 @@ def fiscal_calendar(spark, sf_dir):
     span = stand_in.reservations(spark, sf_dir).agg(
         F.min("arrival_dt").alias("first"), F.max("departure_dt").alias("last")
     )
-    days = span.select(F.explode(F.sequence("first", "last", F.expr("interval 1 day"))).alias("day"))
-    return days.select(
-        "day",
-        F.year("day").alias("calendar_year"),
-        fiscal_start("day").alias("fiscal_start"),
-        fiscal_week(F.col("day")).alias("fiscal_week"),
-    )
+    return calendar.fiscal_calendar(span)
 
 
 def rename_project(spark, sf_dir):

@@ -43,15 +43,16 @@ def replace_dates(df, path, start, end, by="as_of_date", tasks=None):
     write_by_date(
         df, path, by, tasks=tasks, watch=lambda rows: rows.observe(seen, F.collect_set(by).alias("days"))
     )
-    spark = df.sparkSession
-    stored = spark.read.schema(df.schema).parquet(path).filter(F.col(by) <= F.lit(end))
+    stored = df.sparkSession.read.schema(df.schema).parquet(path).filter(
+        # Prunes the read to folders just not written, normally none.
+        (F.col(by) <= F.lit(end)) & ~F.col(by).isin(seen.get["days"])
+    )
     if start is not None:
         stored = stored.filter(F.col(by) >= F.lit(start))
-    # At most one row per day of the range comes to the driver.
-    days = {row[by] for row in stored.select(by).distinct().collect()}
     nothing = df.drop(by).limit(0)
-    for day in sorted(days - set(seen.get["days"])):
-        nothing.write.mode("overwrite").parquet(f"{path}/{by}={day}")
+    # At most one row per day of the range comes to the driver.
+    for row in stored.select(by).distinct().collect():
+        nothing.write.mode("overwrite").parquet(f"{path}/{by}={row[by]}")
 
 
 def write_csv_by_date(df, path, by="as_of_date", mode="append", tasks=None, delimiter=","):
