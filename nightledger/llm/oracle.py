@@ -6,6 +6,18 @@ from __future__ import annotations
 BLANK = r"[\x20\x09-\x0D]"
 NOT_BLANK = r"[^\x20\x09-\x0D]+"
 
+WARC = """
+WITH payloads AS (
+    SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+), groups AS (
+    SELECT payload_digest, max(page_id) AS last_id FROM payloads WHERE payload_bytes >= 1000 GROUP BY payload_digest
+)
+SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN page_id < last_id THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN page_id < last_id THEN last_id END AS refers_to
+FROM payloads LEFT JOIN groups USING (payload_digest)
+"""
+
 EXACT_DEDUP = rf"""
 WITH texts AS (
     SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '{BLANK}+', ' ', 'g')) AS text_sha256 FROM documents

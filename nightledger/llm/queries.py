@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from nightledger.llm import oracle
 from nightledger.llm.exact_dedup import exact_dedup
 from nightledger.llm.hyperminhash import near_duplicates
+from nightledger.llm.kneser_ney import perplexity_filter
 from nightledger.llm.packing import best_fit_packing
+from nightledger.llm.quality_rules import isolation_filter
+from nightledger.llm.secret_scan import scan_secrets
+from nightledger.llm.warc import pages_through_warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,10 +25,28 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_warc_salvage(spark, sf_dir):
+    return pages_through_warc(table(spark, sf_dir, "pages"))
+
+
+def op2_isolation_forest(spark, sf_dir):
+    found = isolation_filter(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return found.select("doc_id", *counts, "base_failed", "kept", "score")
+
+
+def op4_markov_secrets(spark, sf_dir):
+    return scan_secrets(table(spark, sf_dir, "documents"))
+
+
 def op6_hyperminhash(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_kneser_ney(spark, sf_dir):
+    return perplexity_filter(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_exact_dedup(spark, sf_dir):
     found = exact_dedup(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -35,6 +56,16 @@ def op10_best_fit_packing(spark, sf_dir):
     return best_fit_packing(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
-QUERIES = {q.__name__: q for q in (op6_hyperminhash, op9_exact_dedup, op10_best_fit_packing)}
+QUERIES = {
+    query.__name__: query
+    for query in (
+        op1_warc_salvage, op2_isolation_forest, op4_markov_secrets, op6_hyperminhash, op8_kneser_ney,
+        op9_exact_dedup, op10_best_fit_packing,
+    )
+}
 
-ORACLE = {"op6_hyperminhash": oracle.NEAR_DUPLICATES, "op9_exact_dedup": oracle.EXACT_DEDUP}
+ORACLE = {
+    "op1_warc_salvage": oracle.WARC,
+    "op6_hyperminhash": oracle.NEAR_DUPLICATES,
+    "op9_exact_dedup": oracle.EXACT_DEDUP,
+}
