@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: White space between words: ASCII blanks only, as a regular expression.
@@ -40,7 +40,7 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def whole_text(column: str = "text") -> F.Column:
+def whole_text(column: str = "text") -> Column:
     """The text as a string; null counts as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
@@ -49,3 +49,15 @@ def small_batches(spark: SparkSession, size: str = "16m") -> None:
     """Arrow batches of few bytes, so that long texts do not add up in a Python worker."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 
+
+
+def text_key(column: str = "text") -> Column:
+    """With the doc_id, what tells rows apart that repeat a doc_id; rows that agree in both are alike to every operator."""
+    return F.xxhash64(F.col(column).cast("string"))
+
+
+def kept_rows(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows of `docs`, all columns as they are, whose doc_id and text_key are in `kept`; nulls match nulls."""
+    wanted = kept.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & text_key().eqNullSafe(F.col("__key"))
+    return docs.join(wanted, same, "left_semi")

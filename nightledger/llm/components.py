@@ -8,48 +8,44 @@ from pyspark.sql import functions as F
 from nightledger.llm.common import saved
 
 
-def _both_ways(edges: DataFrame) -> DataFrame:
-    return edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-
-
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """Hang the larger (large star) or the smaller (small star) neighbours of each node on its smallest neighbour.
 
     The smallest neighbours are written out before the join, so that both of its sides
     are plain shuffles and adaptive execution can split a node with very many edges.
     """
-    around = _both_ways(edges) if large else edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    around = edges
+    if large:
+        around = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = saved(around.groupBy("u").agg(F.min("v").alias("w")), "star").select("u", F.least("u", "w").alias("w"))
     hung = around.join(least, "u")
     if large:
         hung = hung.filter("v > u").select(F.col("v").alias("u"), F.col("w").alias("v"))
     else:
-        hung = hung.select(F.col("v").alias("u"), F.col("w").alias("v")).union(
-            least.select("u", F.col("w").alias("v"))
-        )
+        hung = hung.select(F.col("v").alias("u"), F.col("w").alias("v")).union(least.select("u", F.col("w").alias("v")))
     return hung.filter("u != v").distinct()
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Whether each node has one edge to a smaller one, or only edges to larger ones: all components are stars."""
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("below"), F.lit(0).alias("above")).union(
+        edges.select(F.col("v").alias("x"), F.lit(0).alias("below"), F.lit(1).alias("above"))
+    )
+    both = ends.groupBy("x").agg(F.sum("below").alias("below"), F.max("above").alias("above"))
+    return both.filter("below > 1 or (below > 0 and above > 0)").isEmpty()
+
+
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(id, component) of all nodes in edges (a, b): the smallest node that can be reached.
 
     Each round writes its edges out. It ends when each node hangs on the smallest
     node of its component; the rounds needed grow with the logarithm of the longest path.
     """
-    now = saved(edges.select(F.col("a").alias("u"), F.col("b").alias("v")).filter("u != v").distinct(), "edges")
-    mark = _mark(now)
+    down = edges.filter("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+    now = saved(down.distinct(), "edges")
     for _ in range(rounds):
+        if _settled(now):
+            stars = now.select(F.col("u").alias("id"), F.col("v").alias("component"))
+            return stars.union(stars.select(F.col("component").alias("id"), "component").distinct())
         now = saved(_star(_star(now, large=True), large=False), "edges")
-        before, mark = mark, _mark(now)
-        if mark == before:
-            break
-    else:
-        raise RuntimeError("components did not settle")
-    stars = now.select(F.greatest("u", "v").alias("id"), F.least("u", "v").alias("component"))
-    return stars.union(stars.select(F.col("component").alias("id"), "component")).distinct()
-
-
-def _mark(edges: DataFrame) -> tuple:
-    """Number and content of the edges, as two sums."""
-    a, b = F.least("u", "v"), F.greatest("u", "v")
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64(a, b).cast("decimal(38,0)"))).first())
+    raise RuntimeError("components did not settle")

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nightledger.llm.common import saved, small_batches
+from nightledger.llm.common import saved, small_batches, text_key
 from nightledger.llm.components import components
 from nightledger.llm.hashing import SHINGLE, ascii_lower, mix, shingle_set
 from nightledger.llm.linking import crowded, link_buckets
@@ -81,17 +81,17 @@ def chance_agreement() -> float:
 def _sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         out = []
-        for doc_id, text in zip(batch["doc_id"], batch["text"]):
+        for doc_id, key, text in zip(batch["doc_id"], batch["text_key"], batch["text"]):
             shingles = shingle_set(ascii_lower(text).split(), SHINGLE)
             if not len(shingles):
-                out.append((doc_id, 0, None, None, None, None))
+                out.append((doc_id, key, 0, None, None, None, None))
                 continue
             found = registers(shingles)
             low, high = int(shingles.sum(dtype=np.uint64)), int(np.bitwise_xor.reduce(mix(shingles)))
             out.append(
-                (doc_id, len(shingles), low - (1 << 63), high - (1 << 63), band_keys(found).view(np.int64), found.tobytes())
+                (doc_id, key, len(shingles), low - (1 << 63), high - (1 << 63), band_keys(found).view(np.int64), found.tobytes())
             )
-        frame = pd.DataFrame(out, columns=["doc_id", "n_shingles", "low", "high", "keys", "registers"])
+        frame = pd.DataFrame(out, columns=["doc_id", "text_key", "n_shingles", "low", "high", "keys", "registers"])
         yield frame.astype({"doc_id": "Int64", "low": "Int64", "high": "Int64"})
 
 
@@ -117,7 +117,7 @@ def _estimates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row per row of `docs` (doc_id, text; other columns are not looked at): doc_id, n_shingles, component_id, kept.
+    """One row per row of `docs` (doc_id, text; other columns are not looked at): doc_id, n_shingles, component_id, kept, text_key.
 
     Sets are the distinct five-word shingles of the text with A-Z in lower case (fewer
     words: the whole sequence as one; none, or null: empty and linked with nothing).
@@ -129,10 +129,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     small_batches(spark)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("text_key"), F.col("text").cast("string").alias("text"))
     sketches = saved(
         texts.mapInPandas(
-            _sketch, "doc_id long, n_shingles long, low long, high long, keys array<long>, registers binary"
+            _sketch, "doc_id long, text_key long, n_shingles long, low long, high long, keys array<long>, registers binary"
         ),
         "sketches",
     )
@@ -147,27 +147,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     members = crowded(buckets)
     candidates = saved(members.select(F.col("id").alias("doc_id")).distinct(), "candidates")
     sets = saved(
-        texts.join(candidates, "doc_id", "left_semi").mapInPandas(_sets, "doc_id long, shingles array<long>"), "sets"
+        texts.join(candidates, "doc_id", "left_semi").drop("text_key").mapInPandas(_sets, "doc_id long, shingles array<long>"), "sets"
     )
     small = saved(firsts.join(candidates, "doc_id", "left_semi").select("doc_id", "registers"), "candidate-registers")
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        likely = (
+    def likely(pairs: DataFrame) -> DataFrame:
+        return (
             pairs.join(small.select(F.col("doc_id").alias("a"), F.col("registers").alias("registers_a")), "a")
             .join(small.select(F.col("doc_id").alias("b"), F.col("registers").alias("registers_b")), "b")
-            .mapInPandas(_estimates, "a long, b long")
-        )
-        left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a"))
-        right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b"))
-        common = F.size(F.array_intersect("set_a", "set_b"))
-        union = F.size("set_a") + F.size("set_b") - common
-        return (
-            saved(likely.distinct(), "likely-pairs").join(left, "a").join(right, "b")
-            .filter(DENOMINATOR * common >= NUMERATOR * union)
-            .select("a", "b").distinct()
+            .mapInPandas(_estimates, "a long, b long").distinct()
         )
 
-    linked = saved(link_buckets(members, verify), "linked-classes")
+    by_id = sets.select(F.col("doc_id").alias("id"), "shingles")
+    linked = saved(link_buckets(members, by_id, NUMERATOR, DENOMINATOR, likely), "linked-classes")
     # A repeated doc_id ties the classes of its texts together.
     ids = known.join(classes, name).select("doc_id", "first_id")
     ties = ids.filter("doc_id != first_id").distinct()
@@ -182,8 +174,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         )
         found = components(edges).select(F.col("id").alias("doc_id"), "component")
     return (
-        sketches.select("doc_id", "n_shingles").join(saved(found.distinct(), "found"), "doc_id", "left")
+        sketches.select("doc_id", "text_key", "n_shingles").join(saved(found.distinct(), "found"), "doc_id", "left")
         .withColumn("component_id", F.coalesce("component", "doc_id"))
-        .select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+        .select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"), "text_key")
     )
 

@@ -1,70 +1,181 @@
-"""Links between rows that share a bucket, without emitting all pairs of a bucket.
-
-Each round picks pivots in every bucket, those first whose buckets are largest: the
-original of many copies, rather than one of them. Pivots are tested against the
-members of other components only, then leave the bucket; a bucket whose members are
-all in one component is done. So copies of one text cost a pair each, not a pair for
-each two. Nothing is given up: rounds go on, with four times the pivots, until no
-bucket holds two untested members of different components.
+"""Links between sets that share a bucket, without emitting all pairs of a bucket.
+
+Two sets can only be similar enough if their sizes agree, and in a large bucket only if
+few of their elements are in no other set of such a bucket; members that fit no other
+are dropped. Of the rest, each round tests pivots, those first whose buckets
+are largest: the original of many copies, rather than one of them. A pivot is tested against
+members of other components only. So copies of one text cost a
+pair each, not a pair for each two. Nothing is given up: the last round tests all
+members of different components that are left and fit each other.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nightledger.llm.common import saved
 from nightledger.llm.components import components
 
+#: From this many members on, elements of no other set are counted out.
+LARGE = 16
+#: Sizes are dealt into classes of this ratio; a member meets those of the classes that fit it.
+RATIO = 1.05
+#: Pivots per bucket and class of each round; in the last, all that is left.
+PIVOTS = (1, 8, None)
+
 
 def crowded(buckets: DataFrame) -> DataFrame:
-    """The distinct rows (bucket, id) of buckets with two ids or more, with the id's weight: all members of its buckets."""
-    sizes = buckets.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
-    members = buckets.join(saved(sizes, "bucket-sizes"), "bucket").groupBy("bucket", "id").agg(F.max("n").alias("n"))
-    members = saved(members, "sized-members")
-    weights = saved(members.groupBy("id").agg(F.sum("n").alias("weight")), "weights")
-    return saved(members.select("bucket", "id").join(weights, "id"), "members")
+    """Rows (bucket, id, n, weight) of buckets with two ids or more: n members, and all members of the id's buckets."""
+    sizes = saved(buckets.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1"), "bucket-sizes")
+    members = saved(buckets.join(sizes, "bucket").groupBy("bucket", "id").agg(F.max("n").alias("n")), "sized-members")
+    weights = members.groupBy("id").agg(F.sum("n").alias("weight"))
+    return saved(members.join(weights, "id"), "members")
 
 
-def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """(id, component) of all ids that verified links connect; ids without a link are not in it.
+def _sized(members: DataFrame, sets: DataFrame, part: int, whole: int) -> DataFrame:
+    """bucket, id, weight, size, single (elements of no other set) and most: the largest set to be linked with there.
 
-    `members` as `crowded` gives them, ids long and not null. `verify` gets distinct
-    pairs (a, b) with a < b and returns those that are linked.
+    Of x elements, of which u are in no other set of a large bucket, at most x - u are
+    common with one of y, and the union has at least y + u.
     """
-    pivots = 1
-    links = None
-    left = members.withColumn("component", F.col("id"))
-    while not left.isEmpty():
-        # A pivot per slot, found with partial minima.
-        slot = F.pmod(F.xxhash64("id", F.lit(11)), F.lit(pivots))
-        order = F.struct((-F.col("weight")).alias("w"), F.xxhash64("id").alias("h"), "id", "component")
-        chosen = saved(
-            left.groupBy("bucket", slot.alias("slot")).agg(F.min(order).alias("p"))
-            .select("bucket", F.col("p.id").alias("pivot"), F.col("p.component").alias("pivot_component")),
-            "pivots",
-        )
-        pairs = (
-            left.join(chosen, "bucket")
-            .filter("component != pivot_component")
-            .select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b"))
-            .distinct()
-        )
-        found = saved(verify(saved(pairs, "pairs")), "links")
-        stars = saved(components(found if links is None else links.union(found)), "components")
-        links = stars.filter("id != component").select(F.col("component").alias("a"), F.col("id").alias("b"))
-
-        tested = chosen.select("bucket", F.col("pivot").alias("id"))
-        rest = left.drop("component").join(tested, ["bucket", "id"], "left_anti").join(stars, "id", "left")
-        rest = saved(rest.withColumn("component", F.coalesce("component", "id")), "untested")
-        split = (
-            rest.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-            .filter("low != high").select("bucket")
+    sizes = sets.select("id", F.size("shingles").alias("size"))
+    heavy = members.filter(F.col("n") >= LARGE).select("id").distinct()
+    elements = sets.join(heavy, "id", "left_semi").select("id", F.explode("shingles").alias("element"))
+    own = elements.groupBy("element").agg(F.count("*").alias("times"), F.min("id").alias("id")).filter("times = 1")
+    single = saved(own.groupBy("id").agg(F.count("*").alias("single")), "single-elements")
+    u = F.when(F.col("n") >= LARGE, F.coalesce("single", F.lit(0))).otherwise(F.lit(0))
+    most = F.floor((whole * (F.col("size") - u) - part * u) / part)
+    return members.join(sizes, "id").join(single, "id", "left").select(
+        "bucket", "id", "weight", "size", u.alias("single"), most.alias("most")
+    )
+
+
+def _sides(sized: DataFrame, part: int, whole: int) -> DataFrame:
+    """Each member as the smaller set in the class of its size, and as the larger one in all classes that fit."""
+    cell = lambda n: F.floor(F.log(n) / F.log(F.lit(RATIO))).cast("int")
+    low, high = F.ceil(F.col("size") * part / whole), F.least("size", "most")
+    smaller = sized.filter("most >= size").select("*", cell(F.col("size")).alias("cell"), F.lit(True).alias("small"))
+    larger = sized.filter(low <= high).select(
+        "*", F.explode(F.sequence(cell(low), cell(high))).alias("cell"), F.lit(False).alias("small")
+    )
+    return smaller.union(larger)
+
+
+def _open(rows: DataFrame) -> DataFrame:
+    """The rows whose bucket and class hold a fitting row of the other side in another component."""
+    small, large = F.col("small"), ~F.col("small")
+    facts = rows.groupBy("bucket", "cell").agg(
+        *(
+            call(F.when(side, F.col(column))).alias(f"{call.__name__}_{column}_{name}")
+            for side, name in ((small, "small"), (large, "large"))
+            for call, column in ((F.min, "component"), (F.max, "component"), (F.min, "size"), (F.max, "most"))
         )
-        left = saved(rest.join(saved(split, "split-buckets"), "bucket", "left_semi"), "open-members")
-        pivots *= 4
-    if links is None:
-        return members.select("id", F.col("id").alias("component"))
+    )
+    fits = lambda other: (
+        (F.col(f"min_size_{other}") <= F.col("most")) & (F.col("size") <= F.col(f"max_most_{other}"))
+        & ((F.col(f"min_component_{other}") != F.col("component")) | (F.col(f"max_component_{other}") != F.col("component")))
+    )
+    kept = rows.join(saved(facts, "bucket-facts"), ["bucket", "cell"]).filter((small & fits("large")) | (large & fits("small")))
+    return saved(kept.select(*rows.columns), "open-members")
+
+
+def link_buckets(
+    members: DataFrame, sets: DataFrame, part: int, whole: int, likely: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
+    """(id, component) of all ids that links connect; ids without a link are not in it.
+
+    `members` as `crowded` gives them, ids long and not null; `sets` has (id, shingles)
+    for all of them. Sets in a common bucket are linked if whole * intersection >= part * union.
+    `likely` may take out distinct pairs (a, b) that cannot be.
+    """
+    sized = saved(_sized(members, sets, part, whole), "sized")
+    left = _open(_sides(sized, part, whole).withColumn("component", F.col("id")))
+    rounds, stars, compared = list(PIVOTS), None, None
+    while rounds and not left.isEmpty():
+        pivots = rounds.pop(0)
+        if pivots is None:
+            left = _referred(left, members, compared)
+        pairs = _pairs(left, pivots, part, whole)
+        if likely is not None and pivots is not None:
+            pairs = likely(saved(pairs, "pairs"))
+        now = saved(_compared(saved(pairs, "likely-pairs"), sets), "compared")
+        compared = now if compared is None else compared.union(now)
+        links = now.filter(whole * F.col("common") >= part * (F.col("size_a") + F.col("size_b") - F.col("common")))
+        links = links.select("a", "b")
+        if stars is not None:
+            links = links.union(stars.filter("id != component").select(F.col("component").alias("a"), F.col("id").alias("b")))
+        stars = saved(components(links), "components")
+        if rounds:
+            rest = left.drop("component").join(stars, "id", "left")
+            left = _open(rest.withColumn("component", F.coalesce("component", "id")).select(*left.columns))
+    if stars is None:
+        return members.select("id", F.col("id").alias("component")).limit(0)
     return stars
+
+
+def _referred(left: DataFrame, members: DataFrame, compared: DataFrame) -> DataFrame:
+    """Adds all buckets of the id; and ref, the weightiest id that it has been compared with, or itself, and how many elements differ."""
+    shared = members.groupBy("id").agg(
+        F.array_sort(F.collect_set("bucket")).alias("all"), F.max("weight").alias("own_weight")
+    )
+    shared = saved(shared, "shared-buckets")
+    differ = (F.col("size_a") + F.col("size_b") - 2 * F.col("common")).alias("differ")
+    both = compared.select(F.col("a").alias("id"), F.col("b").alias("other"), differ).union(
+        compared.select(F.col("b").alias("id"), F.col("a").alias("other"), differ)
+    )
+    weights = shared.select(F.col("id").alias("other"), F.col("own_weight").alias("weight"))
+    own = shared.select("id", F.col("id").alias("other"), F.lit(0).alias("differ"), F.col("own_weight").alias("weight"))
+    every = both.join(weights, "other").select("id", "other", "differ", "weight").union(own)
+    refs = every.groupBy("id").agg(F.max(F.struct("weight", "other", "differ")).alias("r"))
+    refs = saved(refs.select("id", F.col("r.other").alias("ref"), F.col("r.differ").alias("differ")), "references")
+    return left.join(shared.select("id", "all"), "id").join(refs, "id")
+
+
+def _pairs(left: DataFrame, pivots: int | None, part: int, whole: int) -> DataFrame:
+    """Distinct pairs (a, b) of different components that fit: of `pivots` members of each bucket and class, or of all."""
+    pivot = lambda names: [F.col(name).alias(f"pivot_{name.removeprefix('p.')}") for name in names]
+    own = ["id", "component", "size", "most"]
+    fits = (
+        (F.col("component") != F.col("pivot_component")) & (F.col("size") <= F.col("pivot_most"))
+        & (F.col("pivot_size") <= F.least("size", "most"))
+    )
+    small, large = left.filter("small"), left.filter("not small")
+    if pivots is None:
+        own = [*own, "single", "all", "ref", "differ"]
+        chosen = small.select("bucket", "cell", *pivot(own))
+        # A pair meets in each bucket that it shares, and if sizes are equal twice; once is enough.
+        once = (F.col("pivot_size") < F.col("size")) | (F.col("pivot_id") < F.col("id"))
+        fits &= once & (F.array_intersect("all", "pivot_all")[0] == F.col("bucket")) & _may_agree(part, whole)
+    else:
+        # A pivot per slot, found with partial minima.
+        slot = F.pmod(F.xxhash64("id", F.lit(11)), F.lit(pivots))
+        order = F.struct((-F.col("weight")).alias("w"), F.xxhash64("id").alias("h"), *own)
+        found = small.groupBy("bucket", "cell", slot.alias("slot")).agg(F.min(order).alias("p"))
+        chosen = saved(found.select("bucket", "cell", *pivot([f"p.{name}" for name in own])), "pivots")
+    pairs = large.join(chosen, ["bucket", "cell"]).filter(fits)
+    return pairs.select(F.least("id", "pivot_id").alias("a"), F.greatest("id", "pivot_id").alias("b")).distinct()
+
+
+def _may_agree(part: int, whole: int) -> Column:
+    """Whether two sets that have been compared with the same third one can be similar enough.
+
+    If they differ from it in d and e elements, they differ from each other in d + e less
+    twice what both differences share, which leaves out elements that no other set has.
+    """
+    sizes = F.col("size") + F.col("pivot_size")
+    common = F.least(F.col("differ") - F.col("single"), F.col("pivot_differ") - F.col("pivot_single"))
+    apart = F.col("differ") + F.col("pivot_differ") - 2 * F.greatest(common, F.lit(0))
+    return (F.col("ref") != F.col("pivot_ref")) | ((whole + part) * (sizes - apart) >= 2 * part * sizes)
+
+
+def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, common, size_a, size_b) of pairs of sets."""
+    left = sets.select(F.col("id").alias("id_a"), F.col("shingles").alias("set_a"))
+    right = sets.select(F.col("id").alias("id_b"), F.col("shingles").alias("set_b"))
+    common = F.size(F.array_intersect("set_a", "set_b")).alias("common")
+    sizes = [F.size("set_a").alias("size_a"), F.size("set_b").alias("size_b")]
+    both = pairs.join(left, F.col("a") == F.col("id_a")).join(right, F.col("b") == F.col("id_b"))
+    return both.select("a", "b", common, *sizes)
