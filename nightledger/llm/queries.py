@@ -8,9 +8,12 @@ from nightledger.llm import oracle
 from nightledger.llm.exact_dedup import exact_dedup
 from nightledger.llm.hyperminhash import near_duplicates
 from nightledger.llm.kneser_ney import perplexity_filter
+from nightledger.llm.mixing import TARGETS, label_domains, mix
 from nightledger.llm.packing import best_fit_packing
+from nightledger.llm.paragraphs import repeated_passages
 from nightledger.llm.quality_rules import isolation_filter
 from nightledger.llm.secret_scan import scan_secrets
+from nightledger.llm.toxicity import toxicity_scores
 from nightledger.llm.warc import pages_through_warc
 
 
@@ -35,12 +38,24 @@ def op2_isolation_forest(spark, sf_dir):
     return found.select("doc_id", *counts, "base_failed", "kept", "score")
 
 
+def op3_soft_mixing(spark, sf_dir):
+    return mix(table(spark, sf_dir, "documents"), label_domains(table(spark, sf_dir, "labels")), TARGETS)
+
+
 def op4_markov_secrets(spark, sf_dir):
     return scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op5_block_max_knn(spark, sf_dir):
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_hyperminhash(spark, sf_dir):
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("text_key")
+
+
+def op7_paragraph_minhash(spark, sf_dir):
+    return repeated_passages(table(spark, sf_dir, "documents"))
 
 
 def op8_kneser_ney(spark, sf_dir):
@@ -59,8 +74,8 @@ def op10_best_fit_packing(spark, sf_dir):
 QUERIES = {
     query.__name__: query
     for query in (
-        op1_warc_salvage, op2_isolation_forest, op4_markov_secrets, op6_hyperminhash, op8_kneser_ney,
-        op9_exact_dedup, op10_best_fit_packing,
+        op1_warc_salvage, op2_isolation_forest, op3_soft_mixing, op4_markov_secrets, op5_block_max_knn,
+        op6_hyperminhash, op7_paragraph_minhash, op8_kneser_ney, op9_exact_dedup, op10_best_fit_packing,
     )
 }
 
