@@ -134,6 +134,8 @@ def read_record(data: bytes, at: int) -> tuple[int, dict]:
     if data[end : end + len(END)] != END:
         raise Damaged("no blank lines after the record")
     kind = fields.get("warc-type", "")
+    if not kind or not fields.get("warc-record-id", "").strip("<>"):
+        raise Damaged("record without a type or an id")
     payload, size = data[body:end], None
     if fields.get("content-type", "").startswith("application/http"):
         split = payload.find(END)
@@ -147,7 +149,7 @@ def read_record(data: bytes, at: int) -> tuple[int, dict]:
         if algorithm == "sha1" and told.lower() not in ("", digest):
             raise Damaged("payload digest differs")
     return end + len(END), {
-        "record_id": fields.get("warc-record-id", "").strip("<>"),
+        "record_id": fields["warc-record-id"].strip("<>"),
         "record_type": kind,
         "target_uri": fields.get("warc-target-uri"),
         "refers_to": fields["warc-refers-to"].strip("<>") if "warc-refers-to" in fields else None,
@@ -182,23 +184,33 @@ def salvage_records(data: bytes, member: int | None = None) -> Iterator[dict]:
         yield {"kind": "gap", "member": member, "start": gap, "length": len(data) - gap, "reason": reason}
 
 
-def _inflate(data: bytes, at: int, step: int = 1 << 16) -> tuple[bytes, int, str | None]:
-    """What the member at `at` holds, where it ends, and what is wrong with it."""
+def _inflate(data: bytes, at: int, steps: tuple[int, ...] = (1 << 16, 1 << 8, 1)) -> tuple[bytes, int, str | None]:
+    """What the member at `at` holds, where it ends, and what is wrong with it.
+
+    At damage it goes back to before the step, and on by smaller ones, for all that
+    can still be read.
+    """
     stream, out, here = zlib.decompressobj(31), [], at
-    try:
-        while here < len(data) and not stream.eof:
-            piece = data[here : here + step]
-            out.append(stream.decompress(piece))
-            here += len(piece) - len(stream.unused_data)
-    except zlib.error as error:
-        return b"".join(out), here, f"member is damaged: {error}"
-    return b"".join(out), here, None if stream.eof else "member is cut off"
+    for step in steps:
+        try:
+            while here < len(data) and not stream.eof:
+                before = stream.copy()
+                piece = data[here : here + step]
+                out.append(stream.decompress(piece))
+                here += len(piece) - len(stream.unused_data)
+        except zlib.error as error:
+            stream, damage = before, f"member is damaged: {error}"
+            continue
+        return b"".join(out), here, None if stream.eof else "member is cut off"
+    return b"".join(out), here, damage
 
 
 def salvage(data: bytes) -> Iterator[dict]:
     """Records and gaps of an archive, compressed by members or not.
 
-    Gaps with a member lie in what that member holds, others in the archive itself.
+    Gaps with a member lie in what that member holds, others in the archive itself. Of a
+    damaged member the records before the damage count, but for the last, and carry the
+    reason; the member is logged as a gap.
     """
     if not data.startswith(MEMBER[:2]) and MEMBER not in data:
         yield from salvage_records(data)
@@ -213,15 +225,16 @@ def salvage(data: bytes) -> Iterator[dict]:
             continue
         content, end, damage = _inflate(data, at)
         found = list(salvage_records(content, at))
-        if reason and (not damage or any(f["kind"] == "record" for f in found)):
+        if damage:
+            # Damage shows after it has begun: the last record before it is not trusted, the others are marked.
+            found = [f | {"reason": damage} for f in found if f["kind"] == "record"][:-1]
+        if reason and (found or not damage):
             yield {"kind": "gap", "start": gap, "length": at - gap, "reason": reason}
             reason, gap = None, at
+        yield from found
         if not damage:
-            yield from found
             at = gap = end
             continue
-        # Of a damaged member, what comes before the damage counts; then on to the next member.
-        yield from (f for f in found if f["kind"] == "record")
         reason = reason or damage
         at = data.find(MEMBER, at + 1)
         at = len(data) if at < 0 else at
