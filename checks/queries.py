@@ -1,5 +1,6 @@
 """One query per operator or report, over the whole of the given tables."""
 
+import tempfile
 import uuid
 from datetime import date
 
@@ -20,11 +21,11 @@ from nightledger.operators.versions import collapse_copies, latest_versions
 from nightledger.plans import jobs, mat, rob, sql_reports
 from nightledger.sinks.audit import audited_write
 from nightledger.sinks.files import write_by_date, write_csv_by_date, write_parquet
-from nightledger.sinks.tables import write_table
+from nightledger.sinks.tables import repair_by_date, write_table
 from nightledger.sources import stand_in
 from nightledger.sources.files import read_files
-from nightledger.sources.tables import read_query, read_table
-from nightledger.workspace import scratch_path
+from nightledger.sources.tables import read_source, read_table
+from nightledger.workspace import scratch_path as shared_path
 
 AS_OF = date(1998, 6, 1)
 WEEK = (date(1998, 6, 1), date(1998, 6, 7))
@@ -95,6 +96,11 @@ def mat_bulk(spark, sf_dir):
     return mat.mat_range(*_mat_tables(spark, sf_dir, text_dates=False), *WEEK)
 
 
+def mat_bulk_text(spark, sf_dir):
+    """The week, from facts whose dates are text."""
+    return mat.mat_range(*_mat_tables(spark, sf_dir), *WEEK)
+
+
 def mat_bulk_all_dates(spark, sf_dir):
     return mat.mat_range(*_mat_tables(spark, sf_dir, text_dates=False))
 
@@ -130,9 +136,9 @@ def stay_nights_sequence(spark, sf_dir):
 
 
 def stay_nights_numbers(spark, sf_dir):
-    """Nights with their number in the stay; the longest stays are cut at the cap."""
+    """Nights with their number in the stay."""
     stays = _as_stays(stand_in.reservations(spark, sf_dir))
-    return stay_nights(stays, night_cap=sql_reports.REPORT_NIGHT_CAP).select(
+    return stay_nights(stays).select(
         "bkg_num",
         F.datediff("departure", "arrival").alias("nights"),
         F.datediff("stay_date", "arrival").alias("n"),
@@ -180,7 +186,7 @@ def join_booking_segment(spark, sf_dir):
 
 def join_fact_hotel_segment(spark, sf_dir):
     facts, hotels, segments = _mat_tables(spark, sf_dir)
-    return mat.decorated(mat.facts_between(facts, None, None), hotels, segments)
+    return mat.decorated(mat.dated(facts), hotels, segments)
 
 
 def revenue_expr_sum(spark, sf_dir):
@@ -198,7 +204,7 @@ def revenue_expr_sum(spark, sf_dir):
 def min_load_bound(spark, sf_dir):
     """First day of each log: the default start of the range jobs."""
     loads = stand_in.reservations(spark, sf_dir).agg(F.min("load_datetime").cast("date").alias("first_day"))
-    facts = mat.facts_between(stand_in.hotel_facts(spark, sf_dir), None, None)
+    facts = mat.dated(stand_in.hotel_facts(spark, sf_dir))
     return loads.select(F.lit("reservations").alias("log"), "first_day").union(
         facts.agg(F.min("business_date").alias("first_day")).select(F.lit("hotel_facts"), "first_day")
     )
@@ -229,11 +235,13 @@ def recode_hotel(spark, sf_dir):
 
 
 def aligned(spark, sf_dir):
-    """Upper-case text columns, one of them unknown to the target schema."""
+    """Upper-case text columns, one of them unknown to the target schema; some rates are empty or broken text."""
+    rate = F.col("rm_rate").cast("string")
+    broken = F.when(F.col("num_of_room_booked") == 1, "").when(F.col("num_of_room_booked") == 2, "n/a").otherwise(rate)
     landed = stand_in.reservations(spark, sf_dir).select(
         F.col("bkg_num").cast("string").alias("BKG_NUM"),
         F.col("arrival_dt").cast("string").alias("Arrival_Dt"),
-        F.col("rm_rate").cast("string").alias("RM_RATE"),
+        broken.alias("RM_RATE"),
         F.col("num_of_room_booked").cast("string").alias("num_of_room_booked"),
         F.concat(F.lit("h"), "hotel_id").alias("Hotel Label"),
     )
@@ -309,6 +317,12 @@ def rename_project(spark, sf_dir):
 # --- sources and sinks ------------------------------------------------------------
 
 
+def scratch_path(spark, label):
+    """In the shared folder; only a local session without one gets a folder of this machine."""
+    local = spark.sparkContext.master.startswith("local[") and not spark.conf.get("spark.checkpoint.dir", None)
+    return shared_path(spark, label, tempfile.mkdtemp(prefix="nightledger-") if local else None)
+
+
 def parquet_roundtrip(spark, sf_dir):
     """The week written twice over: a rerun leaves one copy."""
     path = scratch_path(spark, "rob")
@@ -388,32 +402,77 @@ def mat_bulk_job(spark, sf_dir):
     return spark.table(table)
 
 
+def mat_bulk_text_job(spark, sf_dir):
+    """A stored range of text-dated facts; then a rerun without the last date drops what is stored of it."""
+    path, table = scratch_path(spark, "mat-text"), _table_name()
+    facts, hotels, segments = _mat_tables(spark, sf_dir)
+    jobs.mat_bulk(facts, hotels, segments, path, *WEEK, table=table)
+    fewer = facts.filter(F.col("business_date") != WEEK[1].strftime("%d-%m-%Y"))
+    jobs.mat_bulk(fewer, hotels, segments, path, *WEEK, table=table)
+    return spark.table(table)
+
+
+def csv_inferred(spark, sf_dir):
+    """Headed CSV with types inferred, markers in text included."""
+    path = scratch_path(spark, "hotels")
+    hotels = stand_in.hotels(spark, sf_dir)
+    marked = F.when(F.col("owned_vs_managed") == "Owned", "@NULL@").otherwise(F.col("owned_vs_managed"))
+    hotels.withColumn("owned_vs_managed", marked).write.option("header", True).csv(path)
+    return read_files(spark, path, "csv", infer=True)
+
+
+def rob_from_csv(spark, sf_dir):
+    """The report from tables that are all text."""
+    kinds = (schemas.RESERVATIONS, schemas.HOTELS, schemas.BRIDGE, schemas.SEGMENTS)
+    tables = []
+    for df, schema in zip(_rob_tables(spark, sf_dir, AS_OF), kinds):
+        path = scratch_path(spark, "text")
+        df.write.option("header", True).csv(path)
+        tables.append(conform(read_files(spark, path, "csv"), schema))
+    return rob.rob(*tables, AS_OF)
+
+
 def catalog_refresh(spark, sf_dir):
     """A date added behind the catalog's back shows after the next refresh."""
     path, table = scratch_path(spark, "mat"), _table_name()
     tables = _mat_tables(spark, sf_dir)
     jobs.mat_daily(*tables, path, day=WEEK[0], table=table)
     write_by_date(mat.mat(*tables, WEEK[1]), path)
-    jobs.refresh_by_date(spark, table)
+    repair_by_date(spark, table)
     return spark.table(table)
 
 
 def named_tables(spark, sf_dir):
     """Logical tables resolved by name, with their declared columns."""
-    for name, df in (("hotels", stand_in.hotels(spark, sf_dir)), ("segments", stand_in.segments(spark, sf_dir))):
+    found = {
+        "reservations": stand_in.reservations(spark, sf_dir),
+        "hotels": stand_in.hotels(spark, sf_dir),
+        "bridge": stand_in.bridge(spark, sf_dir),
+        "segments": stand_in.segments(spark, sf_dir),
+        "hotel_facts": stand_in.hotel_facts(spark, sf_dir),
+        "dates": fiscal_calendar(spark, sf_dir),
+    }
+    for name, df in found.items():
         df.createOrReplaceTempView(f"check_{name}")
-    names = {"hotels": "check_hotels", "segments": "check_segments"}
-    hotels, segments = (read_table(spark, name, names) for name in names)
-    return hotels.groupBy("owned_vs_managed").agg(F.count(F.lit(1)).alias("n")).union(
-        segments.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
-    ).withColumnRenamed("owned_vs_managed", "label")
+    names = {name: f"check_{name}" for name in found}
+    labels = {
+        "reservations": "reservation_status", "hotels": "owned_vs_managed", "bridge": "src_sgmnt_id",
+        "segments": "source", "hotel_facts": "src_sgmnt_id", "dates": "fiscal_week",
+    }
+    counts = None
+    for name, label in labels.items():
+        rows = read_table(spark, name, names).groupBy(F.col(label).cast("string").alias("label")).agg(F.count(F.lit(1)).alias("n"))
+        rows = rows.select(F.lit(name).alias("table_name"), "label", "n")
+        counts = rows if counts is None else counts.union(rows)
+    return counts
 
 
 def query_source(spark, sf_dir):
     stand_in.reservations(spark, sf_dir).createOrReplaceTempView("check_reservations")
-    return read_query(
+    return read_source(
         spark,
-        """
+        table="check_reservations",
+        query="""
         SELECT hotel_id, count(*) AS versions, max(departure_dt) AS last_departure
         FROM check_reservations WHERE reservation_status IN (0, 5) GROUP BY hotel_id
         """,
@@ -429,12 +488,13 @@ def load_audit(spark, sf_dir):
         record_id=F.col("bkg_num"),
         modified_at=F.col("load_datetime"),
         by="reservation_status",
-        glue_run_id=None,
+        glue_run_id="run-1",
         job_name="reservations",
+        s3_file_modified_datetime="2026-01-01 00:00:00",
         table_name="reservations",
         src_sys_id=1,
     )
-    return spark.read.parquet(audit_path).drop("s3_file_modified_datetime", "glue_run_id")
+    return spark.read.parquet(audit_path)
 
 
 QUERIES = {
@@ -447,6 +507,7 @@ QUERIES = {
     "mat_daily": mat_daily,
     "mat_bulk": mat_bulk,
     "mat_bulk_all_dates": mat_bulk_all_dates,
+    "mat_bulk_text": mat_bulk_text,
     "mat_sql_report": mat_sql_report,
     "mat_by_date_hotel": mat_by_date_hotel,
     "latest_version": latest_version,
@@ -479,6 +540,9 @@ QUERIES = {
     "rob_bulk_job": rob_bulk_job,
     "mat_daily_job": mat_daily_job,
     "mat_bulk_job": mat_bulk_job,
+    "mat_bulk_text_job": mat_bulk_text_job,
+    "csv_inferred": csv_inferred,
+    "rob_from_csv": rob_from_csv,
     "catalog_refresh": catalog_refresh,
     "named_tables": named_tables,
     "query_source": query_source,

@@ -13,5 +13,13 @@ def as_day(value):
     return date.fromisoformat(text) if text else None
 
 
+def given_day(value):
+    """As `as_day`, but there has to be a date."""
+    day = as_day(value)
+    if day is None:
+        raise ValueError("a report needs a date; defaults are those of the jobs")
+    return day
+
+
 def days_ago(n):
     return date.today() - timedelta(days=n)

@@ -16,9 +16,6 @@ EXCLUDED_PRICE_GROUPS = [
 # Hotel codes the coarse report shows under another code.
 HOTEL_RECODES = {"RFHDL1": "LTHDL", "KSHPP": "KPHPN"}
 
-# Longest stay, in nights, that the room-nights report expands.
-REPORT_NIGHT_CAP = 366
-
 # Text that stands for NULL in landed files.
 NULL_MARKERS = ["NaN", "nan", "@NULL@", "NULL"]
 
@@ -28,21 +25,4 @@ BUSINESS_DATE_FORMAT = "dd-MM-yyyy"
 # Rows per JDBC insert batch.
 JDBC_BATCH_ROWS = 100000
 
-# Fields every load-audit record carries, in order.
-AUDIT_FIELDS = [
-    "glue_run_id", "job_name", "insert_record_count", "s3_file_modified_datetime",
-    "update_record_count", "last_table_update_datetime", "table_name",
-    "last_record_id", "src_sys_id",
-]
-
-# Physical names of the logical tables.
-TABLE_NAMES = {
-    "dates": "gold.dim_date",
-    "bridge": "gold.fact_reservation",
-    "hotel_facts": "gold.fact_hotel_tags",
-    "segments": "gold.dim_source_segment",
-    "reservations": "silver.protel_rsrvtns",
-    "hotels": "md.hotels",
-}
-
 # --- end of fixed values ----------------------------------------------------

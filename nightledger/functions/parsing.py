@@ -11,6 +11,11 @@ def day_from(column, kind, pattern=None):
     return column.cast("date")
 
 
+def day_literal(day):
+    """A date as a constant; by its ISO text, which also holds for years of three digits."""
+    return F.lit(day.isoformat()).cast("date")
+
+
 def business_day(column, kind):
     return day_from(column, kind, BUSINESS_DATE_FORMAT)
 

@@ -19,45 +19,56 @@ def _typed(column, have, want, date_pattern=None):
     return column.try_cast(want) if isinstance(have, T.StringType) else column.cast(want)
 
 
+def _by_lower_name(df):
+    """The fields by lower-cased name; names that differ only by case cannot be told apart and raise."""
+    lowered = [name.lower() for name in df.columns]
+    repeated = sorted({name for name in lowered if lowered.count(name) > 1})
+    if repeated:
+        raise ValueError(f"columns differ only by case: {', '.join(repeated)}")
+    return dict(zip(lowered, df.schema))
+
+
 def conform(df, schema, date_patterns=None):
-    """Exactly the columns of `schema`, in order and type.
+    """Exactly the columns of `schema`, in order and type, whatever the case of their names in `df`.
 
     Text is cast with NULL for what does not parse; `business_date` text is read
     in its own format. Timestamps stay the kind of timestamp they are.
     """
     patterns = {"business_date": BUSINESS_DATE_FORMAT, **(date_patterns or {})}
-    have = {field.name: field.dataType for field in df.schema}
-    missing = [name for name in schema.fieldNames() if name not in have]
+    have = _by_lower_name(df)
+    missing = [name for name in schema.fieldNames() if name.lower() not in have]
     if missing:
         raise ValueError(f"columns missing: {', '.join(missing)}")
-    return df.select(
-        *[
-            _typed(_quoted(f.name), have[f.name], f.dataType, patterns.get(f.name)).alias(f.name)
-            for f in schema
-        ]
-    )
+    columns = []
+    for wanted in schema:
+        found = have[wanted.name.lower()]
+        typed = _typed(_quoted(found.name), found.dataType, wanted.dataType, patterns.get(wanted.name))
+        columns.append(typed.alias(wanted.name))
+    return df.select(*columns)
 
 
 def align_schema(df, target):
     """`df` with lower-cased names, cast to the types `target` has for those names.
 
     Columns `target` lacks are kept as they are; columns only `target` has are
-    not added. Names that differ only by case cannot be told apart and raise.
+    not added. Text that does not parse, empty text too, gives NULL.
     """
-    lowered = [name.lower() for name in df.columns]
-    repeated = sorted({name for name in lowered if lowered.count(name) > 1})
-    if repeated:
-        raise ValueError(f"columns differ only by case: {', '.join(repeated)}")
     kinds = {field.name.lower(): field.dataType for field in target}
     return df.select(
         *[
-            (_quoted(f.name).cast(kinds[low]) if low in kinds else _quoted(f.name)).alias(low)
-            for f, low in zip(df.schema, lowered)
+            (_typed(_quoted(f.name), f.dataType, kinds[low]) if low in kinds else _quoted(f.name)).alias(low)
+            for low, f in _by_lower_name(df).items()
         ]
     )
 
 
 def null_markers_to_null(df, markers=NULL_MARKERS):
     """Marker text in string columns replaced by NULL."""
-    texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
-    return df.replace(list(markers), None, subset=texts) if texts else df
+    return df.select(
+        *[
+            F.when(~_quoted(f.name).isin(list(markers)), _quoted(f.name)).alias(f.name)
+            if isinstance(f.dataType, T.StringType)
+            else _quoted(f.name)
+            for f in df.schema
+        ]
+    )

@@ -23,33 +23,29 @@ def collapse_copies(df):
     return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("copies"))
 
 
-def expand_copies(df, block=1_000_000):
-    """Undoes `collapse_copies`; goes by blocks so that no array grows with the count."""
-    copies = F.col("copies")
-    blocks = F.sequence(F.lit(0), F.floor((copies - 1) / block))
-    in_block = F.least(F.lit(block), copies - F.col("block_no") * block)
-    return (
-        df.withColumn("block_no", F.explode(blocks))
-        .withColumn("copy_no", F.explode(F.sequence(F.lit(1).cast("long"), in_block)))
-        .drop("copies", "block_no", "copy_no")
-    )
+def latest(log, *keys):
+    """Per key the rows with the newest load_datetime, copies and ties included; a NULL key is one.
 
+    The newest load of each key is found with partial maxima over two narrow columns
+    and joined to the rows, so that no task has to hold the rows of a key: Spark
+    can split the join where one key has very many.
+    """
+    newest = log.groupBy(*keys).agg(F.max("load_datetime").alias("newest_load"))
+    return _joined(log, newest, keys).drop("newest_load")
 
-def latest(collapsed, *keys):
-    """Per key the rows with the newest load_datetime; all of them when tied.
 
-    Meant for rows without copies: Spark then keeps at most the newest rows of
-    each key per task before it shuffles.
-    """
-    newest_first = Window.partitionBy(*keys).orderBy(F.desc("load_datetime"))
-    return (
-        collapsed.withColumn("rnk", F.rank().over(newest_first)).filter(F.col("rnk") == 1).drop("rnk")
-    )
+def _joined(log, newest, keys):
+    """Rows of `log` with the columns of `newest`, where key and load time agree; rows without a load time do not count."""
+    named = newest.withColumnsRenamed({key: f"newest_{key}" for key in keys})
+    same = F.col("load_datetime") == F.col("newest_load")
+    for key in keys:
+        same &= F.col(key).eqNullSafe(F.col(f"newest_{key}"))
+    return log.join(named, same).drop(*[f"newest_{key}" for key in keys])
 
 
 def latest_versions(log, day):
     """Every booking's latest version as of `day`, whole rows, copies included."""
-    return expand_copies(latest(collapse_copies(loaded_by(log, day)), "bkg_num"))
+    return latest(loaded_by(log, day), "bkg_num")
 
 
 def with_valid_from(log, start=None):
@@ -58,20 +54,16 @@ def with_valid_from(log, start=None):
     return log.withColumn("valid_from", F.greatest(F.lit(start), first) if start else first)
 
 
-def daily_latest(collapsed, end):
+def daily_latest(log, end):
     """Versions that are the latest on at least one day, with the days they are.
 
     Needs `valid_from`. Of the versions that become visible on the same day only
     the newest matter, which leaves a booking at most one load per day in range;
-    it then stays valid until the day before the booking's next one.
+    it then stays valid until the day before the booking's next one. That is found
+    out over booking, day and load time alone, before rows are joined to it.
     """
-    kept = latest(collapsed, "bkg_num", "valid_from")
-    later = (
-        Window.partitionBy("bkg_num")
-        .orderBy(F.unix_date("valid_from").desc())
-        .rangeBetween(Window.unboundedPreceding, -1)
-    )
-    superseded = F.min("valid_from").over(later)
-    return kept.withColumn(
-        "valid_to", F.coalesce(F.date_sub(superseded, 1), F.lit(end))
-    )
+    keys = ["bkg_num", "valid_from"]
+    newest = log.groupBy(*keys).agg(F.max("load_datetime").alias("newest_load"))
+    following = F.lead("valid_from").over(Window.partitionBy("bkg_num").orderBy("valid_from"))
+    days = newest.withColumn("valid_to", F.coalesce(F.date_sub(following, 1), F.lit(end)))
+    return _joined(log, days, keys).drop("newest_load")

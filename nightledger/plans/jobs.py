@@ -9,6 +9,9 @@ holds for the job's dates; with `mode` "append" it adds to it. `tasks` is that o
 
 from datetime import date
 
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
+
 from ..dates import as_day, days_ago
 from ..sinks.files import replace_dates, write_by_date
 from ..sinks.tables import refresh_by_date, register_by_date
@@ -17,13 +20,17 @@ from .rob import rob, rob_range
 
 
 def _store(report, start, end, path, table, mode, tasks):
+    written, dropped = [], []
     if mode == "replace":
-        replace_dates(report, path, start, end, tasks=tasks)
+        written, dropped = replace_dates(report, path, start, end, tasks=tasks)
     else:
-        write_by_date(report, path, mode=mode, tasks=tasks)
+        seen = Observation()
+        days = F.collect_set("as_of_date").alias("days")
+        write_by_date(report, path, mode=mode, tasks=tasks, watch=lambda rows: rows.observe(seen, days))
+        written = sorted(seen.get["days"])
     if table:
         register_by_date(report.sparkSession, table, path, report.schema)
-        refresh_by_date(report.sparkSession, table)
+        refresh_by_date(report.sparkSession, table, written, dropped)
 
 
 def rob_daily(reservations, hotels, bridge, segments, path, as_of=None, table=None, mode="replace", tasks=None):

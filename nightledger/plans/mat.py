@@ -1,44 +1,29 @@
 """Materialized room nights and revenue per business date, hotel and segment."""
 
-from datetime import timedelta
-
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..dates import as_day
-from ..functions.parsing import business_day
+from ..dates import as_day, given_day
+from ..functions.parsing import business_day, day_literal
 from ..operators.joins import with_hotels, with_segments
 from ..schemas import MAT_REVENUE
 
 REPORT_KEYS = ["as_of_date", "hotel_id", "hotel_code", "inventory", "source_nm", "segment_nm"]
 
 
-# Ranges up to this many days look text dates up as text before parsing them.
-TEXT_LOOKUP_DAYS = 400
-
-
-def _texts(start, end):
-    """The days of a range as business-date text."""
-    days = [start + timedelta(days=n) for n in range((end - start).days + 1)]
-    return [day.strftime("%d-%m-%Y") for day in days]
+def dated(facts):
+    """Facts with `business_date` as a DATE; text that is none gives NULL."""
+    return facts.withColumn("business_date", business_day(F.col("business_date"), facts.schema["business_date"].dataType))
 
 
-def facts_between(facts, start, end):
-    """Facts with `business_date` as a DATE from `start` to `end`; None leaves a side open.
-
-    Text dates of a range that is not too long are first looked up as text: the
-    scan can do that, and only the rows found have to be parsed.
-    """
-    kind = facts.schema["business_date"].dataType
+def between(rows, start, end):
+    """Rows with a `business_date` from `start` to `end`; None leaves a side open."""
     day = F.col("business_date")
-    if isinstance(kind, T.StringType) and start and end and (end - start).days < TEXT_LOOKUP_DAYS:
-        facts = facts.filter(day.isin(_texts(start, end)))
-    facts = facts.withColumn("business_date", business_day(day, kind))
     if start is not None:
-        facts = facts.filter(day >= F.lit(start))
+        rows = rows.filter(day >= day_literal(start))
     if end is not None:
-        facts = facts.filter(day <= F.lit(end))
-    return facts
+        rows = rows.filter(day <= day_literal(end))
+    return rows
 
 
 def fact_totals(facts):
@@ -48,6 +33,18 @@ def fact_totals(facts):
     )
 
 
+def dated_totals(facts, start=None, end=None):
+    """Totals of the dates from `start` to `end`.
+
+    DATEs are filtered first, which reaches the scan. Text dates are added up as they
+    are, so that only totals have to be parsed; days written in more than one way
+    come together after that.
+    """
+    if isinstance(facts.schema["business_date"].dataType, T.StringType):
+        return fact_totals(between(dated(fact_totals(facts)), start, end))
+    return fact_totals(between(dated(facts), start, end))
+
+
 def decorated(totals, hotels, segments):
     """Totals with hotel and segment columns, under their report names."""
     return with_segments(with_hotels(totals, hotels, "hotel_code"), segments).select(
@@ -64,9 +61,9 @@ def decorated(totals, hotels, segments):
 
 def mat_range(facts, hotels, segments, start=None, end=None):
     """The report for every business date from `start` to `end`, in one plan."""
-    chosen = facts_between(facts, as_day(start), as_day(end))
+    totals = dated_totals(facts, as_day(start), as_day(end))
     return (
-        decorated(fact_totals(chosen), hotels, segments)
+        decorated(totals, hotels, segments)
         .groupBy(*REPORT_KEYS)
         .agg(
             F.sum("room_nights").alias("Total_rooms"),
@@ -76,8 +73,9 @@ def mat_range(facts, hotels, segments, start=None, end=None):
 
 
 def mat(facts, hotels, segments, day):
-    """The report for one business date."""
-    return mat_range(facts, hotels, segments, day, day)
+    """The report for one business date, which must be given."""
+    chosen = given_day(day)
+    return mat_range(facts, hotels, segments, chosen, chosen)
 
 
 def rooms_by_date_and_hotel(report):

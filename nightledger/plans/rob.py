@@ -3,7 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..dates import as_day
+from ..dates import as_day, given_day
 from ..fixed_values import (
     BOOKED_STATUSES,
     EXCLUDED_PRICE_GROUPS,
@@ -73,19 +73,21 @@ def _slim(versions, first_day):
 
 
 def _stays(versions, *more):
-    return versions.filter(F.col("stay").isNotNull()).select("bkg_num", "stay.*", "copies", *more)
+    """The stays of the versions that have one; equal ones together, with how many there are in `copies`."""
+    stays = versions.filter(F.col("stay").isNotNull()).select("bkg_num", "stay.*", *more)
+    return collapse_copies(stays)
 
 
 def booked_stays(reservations, day):
     """Stays booked as of `day` that still have nights to come, with `copies` each."""
     slim = _slim(loaded_by(reservations, day), F.lit(day))
-    return _stays(latest(collapse_copies(slim), "bkg_num"))
+    return _stays(latest(slim, "bkg_num"))
 
 
 def booked_stays_in_range(reservations, start, end):
     """Stays booked on some day of the range, with the days each was the latest version."""
     seen = with_valid_from(loaded_by(reservations, end), start)
-    kept = daily_latest(collapse_copies(_slim(seen, F.col("valid_from"))), end)
+    kept = daily_latest(_slim(seen, F.col("valid_from")), end)
     return _stays(kept, "valid_from", "valid_to")
 
 
@@ -116,7 +118,7 @@ def rob(reservations, hotels, bridge, segments, as_of):
     hotels and segments are joined to those totals, and totals that share all
     report columns are added up after that.
     """
-    day = as_day(as_of)
+    day = given_day(as_of)
     stays = with_segment_ids(booked_stays(reservations, day), bridge)
     totals = (
         stay_nights(stays, not_before=F.lit(day))
@@ -139,7 +141,7 @@ def rob_range(reservations, hotels, bridge, segments, start, end):
     it is counted once as a change on the first and once, negative, on the day
     after the last. Running sums of the changes over the dates give the report.
     """
-    first, end = as_day(start), as_day(end)
+    first, end = as_day(start), given_day(end)
     stays = with_segment_ids(booked_stays_in_range(reservations, first, end), bridge)
     last_day = F.least("valid_to", "stay_date")
     change = F.explode(
@@ -168,8 +170,6 @@ def rob_range(reservations, hotels, bridge, segments, start, end):
     measures = ["rob", "room_revenue", "stays", "with_rooms", "with_revenue"]
     per_night = (
         _decorated(changes, hotels, segments)
-        # Partitioned for both the sums and the running sums below.
-        .repartition(*REPORT_KEYS)
         .groupBy(*REPORT_KEYS, "day")
         .agg(*[F.sum(name).alias(name) for name in measures])
     )

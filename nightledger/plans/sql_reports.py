@@ -2,26 +2,25 @@
 
 from pyspark.sql import functions as F
 
-from ..dates import as_day
-from ..fixed_values import HOTEL_RECODES, REPORT_NIGHT_CAP
+from ..dates import given_day
+from ..fixed_values import HOTEL_RECODES
 from ..functions.codes import recode
 from ..operators.joins import with_segment_ids
 from ..operators.nights import stay_nights
 from ..schemas import MAT_REVENUE, ROB_REVENUE
-from .mat import decorated, fact_totals, facts_between
+from .mat import dated_totals, decorated
 from .rob import BOOKING_KEYS, _decorated, booked_stays, revenue, rooms
 
 
 def rob_room_nights(reservations, hotels, bridge, segments, as_of):
     """Rooms on books with raw status codes and room nights, ordered by stay date.
 
-    `number_of_room_nights` adds the length of the whole stay for each of its
-    nights. Only the first 366 nights of a stay are expanded.
+    `number_of_room_nights` adds the length of the whole stay for each of its nights.
     """
-    day = as_day(as_of)
+    day = given_day(as_of)
     stays = with_segment_ids(booked_stays(reservations, day), bridge)
     totals = (
-        stay_nights(stays, not_before=F.lit(day), night_cap=REPORT_NIGHT_CAP)
+        stay_nights(stays, not_before=F.lit(day))
         .groupBy("stay_date", *BOOKING_KEYS)
         .agg(
             F.sum(rooms() * F.datediff("departure", "arrival")).alias("number_of_room_nights"),
@@ -52,9 +51,8 @@ def rob_room_nights(reservations, hotels, bridge, segments, as_of):
 
 def mat_by_hotel(facts, hotels, segments, recodes=HOTEL_RECODES):
     """Room nights and revenue of all dates per date, hotel code shown and inventory."""
-    totals = fact_totals(facts_between(facts, None, None))
     return (
-        decorated(totals, hotels, segments)
+        decorated(dated_totals(facts), hotels, segments)
         .withColumn("hotel_code", recode(F.col("hotel_code"), recodes))
         .groupBy("as_of_date", "hotel_code", "inventory")
         .agg(

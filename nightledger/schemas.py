@@ -60,7 +60,15 @@ AUDIT = _struct(
     src_sys_id=T.IntegerType(),
 )
 
+DATES = _struct(
+    day=T.DateType(),
+    calendar_year=T.IntegerType(),
+    fiscal_start=T.DateType(),
+    fiscal_week=T.IntegerType(),
+)
+
 BY_TABLE = {
+    "dates": DATES,
     "reservations": RESERVATIONS,
     "hotels": HOTELS,
     "bridge": BRIDGE,

@@ -1,11 +1,8 @@
 """One audit record per load, from figures Spark gathers while it writes."""
 
-from datetime import datetime
-
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from ..fixed_values import AUDIT_FIELDS
 from ..schemas import AUDIT
 from .files import write_by_date
 
@@ -19,25 +16,27 @@ def load_figures(record_id, modified_at):
     ]
 
 
-def audit_record(fields):
-    """The record in field order. A field may be None but not left out."""
-    for name in AUDIT_FIELDS:
-        if name not in fields:
-            raise ValueError(f"audit field {name} is missing; pass None if it has no value")
-    return {name: fields[name] for name in AUDIT_FIELDS}
-
-
-def write_audit(spark, path, fields):
-    """Appends one record to the audit log at `path`."""
-    row = tuple(audit_record(fields).values())
+def write_audit(
+    spark, path, *, glue_run_id, job_name, insert_record_count, s3_file_modified_datetime, update_record_count,
+    last_table_update_datetime, table_name, last_record_id, src_sys_id,
+):
+    """Appends one record to the audit log at `path`. A field may be None but not left out."""
+    row = (
+        glue_run_id, job_name, insert_record_count, s3_file_modified_datetime, update_record_count,
+        last_table_update_datetime, table_name, last_record_id, src_sys_id,
+    )
     spark.createDataFrame([row], AUDIT).coalesce(1).write.mode("append").parquet(path)
 
 
-def audited_write(df, path, audit_path, record_id, modified_at, by="as_of_date", mode="replace", **fields):
+def audited_write(
+    df, path, audit_path, record_id, modified_at, by="as_of_date", mode="replace", *,
+    glue_run_id, job_name, s3_file_modified_datetime, table_name, src_sys_id, update_record_count=0,
+):
     """`write_by_date`, followed by the audit record of the rows written.
 
     The figures are taken in the writing stage itself, after the last shuffle:
-    there every row counts once even when tasks or executors are lost.
+    there every row counts once even when tasks or executors are lost. All else, the time of
+    the source file too, is the caller's to say.
     """
     figures = Observation()
     write_by_date(
@@ -47,9 +46,8 @@ def audited_write(df, path, audit_path, record_id, modified_at, by="as_of_date",
         mode,
         watch=lambda rows: rows.observe(figures, *load_figures(record_id, modified_at)),
     )
-    known = {
-        "s3_file_modified_datetime": datetime.now().isoformat(sep=" ", timespec="seconds"),
-        "update_record_count": 0,
-        **figures.get,
-    }
-    write_audit(df.sparkSession, audit_path, {**known, **fields})
+    write_audit(
+        df.sparkSession, audit_path, glue_run_id=glue_run_id, job_name=job_name,
+        s3_file_modified_datetime=s3_file_modified_datetime, update_record_count=update_record_count,
+        table_name=table_name, src_sys_id=src_sys_id, **figures.get,
+    )

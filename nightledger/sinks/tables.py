@@ -3,19 +3,32 @@
 from ..fixed_values import JDBC_BATCH_ROWS
 
 
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
+
 def _checked(mode):
     if mode not in ("append", "overwrite"):
         raise ValueError(f"unknown mode {mode!r}: expected 'append' or 'overwrite'")
 
 
 def write_table(df, table, mode="append"):
-    """Into an existing catalog table, by column name; `overwrite` empties it first.
+    """Into an existing catalog table, by column name; `overwrite` replaces all its rows.
 
-    The table keeps its definition either way.
+    The table keeps its definition either way. A partitioned one loses partitions
+    that get no rows too, whatever the session says about overwriting.
     """
     _checked(mode)
-    columns = df.sparkSession.table(table).columns
-    df.select(*columns).write.insertInto(table, overwrite=mode == "overwrite")
+    spark = df.sparkSession
+    rows = df.select(*spark.table(table).columns)
+    if mode == "append":
+        rows.write.insertInto(table)
+        return
+    before = spark.conf.get(OVERWRITE_MODE)
+    spark.conf.set(OVERWRITE_MODE, "static")
+    try:
+        rows.write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(OVERWRITE_MODE, before)
 
 
 def write_jdbc_options(table, mode, parallel=None):
@@ -44,15 +57,41 @@ def write_jdbc(df, connection, table, mode="append", parallel=None):
 
 
 def register_by_date(spark, table, path, df_schema, by="as_of_date"):
-    """A catalog table over the files `write_by_date` puts at `path`."""
+    """A catalog table over the files `write_by_date` puts at `path`.
+
+    A table of that name must be over the same files already; another one raises. A new
+    one is told of all that is there.
+    """
+    new = not spark.catalog.tableExists(table)
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df_schema)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet "
         f"PARTITIONED BY (`{by}`) LOCATION '{path}'"
     )
+    there = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'").first()["data_type"]
+    if _bare(spark, there) != _bare(spark, path):
+        raise ValueError(f"table {table} is over {there}, not {path}")
+    if new:
+        repair_by_date(spark, table)
+
+
+def _bare(spark, path):
+    """The path as its store names it."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(found).toString()
+
+
+def refresh_by_date(spark, table, written=(), dropped=(), by="as_of_date"):
+    """Tells the table of the date folders just written and dropped; looks at no others."""
+    parts = lambda days: [f"PARTITION (`{by}` = DATE '{day}')" for day in days]
+    if written:
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {' '.join(parts(written))}")
+    if dropped:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(parts(dropped))}")
+    spark.catalog.refreshTable(table)
 
 
-def refresh_by_date(spark, table):
-    """Lets the table see date folders added or dropped since the last refresh."""
+def repair_by_date(spark, table):
+    """Lets the table see all date folders added or dropped behind its back, by listing them all."""
     spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
     spark.catalog.refreshTable(table)

@@ -118,12 +118,3 @@ def hotel_facts(spark, sf_dir, text_dates=True):
             F.col("l_extendedprice").cast(MONEY).alias("room_revenue"),
         )
     )
-
-
-def all_tables(spark, sf_dir):
-    return {
-        "reservations": reservations(spark, sf_dir),
-        "hotels": hotels(spark, sf_dir),
-        "bridge": bridge(spark, sf_dir),
-        "segments": segments(spark, sf_dir),
-    }

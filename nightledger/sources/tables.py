@@ -1,10 +1,9 @@
-from ..fixed_values import TABLE_NAMES
 from ..operators.schema import conform
 from ..schemas import BY_TABLE
 
 
-def read_table(spark, name, names=TABLE_NAMES):
-    """A logical table from the catalog, under its physical name, with its declared columns."""
+def read_table(spark, name, names):
+    """A logical table from the catalog, under its physical name in `names`, with its declared columns."""
     return conform(spark.table(names[name]), BY_TABLE[name])
 
 

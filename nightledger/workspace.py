@@ -1,18 +1,11 @@
 """Where a job may put files it writes on the way to its result."""
 
-import tempfile
 import uuid
 
 
-def scratch_path(spark, label):
-    """A new path below the cluster's shared checkpoint folder.
-
-    Only a local session may fall back to this machine's temporary folder:
-    elsewhere executors and driver would each see a different one.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+def scratch_path(spark, label, folder=None):
+    """A new path below `folder`, by default the shared checkpoint folder of the cluster."""
+    root = folder or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="nightledger-")
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -6,13 +6,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from nightledger import schemas
-from nightledger.dates import as_day
+from nightledger.dates import as_day, given_day
 from nightledger.functions.calendar import fiscal_week
 from nightledger.functions.codes import recode
 from nightledger.functions.parsing import business_day, first_midnight_from, moment_from, zero_date_to_null
 from nightledger.functions.rates import effective_rate
+from nightledger.operators.nights import stay_nights
 from nightledger.operators.schema import align_schema, conform, null_markers_to_null
-from nightledger.operators.versions import collapse_copies, expand_copies, latest_versions
+from nightledger.operators.versions import collapse_copies, latest_versions
 from nightledger.settings import session_settings
 
 
@@ -112,12 +113,9 @@ def test_conform(spark):
         conform(text.drop("segment"), schemas.SEGMENTS)
 
 
-def test_copies_collapse_and_expand(spark):
+def test_copies_are_counted(spark):
     frame = spark.createDataFrame([(1, None)] * 5 + [(1, "a")] * 2 + [(None, None)], "k int, v string")
-    collapsed = collapse_copies(frame)
-    assert sorted(r.copies for r in collapsed.collect()) == [1, 2, 5]
-    back = expand_copies(collapsed, block=2)
-    assert sorted(map(str, back.collect())) == sorted(map(str, frame.collect()))
+    assert sorted(r.copies for r in collapse_copies(frame).collect()) == [1, 2, 5]
 
 
 def test_latest_versions_keeps_whole_rows(spark):
@@ -130,6 +128,67 @@ def test_latest_versions_keeps_whole_rows(spark):
     assert found.columns == frame.columns
 
 
+def test_ties_without_a_booking_are_spread_over_tasks(spark):
+    """All rows of a load stamp tie, and have no booking number: they are one key."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        log = spark.range(0, 100_000, 1, 8).select(
+            F.lit(None).cast("bigint").alias("bkg_num"), F.lit(datetime(2025, 1, 1)).alias("load_datetime"),
+            F.concat(F.lit("row "), "id").alias("note"),
+        )
+        found = latest_versions(log, date(2025, 1, 3)).withColumn("task", F.spark_partition_id())
+        rows = found.groupBy("task").count().collect()
+        assert sum(r["count"] for r in rows) == 100_000
+        assert len(rows) > 1
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+
+
+def test_long_stays_go_by_blocks(spark):
+    stays = spark.createDataFrame([(1, date(2025, 1, 1), date(2028, 1, 1)), (2, date(2025, 1, 1), date(2025, 1, 1))],
+                                  "id int, arrival date, departure date")
+    nights = stay_nights(stays)
+    assert [r.stay_date for r in nights.orderBy("stay_date").collect()] == [
+        date(2025, 1, 1) + timedelta(days=n) for n in range(1095)]
+    assert nights.columns == [*stays.columns, "stay_date"]
+    assert stay_nights(stays, F.lit(date(2027, 12, 30))).count() == 2
+
+
+def test_conform_looks_names_up_in_any_case(spark):
+    upper = spark.sql("SELECT '3' AS SRC_SGMNT_ID, 'Web' AS Source, 'x' AS segment")
+    assert [tuple(r) for r in conform(upper, schemas.SEGMENTS).collect()] == [(3, "Web", "x")]
+    both = spark.createDataFrame([("a", "b")], "source string, SOURCE string")
+    with pytest.raises(ValueError, match="case"):
+        conform(both, schemas.SEGMENTS)
+
+
+def test_align_schema_gives_null_for_text_that_does_not_parse(spark):
+    frame = spark.sql("SELECT '' AS HOTEL_ID, 'x' AS no_of_rooms")
+    assert tuple(align_schema(frame, schemas.HOTELS).first()) == (None, None)
+
+
+def test_null_markers_in_columns_with_dots(spark):
+    frame = spark.createDataFrame([("NaN", 1)], "`a.b` string, `c.d` int")
+    assert tuple(null_markers_to_null(frame).first()) == (None, 1)
+
+
+def test_reports_need_a_date():
+    with pytest.raises(ValueError, match="date"):
+        given_day("  ")
+    assert given_day("2025-01-02") == date(2025, 1, 2)
+
+
 def test_session_settings():
-    assert session_settings(100 * 1024**4, 4000)["spark.sql.shuffle.partitions"] == "409600"
+    tib = 1024**4
+    assert session_settings(10 * tib, 4000)["spark.sql.shuffle.partitions"] == "10240"
+    assert session_settings(100 * tib, 4000)["spark.sql.shuffle.partitions"] == "20000"
     assert session_settings(1, 8)["spark.sql.shuffle.partitions"] == "8"

@@ -81,6 +81,28 @@ def test_range_is_the_union_of_its_dates(frames):
     assert {r[0] for r in rows(mat_range(*frames, "2025-11-06", None))} == set(days[1:])
 
 
+def test_ranges_of_any_length_read_text_alike(spark, frames):
+    """Days written without leading zeros come together with the others, where the parser takes them."""
+    _, *dims = frames
+    spark.conf.set("spark.sql.legacy.timeParserPolicy", "LEGACY")
+    try:
+        facts = spark.createDataFrame(
+            [("1-6-1998", "AAA1", 1, 5, Decimal("1.00")), ("01-06-1998", "AAA1", 1, 10, Decimal("1.00")),
+             ("02-06-0999", "AAA1", 1, 3, Decimal("1.00"))], frames[0].schema)
+        short = rows(mat_range(facts, *dims, "1998-06-01", "1998-06-02"))
+        long = rows(mat_range(facts, *dims, "1998-06-01", "1999-12-02"))
+        assert short == long
+        assert [row[6] for row in short] == [15]
+        assert [row[6] for row in rows(mat(facts, *dims, "0999-06-02"))] == [3]
+    finally:
+        spark.conf.unset("spark.sql.legacy.timeParserPolicy")
+
+
+def test_a_blank_date_is_refused(frames):
+    with pytest.raises(ValueError):
+        mat(*frames, " ")
+
+
 def test_unreadable_dates_belong_to_no_date(spark, frames):
     facts, *dims = frames
     bad = spark.createDataFrame([("2025-11-06", "AAA1", 1, 99, Decimal("1.00"))], facts.schema)

@@ -131,14 +131,22 @@ def test_as_of_as_text_date_or_datetime(tables):
     assert nights(rob(*frames, datetime(2025, 3, 5, 13))) == expected
 
 
-def test_long_stay_is_cut_only_in_the_room_nights_report(tables):
+def test_all_nights_of_a_long_stay_count(tables):
     frames = tables([version(arrival="2025-03-10", departure="2026-04-14")])
     assert rob(*frames, DAY).count() == 400
     report = rob_room_nights(*frames, DAY).collect()
-    assert len(report) == 366
+    assert len(report) == 400
     assert {r.number_of_room_nights for r in report} == {400}
-    # The cut counts from arrival, also when the stay has begun.
-    assert rob_room_nights(*frames, date(2025, 3, 20)).count() == 356
+    assert rob_room_nights(*frames, date(2025, 3, 20)).count() == 390
+
+
+def test_a_blank_date_is_refused(tables):
+    frames = tables([version()])
+    for blank in (None, "  "):
+        with pytest.raises(ValueError):
+            rob(*frames, blank)
+        with pytest.raises(ValueError):
+            rob_room_nights(*frames, blank)
 
 
 def test_room_nights_report_is_ordered_with_raw_status(tables):

@@ -5,11 +5,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from nightledger import schemas
-from nightledger.fixed_values import AUDIT_FIELDS
 from nightledger.operators.schema import conform
-from nightledger.sinks.audit import audit_record, audited_write, write_audit
+from nightledger.sinks.audit import audited_write, write_audit
 from nightledger.sinks.files import write_by_date, write_csv_by_date, write_parquet
-from nightledger.sinks.tables import refresh_by_date, register_by_date, write_jdbc_options, write_table
+from nightledger.sinks.tables import refresh_by_date, register_by_date, repair_by_date, write_jdbc_options, write_table
 from nightledger.sources.files import read_files
 from nightledger.sources.jdbc import connection_options, read_options
 from nightledger.sources.tables import read_source, read_table
@@ -99,14 +98,36 @@ def test_catalog_sees_new_and_dropped_dates_after_a_refresh(spark, report, tmp_p
     path, table = str(tmp_path / "out"), "refresh_check"
     write_by_date(report.filter("day(as_of_date) = 1"), path)
     register_by_date(spark, table, path, report.schema)
-    refresh_by_date(spark, table)
+    refresh_by_date(spark, table, [first_date(report, 1)])
     assert counts(spark.table(table)) == {1: 10}
     write_by_date(report.filter("day(as_of_date) = 2"), path)
-    refresh_by_date(spark, table)
+    refresh_by_date(spark, table, [first_date(report, 2)], [first_date(report, 1)])
+    assert counts(spark.table(table)) == {2: 10}
+    repair_by_date(spark, table)
     assert counts(spark.table(table)) == {1: 10, 2: 10}
+    with pytest.raises(ValueError, match="is over"):
+        register_by_date(spark, table, f"{path}-other", report.schema)
     spark.sql(f"DROP TABLE {table}")
 
 
+def first_date(report, day):
+    return report.filter(f"day(as_of_date) = {day}").first().as_of_date
+
+
+def test_overwrite_of_a_partitioned_table_replaces_all_of_it(spark, report, tmp_path):
+    spark.sql(f"CREATE TABLE part_check (hotel_code string, id bigint, as_of_date date) USING parquet "
+              f"PARTITIONED BY (as_of_date) LOCATION '{tmp_path}/p'")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        write_table(report, "part_check")
+        write_table(report.filter("day(as_of_date) = 1"), "part_check", mode="overwrite")
+        assert counts(spark.table("part_check")) == {1: 10}
+        assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "dynamic"
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+        spark.sql("DROP TABLE part_check")
+
+
 def test_table_append_and_overwrite(spark, report, tmp_path):
     spark.sql(f"CREATE TABLE load_check (hotel_code string, id bigint, as_of_date date) USING parquet LOCATION '{tmp_path}/t'")
     write_table(report, "load_check")
@@ -157,12 +178,11 @@ def test_jdbc_write_options():
     assert write_jdbc_options("t", "overwrite", parallel=4) == {**append, "truncate": "true", "numPartitions": "4"}
 
 
-def test_audit_record_needs_every_field():
-    whole = dict.fromkeys(AUDIT_FIELDS)
-    assert list(audit_record({**whole, "more": 1})) == AUDIT_FIELDS == schemas.AUDIT.fieldNames()
-    for name in AUDIT_FIELDS:
-        with pytest.raises(ValueError, match=name):
-            audit_record({k: v for k, v in whole.items() if k != name})
+def test_audit_needs_every_field(spark, tmp_path):
+    whole = dict.fromkeys(schemas.AUDIT.fieldNames())
+    for name in whole:
+        with pytest.raises(TypeError, match=name):
+            write_audit(spark, str(tmp_path / "log"), **{k: v for k, v in whole.items() if k != name})
 
 
 def test_audited_write(spark, report, tmp_path):
@@ -170,19 +190,15 @@ def test_audited_write(spark, report, tmp_path):
     changed = report.withColumn("changed", F.timestamp_add("HOUR", F.col("id").cast("int"), F.lit(datetime(2025, 1, 1))))
     for _ in range(2):
         audited_write(changed, path, log, F.col("id"), F.col("changed"), job_name="j", table_name="t",
-                      glue_run_id="r", src_sys_id=None)
+                      glue_run_id="r", src_sys_id=None, s3_file_modified_datetime="2025-01-01 00:00:00")
     records = spark.read.parquet(log).collect()
+    assert {(r.glue_run_id, r.s3_file_modified_datetime) for r in records} == {("r", "2025-01-01 00:00:00")}
     assert {(r.insert_record_count, r.last_record_id, r.last_table_update_datetime, r.update_record_count) for r in records} == {
         (30, 29, "2025-01-02 05:00:00", 0)}
     assert len(records) == 2
     assert spark.read.parquet(path).count() == 30
 
 
-def test_write_audit_rejects_incomplete_records(spark, tmp_path):
-    with pytest.raises(ValueError):
-        write_audit(spark, str(tmp_path / "log"), {"job_name": "j"})
-
-
 def session_like(master, **settings):
     return SimpleNamespace(
         conf=SimpleNamespace(get=lambda key, default: settings.get(key.replace(".", "_"), default)),
@@ -195,4 +211,5 @@ def test_scratch_is_in_the_folder_the_cluster_shares(spark):
     assert scratch_path(cluster, "x").startswith("/shared/work/x-")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_path(session_like("yarn"), "x")
-    assert scratch_path(spark, "x") != scratch_path(spark, "x")
+    assert scratch_path(cluster, "x") != scratch_path(cluster, "x")
+    assert scratch_path(spark, "x", "/tmp/own").startswith("/tmp/own/x-")
