@@ -119,8 +119,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
 
     doc_id, first and end (words from 0, end exclusive), n_words, removed (false where
     a passage occurs first, by doc_id and place), cluster_id (smallest doc_id that has
-    a part of it), n_documents (least number of documents that share a part of it, an
-    upper bound of 2^63). Passages of at least SPREAD + WINDOW words that occur twice word for word, A-Z and a-z
+    a part of it) and n_paragraphs (of the largest cluster that it has a part of). Passages of at least SPREAD + WINDOW words that occur twice word for word, A-Z and a-z
     taken as one, are always found; lines of at least LINE_WORDS words also if their
     five-word shingle sets have a Jaccard similarity of 0.8 or more. Overlapping paragraphs
     are merged. Repeats within one doc_id alone do not count, nor do rows without a

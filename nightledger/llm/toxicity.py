@@ -188,12 +188,12 @@ def _example_rows(rows: DataFrame, idf: dict[str, float], share: float) -> list[
     return [(r["doc_id"], Counter(dict(zip(r["terms"], r["n"])))) for r in found.orderBy("doc_id").limit(2 * EXAMPLES).collect()]
 
 
-def isotonic(toxic: np.ndarray, rows: np.ndarray, share: float) -> np.ndarray:
-    """The non-decreasing shares nearest to toxic / rows, bin by bin; an empty bin has the overall share, with little weight."""
+def isotonic(toxic: np.ndarray, rows: np.ndarray, little: float = 0.05) -> np.ndarray:
+    """The non-decreasing shares nearest to toxic / rows, bin by bin; each bin has its own vote as a row of little weight."""
     level, weight, width = [], [], []
-    for n, total in zip(toxic, rows):
-        level.append((n + share * 0.05) / (total + 0.05))
-        weight.append(total + 0.05)
+    for k, (n, total) in enumerate(zip(toxic, rows)):
+        level.append((n + little * (k + 0.5) / len(rows)) / (total + little))
+        weight.append(total + little)
         width.append(1)
         while len(level) > 1 and level[-2] >= level[-1]:
             a, b = weight[-2], weight[-1]
@@ -242,7 +242,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS
     toxic, rows = np.zeros(BINS), np.zeros(BINS)
     for row in bins:
         toxic[row["cell"]], rows[row["cell"]] = row["toxic"], row["n"]
-    levels = isotonic(toxic, rows, index.share) if rows.any() else (np.arange(BINS) + 0.5) / BINS
+    levels = isotonic(toxic, rows)
     # The vote breaks ties within a bin, without reaching the next one.
     score_column = F.element_at(F.lit([float(v) for v in levels]), cell + 1) * 0.999 + F.col("vote") * 0.001
     return votes.withColumn("score", score_column).select(

@@ -1,0 +1,77 @@
+import hashlib
+import random
+import re
+
+import pandas as pd
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from llm_fixtures import clashing, documents  # noqa: F401
+from nightledger.llm.exact_dedup import EMPTY, chunk_fingerprint, combine, exact_dedup, fingerprint
+
+
+@given(st.lists(st.binary(max_size=200), max_size=8))
+@settings(max_examples=60, deadline=None)
+def test_fingerprints_combine(parts):
+    whole = b"".join(parts)
+    total = EMPTY
+    for part in parts:
+        total = combine(total, chunk_fingerprint(part))
+    assert total == fingerprint(whole) == fingerprint(whole, 7)
+
+
+def test_order_length_and_zeros_count():
+    assert fingerprint(b"ab") != fingerprint(b"ba")
+    assert len({fingerprint(b"\0" * n) for n in range(5)}) == 5
+
+
+def brute(rows):
+    normal = [re.sub(r"[\x20\x09-\x0D]+", " ", text or "") for _, text in rows]
+    out = []
+    for (doc_id, _), text in zip(rows, normal):
+        ids = [d for (d, _), t in zip(rows, normal) if t == text]
+        out.append((doc_id, min((d for d in ids if d is not None), default=None), len(ids), hashlib.sha256(text.encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def got(df):
+    return sorted(((r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in df.collect()), key=str)
+
+
+def rows_with_everything():
+    long = "word " * 60_000
+    return [
+        (3, "a b"), (1, "a\t\n b"), (2, "a  b"), (5, " a b"), (7, None), (6, ""), (8, None), (9, long), (10, long + "x"),
+        (11, long), (4, "é\xa0b"), (12, "é\xa0b"), (13, "é b"), (None, "a b"), (None, "lone"), (14, "\x1c"), (15, "\x1c "),
+    ]
+
+
+def test_against_brute_force(documents, clashing):
+    rows = rows_with_everything()
+    random.Random(1).shuffle(rows)
+    df = clashing(documents(rows).drop("text")).join(documents(rows).select("doc_id", "text"), "doc_id")
+    assert got(exact_dedup(documents(rows), chunk=1000)) == brute(rows)
+    found = exact_dedup(df)
+    assert {r.doc_id for r in found.filter("kept").collect()} >= {1, 6, 9, 10}
+
+
+def test_repeated_rows_keep_one(documents):
+    rows = [(1, "x y")] * 3 + [(2, "x  y")] + [(None, "z")] * 2
+    found = exact_dedup(documents(rows)).collect()
+    assert [(r.doc_id, r.keep_id, r.group_size) for r in found if r.kept] == [(1, 1, 4), (None, None, 2)] or sorted(
+        (str(r.doc_id), r.group_size) for r in found if r.kept) == [("1", 4), ("None", 2)]
+    assert len(found) == 6
+
+
+def test_colliding_fingerprints_are_told_apart(documents):
+    def weak(batches):
+        for batch in batches:
+            size = [len(t) for t in batch.pop("normal")]
+            yield batch.assign(n_bytes=size, fp=pd.Series([1] * len(size), dtype="int64"))
+
+    rows = [(1, "aa"), (2, "bb"), (3, "aa"), (4, "bb"), (5, "cc"), (6, "dddd"), (7, "dddd")]
+    assert got(exact_dedup(documents(rows), make=weak)) == brute(rows)
+
+
+def test_empty_table(documents):
+    assert exact_dedup(documents([])).count() == 0

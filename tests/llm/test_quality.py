@@ -1,0 +1,119 @@
+import random
+
+from pyspark.sql import functions as F
+
+from llm_fixtures import clashing, documents, labels  # noqa: F401
+from nightledger.llm.kneser_ney import discounts, log_probabilities, model, perplexity_filter, trigram_counts, coded
+from nightledger.llm.quality_rules import isolation_filter, rule_statistics, statistics
+from nightledger.llm.tokens16 import SAME, Coder, trigrams
+
+COMMON = ["the", "of", "and", "to", "in", "is", "it", "was", "for", "on"]
+SYLLABLES = ["ther", "ing", "ation", "ment", "able", "or", "est", "ough", "and", "in"]
+
+
+def clean(pick, n=120):
+    words = [pick.choice(COMMON) if pick.random() < 0.5 else pick.choice(SYLLABLES) + pick.choice(SYLLABLES) for _ in range(n)]
+    return ".\n".join(" ".join(words[i : i + 15]) for i in range(0, n, 15)) + "."
+
+
+def poor(pick, n=120):
+    words = clean(pick, n).split()
+    kind = pick.randrange(3)
+    if kind == 0:
+        return " | ".join(words)
+    if kind == 1:
+        return " ".join(f"{w}$$$" for w in words)
+    return " ".join(f"{w.upper()}!!" for w in words)
+
+
+def table(seed=1, n=400):
+    pick = random.Random(seed)
+    rows = [(k, poor(pick) if k % 8 == 0 else clean(pick, pick.randrange(40, 200))) for k in range(n)]
+    return rows, [(k, int(k % 8 != 0), 0) for k in range(0, n, 2)]
+
+
+def brute_statistics(text):
+    text = text or ""
+    blank = " \t\n\r\x0b\f"
+    words = "".join(" " if c in blank else c for c in text).split(" ")
+    words = [w for w in words if w]
+    grams = [tuple(words[i : i + 8]) for i in range(len(words) - 7)]
+    covered = {j for i, g in enumerate(grams) if grams.count(g) > 1 for j in range(i, i + 8)}
+    lines, duplicates = set(), 0
+    for line in text.split("\n"):
+        if any(c not in blank for c in line):
+            duplicates += line in lines
+            lines.add(line)
+    return len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), duplicates, len(covered)
+
+
+def test_statistics_against_brute_force():
+    pick = random.Random(9)
+    alphabet = ["a", "b", " ", "\n", "\t", "#", "|", "é", "🙂", "\xa0", "\x1c", "a b c d e f g h ", "\r\n"]
+    texts = ["".join(pick.choice(alphabet) for _ in range(pick.randrange(80))) for _ in range(300)]
+    for text in [None, "", " \n ", "x " * 7, "x " * 9, *texts]:
+        assert statistics(text)[:5] == brute_statistics(text), text
+
+
+def test_isolation_forest(documents, labels, clashing):
+    rows, marks = table()
+    found = {r.doc_id: r for r in isolation_filter(clashing(documents(rows)), clashing(labels(marks).drop("quality")).drop("quality").join(labels(marks).select("doc_id", "quality"), "doc_id")).collect()}
+    unseen = [k for k, _ in rows if k % 2]
+    assert sum(found[k].kept for k in unseen if k % 8) / len([k for k in unseen if k % 8]) > 0.97
+    assert not any(found[k].kept for k, _ in rows if k % 8 == 0)
+
+
+def test_isolation_of_odd_tables(documents, labels):
+    odd = [(1, None), (2, ""), (None, "w " * 50), (3, "a b c d e f g h i j " * 3), (3, "lone " + " ".join(map(str, range(30))))]
+    found = isolation_filter(documents(odd), labels([])).collect()
+    assert sorted((str(r.doc_id), r.base_failed, r.kept, r.score) for r in found) == sorted(
+        [("1", True, False, None), ("2", True, False, None), ("None", True, False, None), ("3", True, False, None), ("3", False, True, None)])
+    few = isolation_filter(documents(odd), labels([(3, 1, 0), (3, None, 1), (None, 1, 1), (77, 0, 0)])).collect()
+    assert len(few) == 5
+    assert isolation_filter(documents([]), labels([])).count() == 0
+    assert rule_statistics(documents(odd)).count() == 5
+
+
+def test_trigrams_skip_runs():
+    codes = Coder()("the the the of it")
+    assert list(codes == SAME) == [False, True, True, False, False]
+    the, of = int(codes[0]), int(codes[3])
+    assert [int(t) & 0xFFFF for t in trigrams(codes)][:4] == [the, SAME, SAME, of]
+    assert int(trigrams(codes)[3]) >> 16 & 0xFFFF == the and int(trigrams(codes)[2]) >> 16 & 0xFFFF == the
+    assert len(trigrams(Coder()(None))) == 1
+
+
+def test_probabilities_add_up(spark, documents, labels):
+    """After any context, the probabilities of all known codes and the unknown one sum to 1."""
+    pick = random.Random(2)
+    rows = [(k, clean(pick)) for k in range(30)]
+    counts = trigram_counts(coded(documents(rows), labels([(k, 1, 0) for k, _ in rows])).filter("trusted"))
+    tables = model(counts)
+    codes = [r.w for r in tables["p1"].select("w").collect()]
+    contexts = [r.context for r in tables["back3"].select("context").limit(5).collect()] + [(777 << 16) | codes[0], (777 << 16) | 778]
+    grams = spark.createDataFrame([((c << 16) | w,) for c in contexts for w in [*codes, 60000]], "gram long").distinct()
+    known = set(codes)
+    assert 60000 not in known
+    sums = log_probabilities(grams, tables).groupBy(F.shiftrightunsigned("gram", 16).alias("c")).agg(F.sum(F.exp("logp")).alias("s")).collect()
+    for row in sums:
+        assert abs(row.s - 1) < 0.02, row
+    assert all(0 < d < k + 1 for k, d in enumerate(discounts(counts, "n")))
+
+
+def test_perplexity(documents, labels, clashing):
+    rows, marks = table(5)
+    found = {r.doc_id: r for r in perplexity_filter(clashing(documents(rows)), labels(marks)).collect()}
+    unseen = [k for k, _ in rows if k % 2]
+    assert sum(found[k].kept for k in unseen) / len(unseen) > 0.95
+    assert sum(found[k].kept for k, _ in rows if k % 8 == 0) <= 2
+
+
+def test_perplexity_of_odd_tables(documents, labels):
+    rows = [(1, None), (2, ""), (None, "the of and"), (3, "the " * 20_000), (3, "of it"), (4, "und", None), (5, "und die", "de")]
+    found = perplexity_filter(documents(rows), labels([])).collect()
+    assert len(found) == 7 and all(r.kept for r in found)
+    marks = [(1, 1, 0), (2, 1, 0), (3, 1, 1), (3, 0, 1), (4, 1, 0), (5, 1, 0), (None, 1, 0), (9, None, 0)]
+    found = perplexity_filter(documents(rows), labels(marks)).collect()
+    assert len(found) == 7 and all(r.perplexity > 0 for r in found)
+    assert perplexity_filter(documents([]), labels([])).count() == 0
+    assert perplexity_filter(documents([]).drop("lang"), labels(marks)).count() == 0
