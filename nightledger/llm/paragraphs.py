@@ -35,14 +35,15 @@ def tune_bands(similarity: float = NUMERATOR / DENOMINATOR, recall: float = RECA
 
 
 BANDS, ROWS = tune_bands()
-_SEEDS = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407))
+_FACTORS = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407)) | np.uint64(1)
+_SHIFTS = mix(_FACTORS)
 
 
 def band_keys(shingles: np.ndarray) -> np.ndarray:
-    """A key per band, from the minima of BANDS * ROWS hash functions over a set that is not empty."""
+    """A key per band, from the minima of BANDS * ROWS linear functions over a set of hashes that is not empty."""
     least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
     for start in range(0, len(shingles), 4096):
-        part = mix(shingles[start : start + 4096, None] ^ _SEEDS[None, :])
+        part = shingles[start : start + 4096, None] * _FACTORS[None, :] + _SHIFTS[None, :]
         least = np.minimum(least, part.min(axis=0))
     keys = np.arange(1, BANDS + 1, dtype=np.uint64)
     for row in least.reshape(BANDS, ROWS).T:
@@ -50,14 +51,13 @@ def band_keys(shingles: np.ndarray) -> np.ndarray:
     return keys
 
 
-def anchors(hashes: np.ndarray) -> np.ndarray:
+def anchors(found: np.ndarray, n_words: int) -> np.ndarray:
     """Starts of windows: the word where the least shingle of each SPREAD consecutive ones begins."""
-    found = windows(hashes, SHINGLE)
     if len(found) < SPREAD:
         starts = np.array([found.argmin()]) if len(found) else np.zeros(0, int)
     else:
         starts = np.unique(sliding_window_view(found, SPREAD).argmin(axis=1) + np.arange(len(found) - SPREAD + 1))
-    return starts[starts + WINDOW <= len(hashes)]
+    return starts[starts + WINDOW <= n_words]
 
 
 def line_ranges(text: bytes, least: int) -> list[tuple[int, int]]:
@@ -71,35 +71,44 @@ def line_ranges(text: bytes, least: int) -> list[tuple[int, int]]:
     return out
 
 
+def _whole(words: np.ndarray) -> np.ndarray:
+    """A hash of each column's words, in order."""
+    total = np.zeros(words.shape[1], np.uint64)
+    for row in words:
+        total = total * np.uint64(0x9E3779B97F4A7C15) + row
+    return mix(total)
+
+
 def _digest(values: np.ndarray) -> tuple[int, int]:
     """128 bits of a set of hashes, as two signed numbers."""
     return int(values.sum(dtype=np.uint64)) - (1 << 63), int(np.bitwise_xor.reduce(mix(values))) - (1 << 63)
 
 
 def _paragraphs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows of all paragraphs of a batch, put together column by column."""
     for batch in batches:
-        out = []
+        rows: list[tuple[int, int]] = []
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        lines: list[tuple] = []
         for row_id, doc_id, text in zip(batch["row_id"], batch["doc_id"], batch["text"]):
             data = ascii_lower(text)
             hashes = hash_words(data.split())
-            starts = anchors(hashes)
+            every = windows(hashes, SHINGLE)
+            starts = anchors(every, len(hashes))
             if len(starts):
-                whole = windows(hashes, WINDOW)[starts]
-                other = windows(mix(hashes), WINDOW)[starts]
-                out.append(
-                    pd.DataFrame(
-                        {"row_id": row_id, "doc_id": doc_id, "first": starts, "end": starts + WINDOW,
-                         "low": whole.view(np.int64), "high": other.view(np.int64), "keys": None}
-                    )
-                )
-            lines = []
+                words = hashes[starts[:, None] + np.arange(WINDOW)].T
+                rows.append((row_id, doc_id))
+                found.append((starts, _whole(words), _whole(mix(words))))
             for first, end in line_ranges(data, LINE_WORDS):
-                shingles = np.unique(windows(hashes[first:end], SHINGLE))
+                shingles = np.unique(every[first : end - SHINGLE + 1])
                 lines.append((row_id, doc_id, first, end, *_digest(shingles), band_keys(shingles).view(np.int64)))
-            if lines:
-                out.append(pd.DataFrame(lines, columns=["row_id", "doc_id", "first", "end", "low", "high", "keys"]))
-        if out:
-            yield pd.concat(out, ignore_index=True).astype({"keys": object})
+        if found:
+            ids = np.repeat(np.array(rows, np.int64), [len(starts) for starts, _, _ in found], axis=0)
+            first, low, high = (np.concatenate(column) for column in zip(*found))
+            columns = {"row_id": ids[:, 0], "doc_id": ids[:, 1], "first": first, "end": first + WINDOW}
+            yield pd.DataFrame({**columns, "low": low.view(np.int64), "high": high.view(np.int64)}).assign(keys=None)
+        if lines:
+            yield pd.DataFrame(lines, columns=["row_id", "doc_id", "first", "end", "low", "high", "keys"])
 
 
 def _line_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -107,9 +116,9 @@ def _line_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out = []
         for text in batch["text"]:
             data = ascii_lower(text)
-            hashes = hash_words(data.split())
+            every = windows(hash_words(data.split()), SHINGLE)
             for first, end in line_ranges(data, LINE_WORDS):
-                shingles = np.unique(windows(hashes[first:end], SHINGLE))
+                shingles = np.unique(every[first : end - SHINGLE + 1])
                 out.append((*_digest(shingles), shingles.view(np.int64)))
         yield pd.DataFrame(out, columns=["low", "high", "shingles"])
 
