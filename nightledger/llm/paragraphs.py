@@ -3,7 +3,8 @@
 Paragraphs are the lines of a text, and, so that a passage is found wherever it has
 been put in, windows of WINDOW words that start at minima of the text itself. Lines are banded by
 MinHash, and lines that collide are linked if their shingle sets are similar enough.
-A window's band is its whole content. Either way, the cluster's first paragraph stays.
+A window's band is its whole content; equal windows grow on both sides for as long as words
+agree with another document. Either way, the cluster's first paragraph stays.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from nightledger.llm.common import saved, small_batches
+from nightledger.llm.common import saved, small_batches, text_key
 from nightledger.llm.hashing import SHINGLE, ascii_lower, hash_words, mix, windows
 from nightledger.llm.linking import crowded, link_buckets
 
@@ -26,6 +27,8 @@ RECALL = 0.9995
 LINE_WORDS = 40
 #: Any passage of at least SPREAD + WINDOW words holds a window whole: each SPREAD consecutive shingles start one.
 SPREAD, WINDOW = 32, 18
+#: Words of a passage before its first window or after its last one, at most; also between two of them, less a window.
+REACH = SPREAD - 1
 
 
 def tune_bands(similarity: float = NUMERATOR / DENOMINATOR, recall: float = RECALL, most_rows: int = 2) -> tuple[int, int]:
@@ -90,25 +93,25 @@ def _paragraphs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows: list[tuple[int, int]] = []
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         lines: list[tuple] = []
-        for row_id, doc_id, text in zip(batch["row_id"], batch["doc_id"], batch["text"]):
+        for row_id, doc_id, key, text in zip(batch["row_id"], batch["doc_id"], batch["text_key"], batch["text"]):
             data = ascii_lower(text)
             hashes = hash_words(data.split())
             every = windows(hashes, SHINGLE)
             starts = anchors(every, len(hashes))
             if len(starts):
                 words = hashes[starts[:, None] + np.arange(WINDOW)].T
-                rows.append((row_id, doc_id))
+                rows.append((row_id, doc_id, key))
                 found.append((starts, _whole(words), _whole(mix(words))))
             for first, end in line_ranges(data, LINE_WORDS):
                 shingles = np.unique(every[first : end - SHINGLE + 1])
-                lines.append((row_id, doc_id, first, end, *_digest(shingles), band_keys(shingles).view(np.int64)))
+                lines.append((row_id, doc_id, key, first, end, *_digest(shingles), band_keys(shingles).view(np.int64)))
         if found:
             ids = np.repeat(np.array(rows, np.int64), [len(starts) for starts, _, _ in found], axis=0)
             first, low, high = (np.concatenate(column) for column in zip(*found))
-            columns = {"row_id": ids[:, 0], "doc_id": ids[:, 1], "first": first, "end": first + WINDOW}
+            columns = {"row_id": ids[:, 0], "doc_id": ids[:, 1], "text_key": ids[:, 2], "first": first, "end": first + WINDOW}
             yield pd.DataFrame({**columns, "low": low.view(np.int64), "high": high.view(np.int64)}).assign(keys=None)
         if lines:
-            yield pd.DataFrame(lines, columns=["row_id", "doc_id", "first", "end", "low", "high", "keys"])
+            yield pd.DataFrame(lines, columns=["row_id", "doc_id", "text_key", "first", "end", "low", "high", "keys"])
 
 
 def _line_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -123,13 +126,105 @@ def _line_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out, columns=["low", "high", "shingles"])
 
 
+def _chains(words: np.ndarray, starts: np.ndarray, step: int) -> list[np.ndarray]:
+    """For each start, hashes of the 1, 2, ... REACH words from there on by `step`, as far as there are words."""
+    total = np.full(len(starts), 1 + (step > 0), np.uint64)
+    out = np.zeros((len(starts), REACH), np.uint64)
+    for k in range(REACH):
+        at = np.clip(starts + step * k, 0, len(words) - 1)
+        total = mix(total * np.uint64(0x9E3779B97F4A7C15) + words[at])
+        out[:, k] = total
+    there = np.clip(len(words) - starts if step > 0 else starts + 1, 0, REACH)
+    return [row[:n].view(np.int64) for row, n in zip(out, there)]
+
+
+def _around(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """What is around the windows of each text, at most 64 texts at once."""
+    for whole in batches:
+        for start in range(0, len(whole), 64):
+            batch, out = whole.iloc[start : start + 64], []
+            for row_id, doc_id, key, text, firsts, classes in zip(*(batch[c] for c in ("row_id", "doc_id", "text_key", "text", "firsts", "classes"))):
+                words = hash_words(ascii_lower(text).split())
+                first = np.asarray(firsts, np.int64)
+                sides = zip(_chains(words, first - 1, -1), _chains(words, first + WINDOW, 1))
+                out += [(c, row_id, doc_id, key, f, *side) for c, f, side in zip(classes, first, sides)]
+            yield pd.DataFrame(out, columns=["class_id", "row_id", "doc_id", "text_key", "first", "left", "right"])
+
+
+def _reaches(around: DataFrame, side: str) -> DataFrame:
+    """class_id, tail, owner, any, behind, n: how far windows with the same words around them agree with another document.
+
+    `any` words are also in another document after the same window, n times in all; of the
+    first place of the tail (owner), `behind` of them also in an earlier place, of its other places all.
+    A tail is a class's windows with the same REACH words on that side.
+    """
+    tails = around.groupBy("class_id", F.xxhash64(side).alias("tail")).agg(
+        F.min(F.struct("doc_id", "row_id", "first")).alias("owner"), F.max("doc_id").alias("last_id"),
+        F.count("*").alias("n"), F.min(side).alias("chain"),
+    )
+    tails = saved(tails, f"tails-{side}")
+    tall = tails.select("class_id", "tail", "owner", "last_id", "n", F.posexplode("chain").alias("k", "hash"))
+    shared = tall.groupBy("class_id", "hash").agg(
+        F.min("owner").alias("least"), F.max("last_id").alias("last_id"), F.sum("n").alias("every")
+    ).filter("least.doc_id != last_id").drop("last_id")
+    found = tall.join(saved(shared, f"shared-{side}"), ["class_id", "hash"]).groupBy("class_id", "tail").agg(
+        F.max(F.col("k") + 1).alias("any"), F.max(F.when(F.col("least") != F.col("owner"), F.col("k") + 1)).alias("behind"),
+        F.max(F.struct("k", "every")).alias("most"),
+    )
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    reaches = tails.select("class_id", "tail", "owner").join(found, ["class_id", "tail"], "left")
+    return saved(
+        reaches.select("class_id", F.col("tail").alias(f"tail_{side}"), F.col("owner").alias(f"owner_{side}"),
+                       *(zero(c).alias(f"{c}_{side}") for c in ("any", "behind")), F.col("most.every").alias(f"n_{side}")),
+        f"reaches-{side}",
+    )
+
+
+def _grown(texts: DataFrame, occurrences: DataFrame) -> DataFrame:
+    """Placed pieces (as in `repeated_passages`) of equal windows, with what is around them in more than one document.
+
+    `occurrences` (class_id, row_id, doc_id, text_key, first, keep, n) are windows whose class is in two documents.
+    Where words around a removed window occur elsewhere, but not before, they are a piece of their own that stays.
+    """
+    name = ["doc_id", "text_key"]
+    starts = occurrences.groupBy(*name).agg(
+        F.min("row_id").alias("row_id"), F.array_sort(F.collect_set(F.struct("first", "class_id"))).alias("s")
+    ).select("row_id", *name, F.col("s.first").alias("firsts"), F.col("s.class_id").alias("classes"))
+    # Rows that repeat the doc_id and the text have the same words around their windows.
+    held = texts.drop("row_id").join(starts, name).dropDuplicates(name)
+    schema = "class_id long, row_id long, doc_id long, text_key long, first int, left array<long>, right array<long>"
+    around = saved(held.select("row_id", *name, "text", "firsts", "classes").mapInPandas(_around, schema), "around")
+    tails = saved(
+        around.select("class_id", *name, "first", *(F.xxhash64(s).alias(f"tail_{s}") for s in ("left", "right"))), "window-tails"
+    )
+    x = occurrences.join(tails, ["class_id", *name, "first"])
+    for side in ("left", "right"):
+        x = x.join(_reaches(around, side), ["class_id", f"tail_{side}"])
+    place = F.struct("doc_id", "row_id", "first")
+    gone = lambda side: F.when(place == F.col(f"owner_{side}"), F.col(f"behind_{side}")).otherwise(F.col(f"any_{side}"))
+    x = x.withColumns({"place": place, "gone_left": gone("left"), "gone_right": gone("right"), "end": F.col("first") + WINDOW})
+    first, end, stays = F.col("first"), F.col("end"), F.col("place") == F.col("keep")
+    piece = lambda a, b, removed, keep, n: F.struct(
+        a.cast("int").alias("first"), b.cast("int").alias("end"), removed.alias("removed"), keep.alias("keep"), n.cast("long").alias("n")
+    )
+    low = {c: first - F.col(f"{c}_left") for c in ("any", "gone")}
+    high = {c: end + F.col(f"{c}_right") for c in ("any", "gone")}
+    pieces = F.when(stays, F.array(piece(low["any"], high["any"], F.lit(False), F.col("keep"), F.col("n")))).otherwise(F.array(
+        piece(low["gone"], high["gone"], F.lit(True), F.col("keep"), F.col("n")),
+        piece(low["any"], low["gone"], F.lit(False), F.col("place"), F.col("n_left")),
+        piece(high["gone"], high["any"], F.lit(False), F.col("place"), F.col("n_right")),
+    ))
+    pieces = x.select("row_id", "doc_id", F.explode(F.filter(pieces, lambda p: p["first"] < p["end"])).alias("piece"))
+    return pieces.select("row_id", "doc_id", "piece.*")
+
+
 def repeated_passages(docs: DataFrame) -> DataFrame:
     """One row per maximal passage of `docs` (doc_id, text) that is repeated in another document.
 
     doc_id, first and end (words from 0, end exclusive), n_words, removed (false where
     a passage occurs first, by doc_id and place), cluster_id (smallest doc_id that has
     a part of it) and n_paragraphs (of the largest cluster that it has a part of). Passages of at least SPREAD + WINDOW words that occur twice word for word, A-Z and a-z
-    taken as one, are always found; lines of at least LINE_WORDS words also if their
+    taken as one, are always found, from their first word to their last; lines of at least LINE_WORDS words also if their
     five-word shingle sets have a Jaccard similarity of 0.8 or more. Overlapping paragraphs
     are merged. Repeats within one doc_id alone do not count, nor do rows without a
     doc_id; null and short texts have no paragraphs. Other columns are not looked at. An
@@ -138,20 +233,26 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     small_batches(docs.sparkSession)
     texts = docs.filter("doc_id is not null").select(
         F.monotonically_increasing_id().alias("row_id"), F.col("doc_id").cast("long").alias("doc_id"),
-        F.col("text").cast("string").alias("text"),
+        text_key().alias("text_key"), F.col("text").cast("string").alias("text"),
     )
-    schema = "row_id long, doc_id long, first int, end int, low long, high long, keys array<long>"
+    schema = "row_id long, doc_id long, text_key long, first int, end int, low long, high long, keys array<long>"
     found = saved(texts.mapInPandas(_paragraphs, schema).withColumn("id", F.monotonically_increasing_id()), "paragraphs")
     name = ["low", "high"]
-    equal = found.groupBy(*name).agg(F.min("id").alias("class_id"), F.count("*").alias("n")).filter("n > 1")
-    equal = saved(equal.drop("n"), "equal-paragraphs")
+    equal = found.groupBy(*name).agg(
+        F.min("id").alias("class_id"), F.count("*").alias("n"), F.max("doc_id").alias("last_id"),
+        F.min(F.struct("doc_id", "row_id", "first")).alias("keep"),
+    ).filter("n > 1")
+    equal = saved(equal, "equal-paragraphs")
+    same = found.filter("keys is null").join(equal.filter("keep.doc_id != last_id"), name)
+    occurrences = saved(same.select("class_id", "row_id", "doc_id", "text_key", "first", "keep", "n"), "equal-windows")
+    equal = equal.select(*name, "class_id")
 
     lines = found.filter("keys is not null")
     firsts = lines.join(equal, name, "left").filter("class_id is null or class_id = id")
     linked = _linked_lines(texts, firsts.select("id", *name, "doc_id", "keys"))
 
     place = ["id", "row_id", "doc_id", "first", "end"]
-    shared = found.join(equal, name).select(*place, "class_id")
+    shared = lines.join(equal, name).select(*place, "class_id")
     alone = (
         lines.join(linked, "id", "left_semi").select(*place, F.col("id").alias("class_id"))
         .join(equal.select("class_id"), "class_id", "left_anti").select(*place, "class_id")
@@ -170,7 +271,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     )
     placed = clustered.join(clusters, "cluster").withColumn(
         "removed", F.struct("doc_id", "row_id", "first") != F.col("keep")
-    )
+    ).select("row_id", "doc_id", "first", "end", "removed", "keep", "n").unionByName(_grown(texts, occurrences))
     so_far = Window.partitionBy("row_id", "removed").orderBy("first", "end")
     opens = F.coalesce(F.max("end").over(so_far.rowsBetween(Window.unboundedPreceding, -1)), F.lit(-1)) < F.col("first")
     merged = placed.withColumn("opens", opens.cast("int")).withColumn("part", F.sum("opens").over(so_far))

@@ -152,6 +152,24 @@ def test_repeated_passages(documents, clashing):
     assert {r.doc_id for r in found if r.removed} == set(holders) - {0, 1, 2, 60}
 
 
+def test_passages_are_covered_from_end_to_end(documents):
+    pick = random.Random(12)
+    text = lambda n: [pick.choice(WORDS) + pick.choice(WORDS) for _ in range(n)]
+    shared, rows, want = [text(n) for n in (50, 100, 200, 2000)], [], set()
+    for k in range(12):
+        before, passage = text(pick.randrange(5, 80)), shared[k % 4]
+        rows.append((k, " ".join(before + passage[:30]) + "\n" + " ".join(passage[30:]) + "\n" + " ".join(text(39))))
+        want.add((k, len(before), len(before) + len(passage), k >= 4, k % 4, 3))
+    # 20 has the first 60 words of what 21 and 22 share whole.
+    parts = text(60), text(25)
+    rows += [(20, " ".join(parts[0] + text(50))), *((k, " ".join(text(9) + parts[0] + parts[1] + text(9))) for k in (21, 22))]
+    found = repeated_passages(documents(rows)).collect()
+    assert {tuple(r)[:3] + (r.removed, r.cluster_id, r.n_paragraphs) for r in found if r.doc_id < 20} == want
+    more = {(r.doc_id, r.first, r.end, r.removed, r.cluster_id) for r in found if r.doc_id >= 20}
+    assert {p for p in more if p[3]} == {(21, 9, 69, True, 20), (22, 9, 94, True, 20)}
+    assert (20, 0, 60, False, 20) in more and max(p[2] for p in more if p[0] == 21) == 94
+
+
 def test_passages_of_nothing(documents):
     rows = [(1, None), (2, ""), (None, "a b " * 60), (3, "a b"), (4, "x y z " * 40 + "\n" + "x y z " * 40), (4, "x y z " * 40)]
     assert repeated_passages(documents(rows)).count() == 0
