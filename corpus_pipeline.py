@@ -19,6 +19,8 @@ from nightledger.llm.queries import table, tokenizer_path
 
 #: The main domain's expected copies in the mix: a little over one, so that its typical documents all stay.
 REPEAT = 1.05
+#: Jaccard similarity from which on documents are near duplicates here: part of whole.
+NEAR = 80, 100
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +39,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates; documents without an id are in none."""
-    return kept_rows(docs, near_duplicates(docs).filter("kept or kept is null"))
+    return kept_rows(docs, near_duplicates(docs, *NEAR).filter("kept or kept is null"))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

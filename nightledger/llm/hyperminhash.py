@@ -21,15 +21,22 @@ from nightledger.llm.hashing import SHINGLE, ascii_lower, mix, shingle_set
 from nightledger.llm.linking import crowded, link_buckets
 
 ROWS = 5
-BANDS = 26
-BUCKETS = ROWS * BANDS
 MANTISSA = 9
 #: Bits of a bucket's value below the fill flag (1 bit) and the leading zeros (6 bits).
 NUMERATOR, DENOMINATOR = 85, 100
+#: Pairs at the threshold that share no band, at most.
+MISSED = 2.5e-7
 #: Pairs whose estimate is this many standard deviations below the threshold are not verified.
 DEVIATIONS = 6.0
 
-_SEEDS = mix(np.arange(1, BUCKETS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+def bands_for(similarity: float) -> int:
+    """The fewest bands of ROWS registers that miss at most MISSED of the pairs of that similarity."""
+    return int(np.ceil(np.log(MISSED) / np.log(1 - similarity**ROWS)))
+
+
+BANDS = bands_for(NUMERATOR / DENOMINATOR)
+BUCKETS = ROWS * BANDS
 
 
 def compress(values: np.ndarray, filled: np.ndarray) -> np.ndarray:
@@ -45,26 +52,28 @@ def compress(values: np.ndarray, filled: np.ndarray) -> np.ndarray:
     return (filled.astype(np.uint64) << np.uint64(15) | zeros << np.uint64(MANTISSA) | mantissa).astype(np.uint16)
 
 
-def registers(shingles: np.ndarray) -> np.ndarray:
-    """BUCKETS registers of a set that is not empty."""
+def registers(shingles: np.ndarray, buckets: int = BUCKETS) -> np.ndarray:
+    """Registers, one per bucket, of a set that is not empty."""
     hashes = mix(shingles ^ np.uint64(0xD6E8FEB86659FD93))
-    bucket = (hashes % np.uint64(BUCKETS)).astype(np.int64)
+    bucket = (hashes % np.uint64(buckets)).astype(np.int64)
     values = mix(hashes)
-    least = np.full(BUCKETS, np.iinfo(np.uint64).max, np.uint64)
+    least = np.full(buckets, np.iinfo(np.uint64).max, np.uint64)
     np.minimum.at(least, bucket, values)
-    filled = np.bincount(bucket, minlength=BUCKETS) > 0
+    filled = np.bincount(bucket, minlength=buckets) > 0
     empty = np.flatnonzero(~filled)
     if len(empty):
+        seeds = mix((empty.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
         for block in np.array_split(hashes, len(hashes) // 4096 + 1):
-            own = mix(block[:, None] ^ _SEEDS[None, empty]).min(axis=0)
+            own = mix(block[:, None] ^ seeds[None, :]).min(axis=0)
             least[empty] = np.minimum(least[empty], own)
     return compress(least, filled)
 
 
 def band_keys(found: np.ndarray) -> np.ndarray:
     """A 64-bit key per band, of the band's number and its registers."""
-    total = np.arange(1, BANDS + 1, dtype=np.uint64)
-    for row in found.reshape(BANDS, ROWS).T:
+    bands = len(found) // ROWS
+    total = np.arange(1, bands + 1, dtype=np.uint64)
+    for row in found.reshape(bands, ROWS).T:
         total = mix(total * np.uint64(0x9E3779B97F4A7C15) + row)
     return total
 
@@ -78,7 +87,7 @@ def chance_agreement() -> float:
     return 2.0**-MANTISSA / 3
 
 
-def _sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _sketch(batches: Iterator[pd.DataFrame], buckets: int) -> Iterator[pd.DataFrame]:
     for batch in batches:
         out = []
         for doc_id, key, text in zip(batch["doc_id"], batch["text_key"], batch["text"]):
@@ -86,7 +95,7 @@ def _sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if not len(shingles):
                 out.append((doc_id, key, 0, None, None, None, None))
                 continue
-            found = registers(shingles)
+            found = registers(shingles, buckets)
             low, high = int(shingles.sum(dtype=np.uint64)), int(np.bitwise_xor.reduce(mix(shingles)))
             out.append(
                 (doc_id, key, len(shingles), low - (1 << 63), high - (1 << 63), band_keys(found).view(np.int64), found.tobytes())
@@ -101,38 +110,38 @@ def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"doc_id": batch["doc_id"], "shingles": sets})
 
 
-def _estimates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Keeps pairs whose similarity, corrected for registers that agree by chance, may reach the threshold."""
-    bound = NUMERATOR / DENOMINATOR
-    least = bound - DEVIATIONS * (bound * (1 - bound) / BUCKETS) ** 0.5
+def _estimates(batches: Iterator[pd.DataFrame], bound: float, buckets: int) -> Iterator[pd.DataFrame]:
+    """Keeps pairs whose similarity, corrected for registers that agree by chance, may reach the threshold `bound`."""
+    least = bound - DEVIATIONS * (bound * (1 - bound) / buckets) ** 0.5
     chance = chance_agreement()
     for batch in batches:
         if not len(batch):
             continue
-        left = np.frombuffer(b"".join(batch["registers_a"]), np.uint16).reshape(-1, BUCKETS)
-        right = np.frombuffer(b"".join(batch["registers_b"]), np.uint16).reshape(-1, BUCKETS)
+        left = np.frombuffer(b"".join(batch["registers_a"]), np.uint16).reshape(-1, buckets)
+        right = np.frombuffer(b"".join(batch["registers_b"]), np.uint16).reshape(-1, buckets)
         agree = (left == right).mean(axis=1)
         estimate = (agree - chance) / (1 - chance)
         yield batch.loc[estimate >= least, ["a", "b"]]
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, part: int = NUMERATOR, whole: int = DENOMINATOR) -> DataFrame:
     """One row per row of `docs` (doc_id, text; other columns are not looked at): doc_id, n_shingles, component_id, kept, text_key.
 
     Sets are the distinct five-word shingles of the text with A-Z in lower case (fewer
     words: the whole sequence as one; none, or null: empty and linked with nothing).
-    Documents are linked if 100 * intersection >= 85 * union; component_id is the
-    smallest doc_id that links reach, kept marks that document. Rows that repeat a
+    Documents are linked if whole * intersection >= part * union (85 of 100 unless
+    told otherwise); component_id is the smallest doc_id that links reach, kept marks that document. Rows that repeat a
     doc_id get the same component, the smallest of theirs; rows without a doc_id are
     sketched but linked with nothing (component_id and kept are null). An empty table
     gives no rows.
     """
     spark = docs.sparkSession
     small_batches(spark)
+    bound, buckets_of_set = part / whole, ROWS * bands_for(part / whole)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("text_key"), F.col("text").cast("string").alias("text"))
     sketches = saved(
         texts.mapInPandas(
-            _sketch, "doc_id long, text_key long, n_shingles long, low long, high long, keys array<long>, registers binary"
+            lambda batches: _sketch(batches, buckets_of_set), "doc_id long, text_key long, n_shingles long, low long, high long, keys array<long>, registers binary"
         ),
         "sketches",
     )
@@ -155,11 +164,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         return (
             pairs.join(small.select(F.col("doc_id").alias("a"), F.col("registers").alias("registers_a")), "a")
             .join(small.select(F.col("doc_id").alias("b"), F.col("registers").alias("registers_b")), "b")
-            .mapInPandas(_estimates, "a long, b long").distinct()
+            .mapInPandas(lambda batches: _estimates(batches, bound, buckets_of_set), "a long, b long").distinct()
         )
 
     by_id = sets.select(F.col("doc_id").alias("id"), "shingles")
-    linked = saved(link_buckets(members, by_id, NUMERATOR, DENOMINATOR, likely), "linked-classes")
+    linked = saved(link_buckets(members, by_id, part, whole, likely), "linked-classes")
     # A repeated doc_id ties the classes of its texts together.
     ids = known.join(classes, name).select("doc_id", "first_id")
     ties = ids.filter("doc_id != first_id").distinct()
