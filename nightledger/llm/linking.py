@@ -38,7 +38,7 @@ def crowded(buckets: DataFrame) -> DataFrame:
 def _sized(members: DataFrame, sets: DataFrame, part: int, whole: int) -> DataFrame:
     """bucket, id, weight, size, single (elements of no other set) and most: the largest set to be linked with there.
 
-    Of x elements, of which u are in no other set of a large bucket, at most x - u are
+    Sets outside large buckets may hold single elements too. Of x elements, of which u are in no other set of a large bucket, at most x - u are
     common with one of y, and the union has at least y + u.
     """
     sizes = sets.select("id", F.size("shingles").alias("size"))
@@ -117,21 +117,26 @@ def link_buckets(
 
 
 def _referred(left: DataFrame, members: DataFrame, compared: DataFrame) -> DataFrame:
-    """Adds all buckets of the id; and ref, the weightiest id that it has been compared with, or itself, and how many elements differ."""
+    """Adds all buckets of the id; and ref, the weightiest id that it has been compared with, or itself, and how many elements differ.
+
+    A ref that is in no large bucket may hold elements counted as single; then none are.
+    """
     shared = members.groupBy("id").agg(
-        F.array_sort(F.collect_set("bucket")).alias("all"), F.max("weight").alias("own_weight")
+        F.array_sort(F.collect_set("bucket")).alias("all"), F.max("weight").alias("own_weight"),
+        (F.max("n") >= LARGE).alias("heavy"),
     )
     shared = saved(shared, "shared-buckets")
     differ = (F.col("size_a") + F.col("size_b") - 2 * F.col("common")).alias("differ")
     both = compared.select(F.col("a").alias("id"), F.col("b").alias("other"), differ).union(
         compared.select(F.col("b").alias("id"), F.col("a").alias("other"), differ)
     )
-    weights = shared.select(F.col("id").alias("other"), F.col("own_weight").alias("weight"))
-    own = shared.select("id", F.col("id").alias("other"), F.lit(0).alias("differ"), F.col("own_weight").alias("weight"))
-    every = both.join(weights, "other").select("id", "other", "differ", "weight").union(own)
-    refs = every.groupBy("id").agg(F.max(F.struct("weight", "other", "differ")).alias("r"))
-    refs = saved(refs.select("id", F.col("r.other").alias("ref"), F.col("r.differ").alias("differ")), "references")
-    return left.join(shared.select("id", "all"), "id").join(refs, "id")
+    weights = shared.select(F.col("id").alias("other"), F.col("own_weight").alias("weight"), "heavy")
+    own = shared.select("id", F.col("id").alias("other"), F.lit(0).alias("differ"), F.col("own_weight").alias("weight"), "heavy")
+    every = both.join(weights, "other").select("id", "other", "differ", "weight", "heavy").union(own)
+    refs = every.groupBy("id").agg(F.max(F.struct("weight", "other", "differ", "heavy")).alias("r"))
+    refs = refs.select("id", F.col("r.other").alias("ref"), F.col("r.differ").alias("differ"), F.col("r.heavy").alias("heavy"))
+    found = left.join(shared.select("id", "all"), "id").join(saved(refs, "references"), "id")
+    return found.withColumn("single", F.when(F.col("heavy"), F.col("single")).otherwise(F.lit(0))).drop("heavy")
 
 
 def _pairs(left: DataFrame, pivots: int | None, part: int, whole: int) -> DataFrame:
