@@ -158,12 +158,21 @@ def _reaches(around: DataFrame, side: str) -> DataFrame:
     first place of the tail (owner), `behind` of them also in an earlier place, of its other places all.
     A tail is a class's windows with the same REACH words on that side.
     """
-    tails = around.groupBy("class_id", F.xxhash64(side).alias("tail")).agg(
+    tail = F.xxhash64(side).alias("tail")
+    tails = around.groupBy("class_id", tail).agg(
         F.min(F.struct("doc_id", "row_id", "first")).alias("owner"), F.max("doc_id").alias("last_id"),
-        F.count("*").alias("n"), F.min(side).alias("chain"),
+        F.count("*").alias("n"), F.max(F.size(side)).alias("reach"),
     )
     tails = saved(tails, f"tails-{side}")
-    tall = tails.select("class_id", "tail", "owner", "last_id", "n", F.posexplode("chain").alias("k", "hash"))
+    # Where a class has one tail, all of it is in all of its documents; others compare one chain per tail.
+    several = saved(tails.groupBy("class_id").agg(F.count("*").alias("tails")), f"tail-counts-{side}").filter("tails > 1")
+    place = ["doc_id", "row_id", "first"]
+    owners = tails.join(several.select("class_id"), "class_id", "left_semi").select(
+        "class_id", "tail", "owner", "last_id", "n", *(F.col(f"owner.{c}").alias(c) for c in place)
+    )
+    chains = around.select("class_id", tail, *place, F.col(side).alias("chain")).join(owners, ["class_id", "tail", *place])
+    chains = saved(chains.select("class_id", "tail", "owner", "last_id", "n", "chain"), f"chains-{side}")
+    tall = chains.select("class_id", "tail", "owner", "last_id", "n", F.posexplode("chain").alias("k", "hash"))
     shared = tall.groupBy("class_id", "hash").agg(
         F.min("owner").alias("least"), F.max("last_id").alias("last_id"), F.sum("n").alias("every")
     ).filter("least.doc_id != last_id").drop("last_id")
@@ -171,6 +180,10 @@ def _reaches(around: DataFrame, side: str) -> DataFrame:
         F.max(F.col("k") + 1).alias("any"), F.max(F.when(F.col("least") != F.col("owner"), F.col("k") + 1)).alias("behind"),
         F.max(F.struct("k", "every")).alias("most"),
     )
+    one = tails.join(several.select("class_id"), "class_id", "left_anti").select(
+        "class_id", "tail", F.col("reach").alias("any"), F.lit(0).alias("behind"), F.struct(F.lit(0).alias("k"), F.col("n").alias("every")).alias("most")
+    )
+    found = found.union(one)
     zero = lambda c: F.coalesce(c, F.lit(0))
     reaches = tails.select("class_id", "tail", "owner").join(found, ["class_id", "tail"], "left")
     return saved(
@@ -188,10 +201,15 @@ def _grown(texts: DataFrame, occurrences: DataFrame) -> DataFrame:
     """
     name = ["doc_id", "text_key"]
     starts = occurrences.groupBy(*name).agg(
-        F.min("row_id").alias("row_id"), F.array_sort(F.collect_set(F.struct("first", "class_id"))).alias("s")
-    ).select("row_id", *name, F.col("s.first").alias("firsts"), F.col("s.class_id").alias("classes"))
-    # Rows that repeat the doc_id and the text have the same words around their windows.
-    held = texts.drop("row_id").join(starts, name).dropDuplicates(name)
+        F.min("row_id").alias("row_id"), F.max("row_id").alias("last_row"),
+        F.array_sort(F.collect_set(F.struct("first", "class_id"))).alias("s"),
+    )
+    starts = saved(starts.select("row_id", "last_row", *name, F.col("s.first").alias("firsts"), F.col("s.class_id").alias("classes")), "starts")
+    texts, again = texts.drop("row_id"), starts.filter("row_id != last_row")
+    held = texts.join(starts.filter("row_id = last_row"), name)
+    if not again.isEmpty():
+        # Rows that repeat the doc_id and the text have the same words around their windows.
+        held = held.union(texts.join(again, name).dropDuplicates(name))
     schema = "class_id long, row_id long, doc_id long, text_key long, first int, left array<long>, right array<long>"
     around = saved(held.select("row_id", *name, "text", "firsts", "classes").mapInPandas(_around, schema), "around")
     tails = saved(
