@@ -176,8 +176,8 @@ def solve(members: DataFrame, weights: list[float], repeat: float = 1.0, steps:
     The domain of the largest weight is to have `repeat` times its tokens, and the others
     theirs in proportion; of a domain scarcer than that, documents are repeated. Each residual counts
     relative to its domain's size, which makes a unit step safe. What is not met after `steps` is
-    solved for by Newton steps, halved until they bring the residual down. Targets that no
-    nonnegative rates along the memberships meet are told in a warning.
+    solved for by Newton steps, halved until they bring the residual down. If those do not reach the tolerance
+    either, the gradient steps stand, and a warning tells what is not met.
     """
     cells = saved(members.groupBy("p").agg(F.sum("n_tokens").alias("tokens")), "membership-cells")
     k = len(weights)
@@ -206,6 +206,7 @@ def solve(members: DataFrame, weights: list[float], repeat: float = 1.0, steps:
     while np.abs(away).max() >= TOLERANCE and len(found) < steps:
         found.append([float(v) for v in away])
         away = residual(found)
+    plain, left = list(found), away
     while np.abs(away).max() >= TOLERANCE and len(found) < MOST_STEPS:
         step, better = np.linalg.pinv(curved(found), rcond=1e-9) @ away, None
         for part in (1.0, 0.5, 0.25, 0.125, 1 / 32):
@@ -217,6 +218,8 @@ def solve(members: DataFrame, weights: list[float], repeat: float = 1.0, steps:
             break
         found.append([float(v) for v in better[0] * step])
         away = better[1]
+    if np.abs(away).max() >= TOLERANCE:
+        found, away = plain, left
     unmet = {i: float(v) for i, v in enumerate(away) if abs(v) >= TOLERANCE} | {
         i: None for i in range(k) if there[i] == 0 and target[i] > 0
     }
