@@ -40,6 +40,12 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dropped(spark: SparkSession, path: str) -> None:
+    """Deletes a scratch table that later ones have replaced."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def whole_text(column: str = "text") -> Column:
     """The text as a string; null counts as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

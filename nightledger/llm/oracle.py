@@ -62,3 +62,21 @@ WITH RECURSIVE tokens AS (
 )
 SELECT doc_id, len(shingles) AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN found USING (doc_id)
 """
+
+LINE_DEDUP = """
+WITH lines AS (
+    SELECT doc_id, unnest(list) AS line, generate_subscripts(list, 1) AS line_no
+    FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS list FROM documents)
+), keyed AS (
+    SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM lines
+), firsts AS (
+    SELECT key, min(doc_id) AS first_id FROM keyed WHERE length(key) >= 10 GROUP BY key
+), marked AS (
+    SELECT doc_id, line, line_no, coalesce(first_id < doc_id, false) AS gone FROM keyed LEFT JOIN firsts USING (key)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from nightledger.llm import oracle
 from nightledger.llm.exact_dedup import exact_dedup
 from nightledger.llm.hyperminhash import near_duplicates
 from nightledger.llm.kneser_ney import perplexity_filter
+from nightledger.llm.line_runs import line_dedup
 from nightledger.llm.mixing import TARGETS, label_domains, mix
 from nightledger.llm.packing import best_fit_packing
 from nightledger.llm.paragraphs import repeated_passages
@@ -71,11 +73,17 @@ def op10_best_fit_packing(spark, sf_dir):
     return best_fit_packing(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op13_line_runs(spark, sf_dir):
+    found = line_dedup(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
         op1_warc_salvage, op2_isolation_forest, op3_soft_mixing, op4_markov_secrets, op5_block_max_knn,
         op6_hyperminhash, op7_paragraph_minhash, op8_kneser_ney, op9_exact_dedup, op10_best_fit_packing,
+        op13_line_runs,
     )
 }
 
@@ -83,4 +91,5 @@ ORACLE = {
     "op1_warc_salvage": oracle.WARC,
     "op6_hyperminhash": oracle.NEAR_DUPLICATES,
     "op9_exact_dedup": oracle.EXACT_DEDUP,
+    "op13_line_runs": oracle.LINE_DEDUP,
 }
