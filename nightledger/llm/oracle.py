@@ -80,3 +80,45 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
     sha256(coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
 """
+
+
+def _code_round(number: int) -> str:
+    """Assignment to the codebook of this round, and the codebook after it."""
+    return f"""
+near{number} AS MATERIALIZED (
+    SELECT rid, p, any_value(x) AS x, arg_min(e, d * 16 + e) AS e, min(d) AS d FROM (
+        SELECT rid, a.p, a.x, e, CAST(list_inner_product(a.x, a.x) + list_inner_product(c, c)
+            - 2 * list_inner_product(a.x, c) AS BIGINT) AS d
+        FROM points a JOIN book{number} b ON a.p = b.p
+    ) GROUP BY rid, p
+), means{number} AS (
+    SELECT p, e, list(m ORDER BY j) AS c FROM (
+        SELECT p, e, j, floor(sum(x[j]) / count(*)) AS m FROM near{number}, range(1, 1 + len(x)) t(j) GROUP BY p, e, j
+    ) GROUP BY p, e
+), book{number + 1} AS MATERIALIZED (
+    SELECT b.p, b.e, coalesce(m.c, b.c) AS c FROM book{number} b LEFT JOIN means{number} m ON m.p = b.p AND m.e = b.e
+)"""
+
+
+VECTOR_CODES = f"""
+WITH kept AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY vec_id) AS rid, vec_id, label,
+        list_transform(embedding, lambda x: floor(4096 * CAST(x AS DOUBLE))) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), points AS MATERIALIZED (
+    SELECT rid, p, v[p * (len(v) // 8) + 1 : (p + 1) * (len(v) // 8)] AS x FROM kept, range(8) t(p)
+), book0 AS MATERIALIZED (
+    SELECT p, rid - 1 AS e, x AS c FROM points WHERE rid <= 16
+), {",".join(_code_round(number) for number in range(7))}
+, codes AS (
+    SELECT vec_id, any_value(label) AS label, string_agg(printf('%02x', CAST(e AS INTEGER)), '' ORDER BY p) AS code,
+        CAST(sum(d) AS BIGINT) AS error
+    FROM near6 JOIN kept USING (rid) GROUP BY rid, vec_id
+), books AS (
+    SELECT sha256(string_agg(CAST(CAST(c[j] AS BIGINT) AS VARCHAR), ',' ORDER BY p, e, j)) AS codebooks_sha256
+    FROM book6, range(1, 1 + len(c)) t(j)
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM codes, books
+"""

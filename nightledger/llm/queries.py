@@ -16,6 +16,7 @@ from nightledger.llm.paragraphs import repeated_passages
 from nightledger.llm.quality_rules import isolation_filter
 from nightledger.llm.secret_scan import scan_secrets
 from nightledger.llm.toxicity import toxicity_scores
+from nightledger.llm.vector_codes import codebooks_digest, vector_codes, with_label_errors
 from nightledger.llm.warc import pages_through_warc
 
 
@@ -73,6 +74,12 @@ def op10_best_fit_packing(spark, sf_dir):
     return best_fit_packing(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op11_drake_hamerly(spark, sf_dir):
+    codes, books = vector_codes(table(spark, sf_dir, "embeddings"))
+    found = with_label_errors(codes).withColumn("codebooks_sha256", F.lit(codebooks_digest(books)))
+    return found.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
 def op13_line_runs(spark, sf_dir):
     found = line_dedup(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -83,7 +90,7 @@ QUERIES = {
     for query in (
         op1_warc_salvage, op2_isolation_forest, op3_soft_mixing, op4_markov_secrets, op5_block_max_knn,
         op6_hyperminhash, op7_paragraph_minhash, op8_kneser_ney, op9_exact_dedup, op10_best_fit_packing,
-        op13_line_runs,
+        op11_drake_hamerly, op13_line_runs,
     )
 }
 
@@ -91,5 +98,6 @@ ORACLE = {
     "op1_warc_salvage": oracle.WARC,
     "op6_hyperminhash": oracle.NEAR_DUPLICATES,
     "op9_exact_dedup": oracle.EXACT_DEDUP,
+    "op11_drake_hamerly": oracle.VECTOR_CODES,
     "op13_line_runs": oracle.LINE_DEDUP,
 }
