@@ -122,3 +122,97 @@ WITH kept AS MATERIALIZED (
 SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
 FROM codes, books
 """
+
+
+def _dearer(value: str, cost: str, edits: str) -> str:
+    """A path (nine digits of cost, then edits) with more cost and edits; null stays null."""
+    return f"(lpad(CAST(CAST({value}[1:9] AS BIGINT) + {cost} AS VARCHAR), 9, '0') || {value}[10:] || '{edits}')"
+
+
+#: Paths after inserts before the next turn, by state: nothing yet, after s, after u, after a.
+_W2 = f"least(v2, {_dearer('v0', '2', 'I')}, {_dearer('v1', '2', 'I')}, {_dearer('v3', '2', 'I')})"
+_W3 = f"least(v3, {_dearer('w2', '2', 'I')})"
+
+CONVERSATIONS = rf"""
+WITH RECURSIVE crc_table AS (
+    SELECT list(c ORDER BY n) AS codes FROM (
+        SELECT n, list_reduce(list_prepend(n, [0, 0, 0, 0, 0, 0, 0, 0]),
+            lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+        FROM range(256) t(n)
+    )
+), harmed AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+            list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''),
+                lambda x: CAST(ascii(x) AS BIGINT))),
+            lambda c, b: xor(c >> 8, codes[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS harm
+    FROM conversations, crc_table
+), turns AS (
+    SELECT conv_id, turn, CASE WHEN harm = 4 THEN 'user' ELSE role END AS role,
+        CASE harm WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+    FROM harmed, range(2) copies(copy) WHERE harm != 0 AND (copy = 0 OR harm = 3)
+), ordered AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS i,
+        rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS trimmed
+    FROM turns
+), told AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS repeated FROM ordered
+), faulty AS (
+    SELECT *, CASE WHEN trimmed = '' THEN 'blank' WHEN repeated THEN 'duplicate'
+        WHEN right(trimmed, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+        lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair
+    FROM told
+), facts AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+        count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+        count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal,
+        count(*) AS n
+    FROM faulty GROUP BY conv_id
+), paths AS (
+    SELECT conv_id, CAST(0 AS BIGINT) AS pos, '000000000' AS v0, CAST(NULL AS VARCHAR) AS v1, CAST(NULL AS VARCHAR) AS v2,
+        CAST(NULL AS VARCHAR) AS v3
+    FROM facts
+    UNION ALL
+    SELECT conv_id, i, {_dearer('v0', '3', 'D')},
+        least({_dearer('v1', '3', 'D')}, CASE WHEN stays AND initial = 's' THEN {_dearer('v0', 'more', 'K')} END),
+        least({_dearer('w2', '3', 'D')},
+            CASE WHEN stays AND initial = 'u' THEN
+                least({_dearer('v0', 'more', 'K')}, {_dearer('v1', 'more', 'K')}, {_dearer('w3', 'more', 'K')}) END,
+            CASE WHEN stays THEN
+                least({_dearer('v0', '2 + more', 'R')}, {_dearer('v1', '2 + more', 'R')}, {_dearer('w3', '2 + more', 'R')}) END),
+        least({_dearer('w3', '3', 'D')},
+            CASE WHEN stays AND initial = 'a' THEN {_dearer('w2', 'more', 'K')} END,
+            CASE WHEN stays THEN {_dearer('w2', '2 + more', 'R')} END)
+    FROM (
+        SELECT *, {_W3} AS w3 FROM (
+            SELECT p.*, {_W2} AS w2, f.i, fault NOT IN ('blank', 'duplicate') AS stays, left(role, 1) AS initial,
+                CASE WHEN fault = 'truncated' THEN 1 ELSE 0 END AS more
+            FROM paths p JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM p.conv_id AND f.i = p.pos + 1
+        )
+    )
+), best AS (
+    SELECT conv_id, CAST(path[1:9] AS BIGINT) AS cost, path[10:] AS audit FROM (
+        SELECT conv_id, least(v0, {_W3}) AS path FROM (SELECT *, {_W2} AS w2 FROM paths) JOIN facts USING (conv_id) WHERE pos = n
+    )
+), replay AS (
+    SELECT conv_id, audit, CAST(0 AS BIGINT) AS pos, 0 AS state, CAST([] AS VARCHAR[]) AS lines FROM best
+    UNION ALL
+    SELECT r.conv_id, audit[2:], CASE WHEN audit[1] = 'I' THEN r.pos ELSE r.pos + 1 END,
+        CASE audit[1] WHEN 'D' THEN state WHEN 'K' THEN CASE left(role, 1) WHEN 's' THEN 1 WHEN 'u' THEN 2 ELSE 3 END
+            ELSE CASE state WHEN 2 THEN 3 ELSE 2 END END,
+        CASE audit[1] WHEN 'D' THEN lines WHEN 'K' THEN list_append(lines, role || ':' || text)
+            ELSE list_append(lines, CASE state WHEN 2 THEN 'assistant:' ELSE 'user:' END || CASE audit[1] WHEN 'R' THEN text ELSE '' END) END
+    FROM replay r LEFT JOIN ordered o ON o.conv_id IS NOT DISTINCT FROM r.conv_id AND o.i = r.pos + 1
+    WHERE audit != ''
+), repaired AS (
+    SELECT conv_id, sha256(array_to_string(lines, chr(10))) AS repaired_sha256 FROM replay WHERE audit = ''
+), ids AS (
+    SELECT DISTINCT conv_id FROM conversations
+)
+SELECT i.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+    coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost,
+    coalesce(audit, '') AS audit, coalesce(repaired_sha256, sha256('')) AS repaired_sha256
+FROM ids i LEFT JOIN facts f ON f.conv_id IS NOT DISTINCT FROM i.conv_id
+LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM i.conv_id
+LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM i.conv_id
+"""

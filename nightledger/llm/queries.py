@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nightledger.llm import oracle
+from nightledger.llm.conversations import repaired_after_damage
 from nightledger.llm.exact_dedup import exact_dedup
 from nightledger.llm.hyperminhash import near_duplicates
 from nightledger.llm.kneser_ney import perplexity_filter
@@ -80,6 +81,10 @@ def op11_drake_hamerly(spark, sf_dir):
     return found.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
 
 
+def op12_edit_search(spark, sf_dir):
+    return repaired_after_damage(table(spark, sf_dir, "conversations"))
+
+
 def op13_line_runs(spark, sf_dir):
     found = line_dedup(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -90,7 +95,7 @@ QUERIES = {
     for query in (
         op1_warc_salvage, op2_isolation_forest, op3_soft_mixing, op4_markov_secrets, op5_block_max_knn,
         op6_hyperminhash, op7_paragraph_minhash, op8_kneser_ney, op9_exact_dedup, op10_best_fit_packing,
-        op11_drake_hamerly, op13_line_runs,
+        op11_drake_hamerly, op12_edit_search, op13_line_runs,
     )
 }
 
@@ -99,5 +104,6 @@ ORACLE = {
     "op6_hyperminhash": oracle.NEAR_DUPLICATES,
     "op9_exact_dedup": oracle.EXACT_DEDUP,
     "op11_drake_hamerly": oracle.VECTOR_CODES,
+    "op12_edit_search": oracle.CONVERSATIONS,
     "op13_line_runs": oracle.LINE_DEDUP,
 }
