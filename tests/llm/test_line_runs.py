@@ -1,0 +1,91 @@
+import random
+
+from llm_fixtures import clashing, documents  # noqa: F401
+from nightledger.llm.common import scratch_path
+from nightledger.llm.line_runs import LineRuns, line_dedup, lines_of
+
+BLANKS = " \t\n\x0b\x0c\r"
+
+
+def key(line):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in line.strip(BLANKS))
+
+
+def brute(rows, least=10):
+    split = [(doc, (text or "").split("\n")) for doc, text in rows]
+    order = lambda doc: float("inf") if doc is None else doc
+    first = {}
+    for doc, lines in split:
+        for line in lines:
+            first[key(line)] = min(first.get(key(line), float("inf")), order(doc))
+    out = []
+    for doc, lines in split:
+        kept = [line for line in lines if len(key(line)) < least or first[key(line)] == order(doc)]
+        out.append((doc, len(lines), len(lines) - len(kept), "\n".join(kept)))
+    return sorted(out, key=str)
+
+
+def got(df, **more):
+    return sorted((tuple(r) for r in line_dedup(df, **more).collect()), key=str)
+
+
+def test_against_brute_force(spark, documents):  # noqa: F811
+    rng = random.Random(5)
+    lines = [f"Line number {i} of them" for i in range(60)] + ["short", "", "  \t", "exactly 10", "only nine", "ÀÉ äöü ßß.."]
+    vary = [str, str.upper, lambda x: f" \t{x}\r", lambda x: x + "\x0b"]
+    rows = [(i, "\n".join(rng.choice(vary)(rng.choice(lines)) for _ in range(rng.randint(0, 12)))) for i in range(120)]
+    # Nulls, repeated rows and ids, a very common line, a document of very many lines.
+    rows += [(200, None), (201, ""), (None, lines[0]), (None, lines[1] + "\n" + lines[61]), rows[3], rows[3], (7, lines[2])]
+    rows += [(300 + i, f"The very common line\nand line {i} alone") for i in range(150)]
+    rows += [(500, "\n".join([f"row {i:07d} of many" for i in range(2000)] * 2)), (501, "\n".join(f"row {i:07d} of many" for i in range(0, 4000, 3)))]
+    rng.shuffle(rows)
+    expected = brute(rows)
+    for batches, fanout in ((6, 3), (1, 2), (4, 2)):
+        assert got(documents(rows), batches=batches, fanout=fanout) == expected
+
+
+def test_odd_tables(documents, clashing):  # noqa: F811
+    rows = [(1, "a line of some length\nanother one here"), (2, "A LINE of some length ")]
+    assert got(clashing(documents(rows))) == brute(rows) == got(documents(rows))
+    assert got(documents([])) == []
+    assert got(documents([(None, None)])) == [(None, 1, 0, "")]
+
+
+def test_runs_are_merged_and_found_again(spark, documents):  # noqa: F811
+    folder = scratch_path(spark, "test-runs")
+    runs = LineRuns(spark, folder, buckets=4, fanout=2)
+    seen = []
+    for batch in range(5):
+        docs = documents([(batch * 10 + i, f"this line is {batch * 3 + i}") for i in range(5)])
+        # Another object, as of a later session, reads what is stored.
+        runs = LineRuns(spark, folder, buckets=4, fanout=2)
+        repeats = runs.add(lines_of(docs, 10))
+        assert repeats.filter("keep_id is null").count() == (2 if batch else 0)
+        seen.append([int(name.split("-")[0]) for name in runs.names()])
+    assert seen == [[0], [1], [0, 1], [2], [0, 2]]
+    runs.drop()
+    assert runs.names() == []
+
+
+def test_runs_are_read_as_they_lie(spark, documents):  # noqa: F811
+    """A merge join with a run shuffles and sorts the batch only."""
+    spark.conf.set("spark.sql.legacy.bucketedTableScan.outputOrdering", "true")
+    try:
+        runs = LineRuns(spark, scratch_path(spark, "test-runs"), buckets=4)
+        runs.add(lines_of(documents([(i, f"this line is {i}") for i in range(50)]), 10))
+        run = runs.run(runs.names()[0])
+        keys = lines_of(documents([(99, "this line is 7\nthis line is new")]), 10).groupBy("h1", "h2").count().repartition(4, "h1", "h2")
+        fresh = keys.join(run.hint("merge"), ["h1", "h2"], "left_anti")
+        assert fresh.count() == 1
+        plan = fresh._jdf.queryExecution().executedPlan().toString()
+        right = plan[plan.index("SortMergeJoin"):].split("FileScan parquet")[0].split("== Initial Plan ==")[0]
+        scan = right.splitlines()[-1]
+        assert "Bucketed: true" in plan and scan.count(":") <= 3
+        assert plan.split("== Initial Plan ==")[0].count("Sort [") == 1
+    finally:
+        spark.conf.unset("spark.sql.legacy.bucketedTableScan.outputOrdering")
+
+
+def test_no_python_on_the_way(spark, documents):  # noqa: F811
+    plan = line_dedup(documents([(1, "a line of some length")]))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
