@@ -156,14 +156,14 @@ class Totals:
         return np.concatenate([self.sums.ravel(), self.counts.ravel(), self.looked])
 
 
-def _matrix(column: pa.Array, rows: int) -> np.ndarray:
-    """Lists of equal length, as rows."""
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(rows, -1)
+def _matrix(column: pa.Array, kind: str, rows: int) -> np.ndarray:
+    """Rows of numbers that were written as bytes; those of a batch are equally long."""
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(rows, -1)
 
 
-def _lists(values: np.ndarray) -> pa.Array:
-    rows, width = values.shape
-    return pa.ListArray.from_arrays(np.arange(rows + 1, dtype=np.int32) * width, pa.array(values.ravel()))
+def _bytes(values: np.ndarray) -> pa.Array:
+    """A row of numbers as one value: nothing between Spark and Python has to look into it."""
+    return pa.array([row.tobytes() for row in np.ascontiguousarray(values)], pa.binary())
 
 
 def integers(values: np.ndarray) -> np.ndarray:
@@ -186,11 +186,11 @@ def _pass(step: Round, first: bool, fields: T.StructType) -> Callable[[Iterator[
             if not rows:
                 continue
             if first:
-                vectors = integers(_matrix(batch.column("vector"), rows) if width else np.zeros((rows, 0)))
+                vectors = integers(batch.column("vector").flatten().to_numpy(zero_copy_only=False).reshape(rows, parts * width))
             else:
-                vectors = _matrix(batch.column("ints"), rows).astype(np.int64) if width else np.zeros((rows, 0), np.int64)
-                near = _matrix(batch.column("near"), rows).reshape(rows, parts, -1)
-                bounds = _matrix(batch.column("bounds"), rows).reshape(rows, parts, -1)
+                vectors = _matrix(batch.column("ints"), "<i4", rows).astype(np.int64) if width else np.zeros((rows, 0), np.int64)
+                near = _matrix(batch.column("near"), "i1", rows).reshape(rows, parts, -1)
+                bounds = _matrix(batch.column("bounds"), "<f4", rows).reshape(rows, parts, -1)
             points = vectors.reshape(rows, parts, width)
             out, error = [], np.zeros(rows, np.int64)
             for p in range(parts):
@@ -206,15 +206,15 @@ def _pass(step: Round, first: bool, fields: T.StructType) -> Callable[[Iterator[
                 error += _squares(points[:, p], step.books[p][state[0][:, 0]][:, None])[:, 0]
                 out.append(state)
             found = {
-                "vec_id": batch.column("vec_id"), "label": batch.column("label"), "ints": _lists(vectors.astype(np.int32)),
-                "near": _lists(np.stack([s[0] for s in out], axis=1).reshape(rows, -1)),
-                "bounds": _lists(np.stack([s[1] for s in out], axis=1).reshape(rows, -1)),
+                "vec_id": batch.column("vec_id"), "label": batch.column("label"), "ints": _bytes(vectors.astype("<i4")),
+                "near": _bytes(np.stack([s[0] for s in out], axis=1).reshape(rows, -1)),
+                "bounds": _bytes(np.stack([s[1] for s in out], axis=1).reshape(rows, -1)),
                 "error": pa.array(error), "totals": pa.nulls(rows, pa.list_(pa.int64())), "is_total": pa.repeat(False, rows),
             }
             yield pa.RecordBatch.from_pydict({name: found[name] for name in names})
         if schema is not None:
             none = {name: pa.nulls(1, kind) for name, kind in zip(names, _arrow_types(schema), strict=True)}
-            none |= {"totals": _lists(totals.flat()[None]), "is_total": pa.array([True])}
+            none |= {"totals": pa.array([totals.flat()]), "is_total": pa.array([True])}
             yield pa.RecordBatch.from_pydict(none)
 
     return run
@@ -222,16 +222,16 @@ def _pass(step: Round, first: bool, fields: T.StructType) -> Callable[[Iterator[
 
 def _arrow_types(schema: pa.Schema) -> list[pa.DataType]:
     return [
-        schema.field("vec_id").type, schema.field("label").type, pa.list_(pa.int32()), pa.list_(pa.int8()),
-        pa.list_(pa.float32()), pa.int64(), pa.list_(pa.int64()), pa.bool_(),
+        schema.field("vec_id").type, schema.field("label").type, pa.binary(), pa.binary(), pa.binary(), pa.int64(),
+        pa.list_(pa.int64()), pa.bool_(),
     ]
 
 
 def _state_fields(rows: DataFrame) -> T.StructType:
     return T.StructType([
         T.StructField("vec_id", rows.schema["vec_id"].dataType), T.StructField("label", rows.schema["label"].dataType),
-        T.StructField("ints", T.ArrayType(T.IntegerType())), T.StructField("near", T.ArrayType(T.ByteType())),
-        T.StructField("bounds", T.ArrayType(T.FloatType())), T.StructField("error", T.LongType()),
+        T.StructField("ints", T.BinaryType()), T.StructField("near", T.BinaryType()),
+        T.StructField("bounds", T.BinaryType()), T.StructField("error", T.LongType()),
         T.StructField("totals", T.ArrayType(T.LongType())), T.StructField("is_total", T.BooleanType()),
     ])
 
@@ -317,11 +317,10 @@ def vector_codes(embeddings: DataFrame, parts: int = PARTS, entries: int = ENTRI
         after = np.where(counts[:, :, None] > 0, sums // np.maximum(counts, 1)[:, :, None], books)
         moved = _up(np.sqrt(((after - books) ** 2).sum(axis=2).astype(np.float64))).astype(np.float64)
         books = after
-    width = F.size("near") / parts
-    digits = F.transform(
-        F.sequence(F.lit(0), F.lit(parts - 1)), lambda p: F.lower(F.lpad(F.hex(F.get("near", (p * width).cast("int"))), 2, "0"))
-    )
-    codes = _read(spark, path, fields, False).select("vec_id", "label", F.array_join(digits, "").alias("code"), "error")
+    # The nearest entry is the first of each part's bytes.
+    width = (F.octet_length("near") / parts).cast("int")
+    digits = [F.lower(F.hex(F.substring("near", width * p + 1, F.lit(1)))) for p in range(parts)]
+    codes = _read(spark, path, fields, False).select("vec_id", "label", F.concat(*digits).alias("code"), "error")
     return codes, books
 
 
