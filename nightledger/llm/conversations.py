@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from nightledger.llm.common import saved, small_batches
 from nightledger.llm.edit_search import (
-    DELETE, FOLLOWS, GONE, INSERT, KEEP, NEXT, OTHER, REROLE, ROLES, START, composed, summaries,
+    FOLLOWS, GONE, INSERT, KEEP, NEXT, OTHER, REROLE, ROLES, START, composed, summaries,
 )
 
 #: Turns searched together at most.
@@ -100,11 +100,11 @@ def _searched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _composed(key: tuple[str], rows: pd.DataFrame) -> pd.DataFrame:
     """The way through the stretches of a conversation."""
-    numbers, ways = [], []
-    for number, stretch in rows.sort_values("stretch").groupby("stretch"):
-        numbers.append(number)
-        ways.append(list(stretch[["start", "end", "cost", "rank"]].itertuples(index=False, name=None)))
-    chosen = composed(ways)
+    stretches: dict[int, list] = {}
+    for stretch, *way in zip(*(rows[name].tolist() for name in ("stretch", "start", "end", "cost", "rank"))):
+        stretches.setdefault(stretch, []).append(way)
+    numbers = sorted(stretches)
+    chosen = composed([stretches[number] for number in numbers])
     return pd.DataFrame({
         "key": key[0], "stretch": numbers, "start": [start for start, _ in chosen], "end": [end for _, end in chosen],
     })
