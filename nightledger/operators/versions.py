@@ -5,6 +5,13 @@ from pyspark.sql import functions as F
 
 from ..functions.parsing import first_midnight_from, moment_from
 
+#: A key is hot from this many rows on, if they are also this share of the log.
+HOT_ROWS = 50_000
+HOT_SHARE = 0.001
+#: Keys are counted over this share of the log, drawn alike each time.
+SAMPLE = 0.01
+SAMPLE_SEED = 17
+
 
 def loaded_by(log, day):
     """Versions visible at midnight of `day`: one loaded later that day is not."""
@@ -23,15 +30,51 @@ def collapse_copies(df):
     return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("copies"))
 
 
-def latest(log, *keys):
+def hot_keys(log, key):
+    """Names (see `_named`) of the keys that are a large part of the log, at most 1 / HOT_SHARE of them.
+
+    Found by counting a sample of one column, and only used to choose between two ways to the same rows.
+    """
+    names = log.sample(SAMPLE, SAMPLE_SEED).select(_named(key).alias("name"))
+    # The subtotal without a name is that of the whole sample; no name has more.
+    counts = names.rollup("name").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.asc_nulls_first("name"))
+    total, *most = counts.limit(int(1 / HOT_SHARE) + 1).collect() or [None]
+    return [row["name"] for row in most if row["n"] >= max(HOT_ROWS * SAMPLE, total["n"] * HOT_SHARE)]
+
+
+def _named(key):
+    """A key as text that is never NULL, since NULL is a key as well."""
+    return F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.lit("-"))
+
+
+def _parted(log, key, hot):
+    """The rows of ordinary keys, and those of hot ones or None; hot keys are looked up if not given."""
+    hot = hot_keys(log, key) if hot is None else hot
+    if not hot:
+        return log, None
+    return log.filter(~_named(key).isin(hot)), log.filter(_named(key).isin(hot))
+
+
+def latest(log, key, hot=None):
     """Per key the rows with the newest load_datetime, copies and ties included; a NULL key is one.
 
-    The newest load of each key is found with partial maxima over two narrow columns
-    and joined to the rows, so that no task has to hold the rows of a key: Spark
-    can split the join where one key has very many.
+    A ranking does it in one pass: tasks leave out what is older than another row they hold, and rows move once.
+    That would put all ties of a key into one task. For hot keys the newest load is found
+    with partial maxima over two narrow columns and joined to the rows, which Spark can split.
     """
-    newest = log.groupBy(*keys).agg(F.max("load_datetime").alias("newest_load"))
-    return _joined(log, newest, keys).drop("newest_load")
+    plain, uneven = _parted(log, key, hot)
+    by_load = Window.partitionBy(key).orderBy(F.desc("load_datetime"))
+    found = _first_ranked(plain, by_load)
+    if uneven is None:
+        return found
+    newest = uneven.groupBy(key).agg(F.max("load_datetime").alias("newest_load"))
+    return found.unionByName(_joined(uneven, newest, [key]).drop("newest_load"))
+
+
+def _first_ranked(log, window):
+    """Rows that are first in the window, ties included; those without a load time do not count."""
+    ranked = log.filter(F.col("load_datetime").isNotNull()).withColumn("newness", F.rank().over(window))
+    return ranked.filter(F.col("newness") == 1).drop("newness")
 
 
 def _joined(log, newest, keys):
@@ -54,16 +97,29 @@ def with_valid_from(log, start=None):
     return log.withColumn("valid_from", F.greatest(F.lit(start), first) if start else first)
 
 
-def daily_latest(log, end):
+def daily_latest(log, end, hot=None):
     """Versions that are the latest on at least one day, with the days they are.
 
     Needs `valid_from`. Of the versions that become visible on the same day only
     the newest matter, which leaves a booking at most one load per day in range;
-    it then stays valid until the day before the booking's next one. That is found
-    out over booking, day and load time alone, before rows are joined to it.
+    it then stays valid until the day before the booking's next one. Rows move once, to
+    their booking, and all else is done there. For hot bookings the days are found
+    over booking, day and load time alone and joined to the rows.
     """
     keys = ["bkg_num", "valid_from"]
-    newest = log.groupBy(*keys).agg(F.max("load_datetime").alias("newest_load"))
+    plain, uneven = _parted(log, "bkg_num", hot)
+    by_load = Window.partitionBy(*keys).orderBy(F.desc("load_datetime"))
+    # Going backwards in time, the days before the current one in the frame are the later ones.
+    later = Window.partitionBy("bkg_num").orderBy(F.desc(F.unix_date("valid_from"))).rangeBetween(Window.unboundedPreceding, -1)
+    found = _first_ranked(plain.repartition("bkg_num"), by_load).withColumn("valid_to", _until(F.min("valid_from").over(later), end))
+    if uneven is None:
+        return found
+    newest = uneven.groupBy(*keys).agg(F.max("load_datetime").alias("newest_load"))
     following = F.lead("valid_from").over(Window.partitionBy("bkg_num").orderBy("valid_from"))
-    days = newest.withColumn("valid_to", F.coalesce(F.date_sub(following, 1), F.lit(end)))
-    return _joined(log, days, keys).drop("newest_load")
+    days = newest.withColumn("valid_to", _until(following, end))
+    return found.unionByName(_joined(uneven, days, keys).drop("newest_load"))
+
+
+def _until(following, end):
+    """The last day before the next one, or the end."""
+    return F.coalesce(F.date_sub(following, 1), F.lit(end))

@@ -36,11 +36,12 @@ def fact_totals(facts):
 def dated_totals(facts, start=None, end=None):
     """Totals of the dates from `start` to `end`.
 
-    DATEs are filtered first, which reaches the scan. Text dates are added up as they
-    are, so that only totals have to be parsed; days written in more than one way
-    come together after that.
+    DATEs are filtered first, which reaches the scan; so are text dates if both sides
+    are given. Over an open range text dates are added up as they are, so that only totals have to be
+    parsed; days written in more than one way come together after that.
     """
-    if isinstance(facts.schema["business_date"].dataType, T.StringType):
+    text = isinstance(facts.schema["business_date"].dataType, T.StringType)
+    if text and (start is None or end is None):
         return fact_totals(between(dated(fact_totals(facts)), start, end))
     return fact_totals(between(dated(facts), start, end))
 

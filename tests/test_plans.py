@@ -6,6 +6,7 @@ from datetime import date
 import pytest
 
 from checks.queries import QUERIES
+from nightledger.operators import versions
 from nightledger.plans.mat import mat_range
 from nightledger.plans.rob import rob, rob_range
 from nightledger.sources import stand_in
@@ -41,24 +42,43 @@ def shuffle_keys(plan):
     return re.findall(r"Arguments: hashpartitioning\((.*), \d+\), ", plan)
 
 
+def keys_of(plan):
+    return [re.sub(r"#\d+L?", "", key) for key in shuffle_keys(plan)]
+
+
 def test_rob_shuffles(spark, no_broadcast, capsys):
     plan = plan_of(rob(*rob_tables(spark), DAY), capsys)
-    keys = [re.sub(r"#\d+L?", "", key) for key in shuffle_keys(plan)]
-    # The newest load is found over key and load time alone. Then whole rows move once, to meet it.
-    newest = keys.index("bkg_num")
-    whole = [k for k, key in enumerate(keys) if "load_datetime" in key]
-    assert len(whole) == 1 and "partial_max(load_datetime" in plan
-    # Copies are counted after that; bridge links before their join.
-    assert not any("stay" in key and "load_datetime" in key for key in keys)
-    assert any(key.startswith("bkg_num, arrival") for key in keys)
+    keys = keys_of(plan)
+    # The log is read once and moves once, by booking; what is older than another row of its task stays behind.
+    assert plan.count("lineitem.parquet") == 1
+    assert plan.count("WindowGroupLimit") >= 2 and keys.count("bkg_num") == 1
+    # Copies are counted and bridge links join where the bookings are; links are counted before.
+    assert not any("arrival" in key or "load_datetime" in key for key in keys)
     assert keys.count("source_rsrv_id, src_sgmnt_id") == 1
     # Totals of nights are formed before hotels and segments come in.
     nights = keys.index("stay_date, hotel_id, reservation_status, src_sgmnt_id")
-    assert newest < nights < keys.index("hotel_id") < keys.index("src_sgmnt_id")
+    assert keys.index("bkg_num") < nights < keys.index("hotel_id") < keys.index("src_sgmnt_id")
+
+
+def test_a_range_moves_the_log_once(spark, no_broadcast, capsys):
+    plan = plan_of(rob_range(*rob_tables(spark), date(1998, 5, 1), DAY), capsys)
+    keys = keys_of(plan)
+    assert plan.count("lineitem.parquet") == 1
+    # By booking; all later moves are of bridge links, changes and dimensions.
+    assert keys.count("bkg_num") == 1
+    assert not any("valid_from" in key or "arrival" in key or "load_datetime" in key for key in keys)
 
 
-def test_no_window_over_whole_rows(spark, capsys):
-    assert "Window" not in plan_of(rob(*rob_tables(spark), DAY), capsys)
+def test_hot_bookings_have_no_window(spark, no_broadcast, monkeypatch, capsys):
+    """Where keys are hot, only narrow columns are grouped by them; rows go by a join that can be split."""
+    monkeypatch.setattr(versions, "HOT_ROWS", 0)
+    monkeypatch.setattr(versions, "SAMPLE", 1.0)
+    slim = rob_tables(spark)[0].select("bkg_num", "load_datetime", "hotel_id")
+    hot = versions.hot_keys(slim, "bkg_num")
+    assert 0 < len(hot) <= 1 / versions.HOT_SHARE
+    every = [row.name for row in slim.select(versions._named("bkg_num").alias("name")).distinct().collect()]
+    plan = plan_of(versions.latest(slim, "bkg_num", hot=every), capsys)
+    assert "SortMergeJoin" in plan and "partial_max(load_datetime" in plan
 
 
 def test_scans_are_pruned_and_filtered(spark, capsys):
@@ -71,11 +91,13 @@ def test_scans_are_pruned_and_filtered(spark, capsys):
     assert "GreaterThanOrEqual(l_shipdate" in week and "LessThan(l_shipdate" in week
 
 
-def test_text_dates_are_added_up_before_they_are_parsed(spark, capsys):
+def test_text_dates_of_a_range_are_filtered_and_added_up_once(spark, capsys):
     hotels, _, segments = rob_tables(spark)[1:]
-    plan = plan_of(mat_range(stand_in.hotel_facts(spark, SF_DIR), hotels, segments, DAY, DAY), capsys)
-    shuffled = [re.sub(r"#\d+L?", "", key) for key in shuffle_keys(plan)]
-    assert shuffled.count("business_date, hotel_code, src_sgmnt_id") == 2
+    facts = stand_in.hotel_facts(spark, SF_DIR)
+    sums = lambda plan: keys_of(plan).count("business_date, hotel_code, src_sgmnt_id")
+    assert sums(plan_of(mat_range(facts, hotels, segments, DAY, DAY), capsys)) == 1
+    # Of an open range only totals are parsed.
+    assert sums(plan_of(mat_range(facts, hotels, segments, None, DAY), capsys)) == 2
 
 
 WRITING = {

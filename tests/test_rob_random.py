@@ -7,6 +7,7 @@ from decimal import Decimal
 import brute
 import pytest
 
+from nightledger.operators import versions
 from nightledger.plans.rob import rob, rob_range
 
 FIRST = date(2025, 3, 1)
@@ -39,9 +40,16 @@ def random_tables(seed, rows=150):
     return versions, hotels, bridge, segments
 
 
+@pytest.mark.parametrize("hot", ["none", "some", "all"])
 @pytest.mark.parametrize("seed", range(4))
-def test_every_date_and_the_range(tables, seed):
+def test_every_date_and_the_range(tables, seed, hot, monkeypatch):
+    """Whichever bookings count as hot, the report is the same."""
+    if hot != "none":
+        monkeypatch.setattr(versions, "SAMPLE", 1.0)
+        monkeypatch.setattr(versions, "HOT_ROWS", 50 if hot == "some" else 0)
     raw = random_tables(seed)
+    log = tables(*raw)[0]
+    assert len(versions.hot_keys(log, "bkg_num")) in {"none": [0], "some": range(1, 9), "all": [9]}[hot]
     frames = tables(*raw)
     days = [FIRST + timedelta(days=n) for n in range(16)]
     expected = {}
