@@ -19,9 +19,10 @@ from nightledger.operators.nights import stay_nights
 from nightledger.operators.schema import align_schema, conform, null_markers_to_null
 from nightledger.operators.versions import collapse_copies, latest_versions
 from nightledger.plans import jobs, mat, rob, sql_reports
-from nightledger.sinks.audit import audited_write
+from nightledger.sinks.audit import audited_commit, audited_write, committed_audits
 from nightledger.sinks.files import write_by_date, write_csv_by_date, write_parquet
-from nightledger.sinks.tables import repair_by_date, write_table
+from nightledger.sinks.tables import register_by_date, repair_by_date, write_table
+from nightledger.sinks.versions import DatedVersions
 from nightledger.sources import stand_in
 from nightledger.sources.files import read_files
 from nightledger.sources.tables import read_source, read_table
@@ -412,6 +413,30 @@ def mat_bulk_text_job(spark, sf_dir):
     return spark.table(table)
 
 
+def mat_landed_daily(spark, sf_dir):
+    """Text-dated facts landed by date in two deliveries, the second of them twice; the report reads its date only."""
+    path = scratch_path(spark, "landed")
+    facts, hotels, segments = _mat_tables(spark, sf_dir)
+    first = F.col("room_nights") % 2 == 0
+    jobs.land_facts(facts.filter(first), path, "first")
+    for _ in range(2):
+        jobs.land_facts(facts.filter(~first | first.isNull()), path, "second")
+    return mat.mat(jobs.landed_facts(spark, path, AS_OF, AS_OF), hotels, segments, AS_OF)
+
+
+def load_audit_once(spark, sf_dir):
+    """A load that is run again leaves one record, and its rows once."""
+    path = scratch_path(spark, "load")
+    for _ in range(2):
+        audited_commit(
+            stand_in.reservations(spark, sf_dir), path, F.col("bkg_num"), F.col("load_datetime"), "reservation_status",
+            glue_run_id="run-1", job_name="reservations", s3_file_modified_datetime="2026-01-01 00:00:00",
+            table_name="reservations", src_sys_id=1,
+        )
+    stored = DatedVersions(spark, path, "reservation_status").read().count()
+    return committed_audits(spark, path, "reservation_status").withColumn("stored_rows", F.lit(stored).cast("bigint"))
+
+
 def csv_inferred(spark, sf_dir):
     """Headed CSV with types inferred, markers in text included."""
     path = scratch_path(spark, "hotels")
@@ -436,7 +461,9 @@ def catalog_refresh(spark, sf_dir):
     """A date added behind the catalog's back shows after the next refresh."""
     path, table = scratch_path(spark, "mat"), _table_name()
     tables = _mat_tables(spark, sf_dir)
-    jobs.mat_daily(*tables, path, day=WEEK[0], table=table)
+    first = mat.mat(*tables, WEEK[0])
+    write_by_date(first, path)
+    register_by_date(spark, table, path, first.schema)
     write_by_date(mat.mat(*tables, WEEK[1]), path)
     repair_by_date(spark, table)
     return spark.table(table)
@@ -541,10 +568,12 @@ QUERIES = {
     "mat_daily_job": mat_daily_job,
     "mat_bulk_job": mat_bulk_job,
     "mat_bulk_text_job": mat_bulk_text_job,
+    "mat_landed_daily": mat_landed_daily,
     "csv_inferred": csv_inferred,
     "rob_from_csv": rob_from_csv,
     "catalog_refresh": catalog_refresh,
     "named_tables": named_tables,
     "query_source": query_source,
     "load_audit": load_audit,
+    "load_audit_once": load_audit_once,
 }

@@ -1,36 +1,52 @@
 """The four jobs: compute a report for a date or a range and store it by date.
 
 Each takes the tables as DataFrames. Dates may be dates or ISO text; None and
-blank text mean the default. With `table` the catalog table over `path` is
-created if need be and told about the new dates. A rerun replaces what the path
-holds for the job's dates; with `mode` "append" it adds to it. `tasks` is that of
-`write_by_date`.
+blank text mean the default. With `table` the catalog gets that name, or keeps it, as
+a view of what the path holds. A rerun replaces the job's dates there in one
+step, so that readers see the old report or the new one; with `mode` "append" it adds to it.
+`tasks` is that of `write_by_date`. `stored` reads what jobs have stored.
 """
 
 from datetime import date
 
-from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from ..dates import as_day, days_ago
-from ..sinks.files import replace_dates, write_by_date
-from ..sinks.tables import refresh_by_date, register_by_date
+from ..functions.parsing import business_day
+from ..sinks.versions import DatedVersions, land_by_date
 from .mat import mat_range
 from .rob import rob, rob_range
 
 
 def _store(report, start, end, path, table, mode, tasks):
-    written, dropped = [], []
+    store = DatedVersions(report.sparkSession, path)
     if mode == "replace":
-        written, dropped = replace_dates(report, path, start, end, tasks=tasks)
+        store.replace(report, start, end, tasks)
+    elif mode == "append":
+        store.append(report, tasks)
     else:
-        seen = Observation()
-        days = F.collect_set("as_of_date").alias("days")
-        write_by_date(report, path, mode=mode, tasks=tasks, watch=lambda rows: rows.observe(seen, days))
-        written = sorted(seen.get["days"])
+        raise ValueError(f"unknown mode {mode!r}: expected 'replace' or 'append'")
     if table:
-        register_by_date(report.sparkSession, table, path, report.schema)
-        refresh_by_date(report.sparkSession, table, written, dropped)
+        store.publish(table)
+
+
+def stored(spark, path, start=None, end=None):
+    """What jobs have stored at `path` for these dates."""
+    return DatedVersions(spark, path).read(as_day(start), as_day(end))
+
+
+def land_facts(facts, path, delivery, tasks=None):
+    """Adds a delivery of facts to a copy by business date, in which MAT reports of a date read that date only.
+
+    Text dates are parsed here, once. A delivery that is landed again replaces itself.
+    """
+    day = business_day(F.col("business_date"), facts.schema["business_date"].dataType)
+    land_by_date(facts, path, "business_date", day, delivery, tasks)
+
+
+def landed_facts(spark, path, start=None, end=None):
+    """The landed facts of these dates, for the MAT reports."""
+    return DatedVersions(spark, path, "business_date").read(as_day(start), as_day(end))
 
 
 def rob_daily(reservations, hotels, bridge, segments, path, as_of=None, table=None, mode="replace", tasks=None):

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import AUDIT
 from .files import write_by_date
+from .versions import DatedVersions
 
 
 def load_figures(record_id, modified_at):
@@ -51,3 +52,28 @@ def audited_write(
         s3_file_modified_datetime=s3_file_modified_datetime, update_record_count=update_record_count,
         table_name=table_name, src_sys_id=src_sys_id, **figures.get,
     )
+
+
+def audited_commit(
+    df, path, record_id, modified_at, by="as_of_date", tasks=None, *,
+    glue_run_id, job_name, s3_file_modified_datetime, table_name, src_sys_id, update_record_count=0,
+):
+    """Adds a load to a `DatedVersions` store; rows and audit record are committed in one step.
+
+    Run and table name the load: if it is run again, after a crash or not, its rows and its record replace those before.
+    """
+    figures = Observation()
+    fields = {
+        "glue_run_id": glue_run_id, "job_name": job_name, "s3_file_modified_datetime": s3_file_modified_datetime,
+        "update_record_count": update_record_count, "table_name": table_name, "src_sys_id": src_sys_id,
+    }
+    return DatedVersions(df.sparkSession, path, by).append(
+        df, tasks, load=lambda: (f"{glue_run_id}/{table_name}", fields | figures.get),
+        watch=lambda rows: rows.observe(figures, *load_figures(record_id, modified_at)),
+    )
+
+
+def committed_audits(spark, path, by="as_of_date"):
+    """The audit records of a store, one per run and table."""
+    records = DatedVersions(spark, path, by).loads().values()
+    return spark.createDataFrame([tuple(record.get(name) for name in AUDIT.fieldNames()) for record in records], AUDIT)

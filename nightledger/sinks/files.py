@@ -1,6 +1,3 @@
-from datetime import date
-
-from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 # Folder name that Spark gives to rows without a date.
@@ -38,42 +35,6 @@ def write_by_date(
         writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").save(path)
 
 
-def stored_dates(spark, path, by, start, end):
-    """The date folders at `path` from `start` (None: the first) to `end`, from one listing of the top folder."""
-    top = spark._jvm.org.apache.hadoop.fs.Path(path)
-    store = top.getFileSystem(spark._jsc.hadoopConfiguration())
-    if start == end:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(top, f"{by}={end}")
-        return [end] if store.exists(folder) else []
-    names = [status.getPath().getName() for status in store.listStatus(top) if status.isDirectory()]
-    days = [name.removeprefix(f"{by}=") for name in names if name.startswith(f"{by}=")]
-    days = [date.fromisoformat(day) for day in days if day != NULL_FOLDER]
-    return sorted(day for day in days if day <= end and (start is None or start <= day))
-
-
-def drop_dates(spark, path, by, days):
-    """Deletes the folders of these dates: a call to the store each, no Spark job."""
-    for day in days:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(path, f"{by}={day}")
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-
-
-def replace_dates(df, path, start, end, by="as_of_date", tasks=None):
-    """Replaces what is stored from `start` (None: the beginning) to `end` by `df`.
-
-    Unlike a plain `replace` this also drops dates of the range that had rows
-    before and have none now. Returns the dates written and the dates dropped.
-    """
-    seen = Observation()
-    write_by_date(
-        df, path, by, tasks=tasks, watch=lambda rows: rows.observe(seen, F.collect_set(by).alias("days"))
-    )
-    written = sorted(seen.get["days"])
-    stale = sorted(set(stored_dates(df.sparkSession, path, by, start, end)) - set(written))
-    drop_dates(df.sparkSession, path, by, stale)
-    return written, stale
-
-
 def write_csv_by_date(df, path, by="as_of_date", mode="append", tasks=None, delimiter=","):
     write_by_date(df, path, by, mode, "csv", tasks, header=True, delimiter=delimiter)
 

@@ -10,7 +10,7 @@ from nightledger.plans.rob import rob
 
 
 def days(spark, path):
-    return sorted(r.as_of_date for r in spark.read.parquet(path).select("as_of_date").distinct().collect())
+    return sorted(r.as_of_date for r in jobs.stored(spark, path).select("as_of_date").distinct().collect())
 
 
 @pytest.fixture
@@ -32,7 +32,7 @@ def test_rob_daily_is_for_today(spark, tables, path):
     jobs.rob_daily(*frames, path, as_of="  ")
     assert days(spark, path) == [today]
     jobs.rob_daily(*frames, path)
-    assert spark.read.parquet(path).count() == 2
+    assert jobs.stored(spark, path).count() == 2
 
 
 def test_rob_bulk_runs_from_the_first_load_to_yesterday(spark, tables, path):
@@ -59,7 +59,7 @@ def test_bulk_then_daily_gives_the_daily_report(spark, tables, path):
     expected = rob(*frames, day)
     stored = spark.table("job_check").filter(f"as_of_date = date'{day}'").select(expected.columns)
     assert sorted(map(str, stored.collect())) == sorted(map(str, expected.collect()))
-    spark.sql("DROP TABLE job_check")
+    spark.sql("DROP VIEW job_check")
 
 
 def test_dates_left_without_rows_are_emptied(spark, tables, path):
@@ -71,19 +71,19 @@ def test_dates_left_without_rows_are_emptied(spark, tables, path):
     jobs.rob_daily(*tables([cancelled]), path, "2025-03-04", table="emptied_check")
     assert days(spark, path) == [date(2025, 3, 1)]
     assert spark.table("emptied_check").count() == 2
-    spark.sql("DROP TABLE emptied_check")
+    spark.sql("DROP VIEW emptied_check")
 
 
 def test_a_first_run_without_rows(spark, tables, path):
     jobs.rob_daily(*tables([version(status=9)]), path, "2025-03-04", table="first_check")
     assert spark.table("first_check").count() == 0
-    spark.sql("DROP TABLE first_check")
+    spark.sql("DROP VIEW first_check")
 
 
 def test_append_repeats_a_date(spark, tables, path):
     for _ in range(2):
         jobs.rob_daily(*tables([version()]), path, "2025-03-04", mode="append")
-    assert spark.read.parquet(path).count() == 4
+    assert jobs.stored(spark, path).count() == 4
 
 
 def test_mat_daily_is_for_yesterday(spark, tables, facts, path):
@@ -98,6 +98,6 @@ def test_mat_bulk_runs_from_the_first_fact_to_two_days_ago(spark, tables, facts,
     _, hotels, _, segments = tables([version()])
     jobs.mat_bulk(facts, hotels, segments, path, start=" ", end=None, tasks=2)
     assert days(spark, path) == [date.today() - timedelta(days=n) for n in (40, 3, 2)]
-    assert spark.read.parquet(path).drop("as_of_date").columns == [
+    assert jobs.stored(spark, path).drop("as_of_date").columns == [
         "hotel_id", "hotel_code", "inventory", "source_nm", "segment_nm", "Total_rooms", "total_room_revenue"]
-    assert schemas.MAT_REVENUE == spark.read.parquet(path).schema["total_room_revenue"].dataType
+    assert schemas.MAT_REVENUE == jobs.stored(spark, path).schema["total_room_revenue"].dataType

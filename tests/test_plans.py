@@ -102,7 +102,7 @@ def test_text_dates_of_a_range_are_filtered_and_added_up_once(spark, capsys):
 
 WRITING = {
     name for name in QUERIES if name.endswith(("_roundtrip", "_job")) or name in (
-        "truncate_overwrite", "table_append", "catalog_refresh", "load_audit", "csv_inferred", "rob_from_csv")
+        "truncate_overwrite", "table_append", "catalog_refresh", "load_audit", "load_audit_once", "mat_landed_daily", "csv_inferred", "rob_from_csv")
 }
 
 
