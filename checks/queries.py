@@ -2,7 +2,7 @@
 
 import tempfile
 import uuid
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -389,6 +389,38 @@ def rob_bulk_job(spark, sf_dir):
     return spark.table(table)
 
 
+def _deliveries(versions, *days):
+    """The log as it arrives by these days; one booking in seven comes a delivery late."""
+    loaded = F.col("load_datetime")
+    due = sum((F.when(loaded > F.lit(day), 1).otherwise(0) for day in days[:-1]), F.lit(0))
+    late = F.when(F.col("bkg_num") % 7 == 0, 1).otherwise(0)
+    numbered = versions.withColumn("delivery", F.least(due + late, F.lit(len(days) - 1)))
+    return [numbered.filter(F.col("delivery") == n).drop("delivery") for n in range(len(days))]
+
+
+def rob_daily_state_job(spark, sf_dir):
+    """The report of a date from a state that three deliveries, each with late loads, have brought forward."""
+    path, state, table = scratch_path(spark, "rob-state"), scratch_path(spark, "state"), _table_name()
+    reservations, *others = _rob_tables(spark, sf_dir, AS_OF)
+    days = [AS_OF - timedelta(days=60), AS_OF - timedelta(days=1), AS_OF]
+    for day, arrivals in zip(days, _deliveries(reservations, *days)):
+        jobs.rob_daily_from_state(arrivals, *others, path, state, as_of=day, table=table)
+    return spark.table(table).filter(F.col("as_of_date") == F.lit(AS_OF))
+
+
+def rob_extend_job(spark, sf_dir):
+    """A week stored in three steps: late loads change dates that are stored already; the last step is run twice."""
+    path, totals, table = scratch_path(spark, "rob-extended"), scratch_path(spark, "totals"), _table_name()
+    reservations, *others = _rob_tables(spark, sf_dir, WEEK[1])
+    days = [WEEK[0] + timedelta(days=2), WEEK[0] + timedelta(days=4), WEEK[1]]
+    log = reservations.filter(F.lit(False))
+    for n, (day, arrivals) in enumerate(zip(days, _deliveries(reservations, *days))):
+        for _ in range(1 + n // 2):
+            jobs.rob_extend(arrivals, log, *others, path, totals, f"delivery {n}", day, start=WEEK[0], table=table)
+        log = log.unionByName(arrivals)
+    return spark.table(table)
+
+
 def mat_daily_job(spark, sf_dir):
     path, table = scratch_path(spark, "mat-daily"), _table_name()
     jobs.mat_daily(*_mat_tables(spark, sf_dir), path, day=AS_OF, table=table)
@@ -565,6 +597,8 @@ QUERIES = {
     "table_append": table_append,
     "rob_daily_job": rob_daily_job,
     "rob_bulk_job": rob_bulk_job,
+    "rob_daily_state_job": rob_daily_state_job,
+    "rob_extend_job": rob_extend_job,
     "mat_daily_job": mat_daily_job,
     "mat_bulk_job": mat_bulk_job,
     "mat_bulk_text_job": mat_bulk_text_job,

@@ -25,6 +25,7 @@ from ..operators.versions import (
 from ..schemas import ROB_REVENUE
 
 BOOKING_KEYS = ["hotel_id", "reservation_status", "src_sgmnt_id"]
+MEASURES = ["rob", "room_revenue", "stays", "with_rooms", "with_revenue"]
 REPORT_KEYS = [
     "stay_date", "hotel_id", "hotel_code", "no_of_rooms", "source", "segment",
     "reservation_status", "owned_vs_managed",
@@ -50,8 +51,8 @@ def counts_as_booked():
     )
 
 
-def _slim(versions, first_day):
-    """Key and load time of each version, plus the stay if it can count after `first_day`.
+def slim(versions, first_day=None):
+    """Key and load time of each version, plus the stay if it can count, after `first_day` if given.
 
     Versions that cannot count still have to be there to supersede older ones,
     but only their key and load time go into the shuffle.
@@ -67,7 +68,9 @@ def _slim(versions, first_day):
         F.col("num_of_room_booked"),
         effective_rate(F.col("rm_rate"), F.col("rm_rate_wo_split")).alias("room_rate"),
     )
-    counts = counts_as_booked() & (departure > arrival) & (departure > first_day)
+    counts = counts_as_booked() & (departure > arrival)
+    if first_day is not None:
+        counts &= departure > first_day
     kept = [name for name in ("bkg_num", "load_datetime", "valid_from") if name in kinds]
     return versions.select(*kept, F.when(counts, stay).alias("stay"))
 
@@ -80,14 +83,13 @@ def _stays(versions, *more):
 
 def booked_stays(reservations, day):
     """Stays booked as of `day` that still have nights to come, with `copies` each."""
-    slim = _slim(loaded_by(reservations, day), F.lit(day))
-    return _stays(latest(slim, "bkg_num"))
+    return _stays(latest(slim(loaded_by(reservations, day), F.lit(day)), "bkg_num"))
 
 
 def booked_stays_in_range(reservations, start, end):
     """Stays booked on some day of the range, with the days each was the latest version."""
     seen = with_valid_from(loaded_by(reservations, end), start)
-    kept = daily_latest(_slim(seen, F.col("valid_from")), end)
+    kept = daily_latest(slim(seen, F.col("valid_from")), end)
     return _stays(kept, "valid_from", "valid_to")
 
 
@@ -119,9 +121,13 @@ def rob(reservations, hotels, bridge, segments, as_of):
     report columns are added up after that.
     """
     day = given_day(as_of)
-    stays = with_segment_ids(booked_stays(reservations, day), bridge)
+    return stays_report(booked_stays(reservations, day), hotels, bridge, segments, day)
+
+
+def stays_report(stays, hotels, bridge, segments, day):
+    """The report of the stays that are on books as of `day`."""
     totals = (
-        stay_nights(stays, not_before=F.lit(day))
+        stay_nights(with_segment_ids(stays, bridge), not_before=F.lit(day))
         .groupBy("stay_date", *BOOKING_KEYS)
         .agg(F.sum(rooms()).alias("rob"), F.sum(revenue()).alias("room_revenue"))
     )
@@ -142,7 +148,20 @@ def rob_range(reservations, hotels, bridge, segments, start, end):
     after the last. Running sums of the changes over the dates give the report.
     """
     first, end = as_day(start), given_day(end)
-    stays = with_segment_ids(booked_stays_in_range(reservations, first, end), bridge)
+    changes = night_changes(booked_stays_in_range(reservations, first, end), bridge, end)
+    per_night = (
+        _decorated(changes, hotels, segments)
+        .groupBy(*REPORT_KEYS, "day")
+        .agg(*[F.sum(name).alias(name) for name in MEASURES])
+    )
+    return reported(running_totals(per_night, REPORT_KEYS, end).filter(F.col("stays") > 0))
+
+
+def night_changes(stays, bridge, end):
+    """Per night, booking keys and day: what that day adds to, and takes from, the totals of the night.
+
+    `stays` hold the days that see them, `valid_from` to `valid_to`. A night counts until it is past.
+    """
     last_day = F.least("valid_to", "stay_date")
     change = F.explode(
         F.array(
@@ -151,8 +170,8 @@ def rob_range(reservations, hotels, bridge, segments, start, end):
         )
     )
     sign = F.col("change.sign")
-    changes = (
-        stay_nights(stays, not_before=F.col("valid_from"))
+    return (
+        stay_nights(with_segment_ids(stays, bridge), not_before=F.col("valid_from"))
         .withColumn("change", change)
         .withColumn("day", F.col("change.day"))
         .filter(F.col("day") <= F.lit(end))
@@ -167,25 +186,27 @@ def rob_range(reservations, hotels, bridge, segments, start, end):
             F.sum(F.when(revenue().isNotNull(), sign)).alias("with_revenue"),
         )
     )
-    measures = ["rob", "room_revenue", "stays", "with_rooms", "with_revenue"]
-    per_night = (
-        _decorated(changes, hotels, segments)
-        .groupBy(*REPORT_KEYS, "day")
-        .agg(*[F.sum(name).alias(name) for name in measures])
-    )
-    by_day = Window.partitionBy(*REPORT_KEYS).orderBy("day")
+
+
+def running_totals(changes, keys, end):
+    """The changes added up, for every `as_of_date` from the first change of `keys` to `end`."""
+    by_day = Window.partitionBy(*keys).orderBy("day")
     so_far = by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    running = per_night.select(
-        *REPORT_KEYS,
+    running = changes.select(
+        *keys,
         "day",
-        *[F.sum(name).over(so_far).alias(name) for name in measures],
+        *[F.sum(name).over(so_far).alias(name) for name in MEASURES],
         F.lead("day").over(by_day).alias("next_day"),
     )
     until = F.coalesce(F.date_sub("next_day", 1), F.lit(end))
+    days = F.explode(F.sequence("day", until, F.expr("interval 1 day")))
+    return running.withColumn("as_of_date", days).drop("day", "next_day")
+
+
+def reported(totals):
+    """The report of totals by REPORT_KEYS and as_of_date."""
     return _report(
-        running.filter(F.col("stays") > 0)
-        .withColumn("as_of_date", F.explode(F.sequence("day", until, F.expr("interval 1 day"))))
-        .withColumn("rob", F.when(F.col("with_rooms") > 0, F.col("rob")))
+        totals.withColumn("rob", F.when(F.col("with_rooms") > 0, F.col("rob")))
         .withColumn("room_revenue", F.when(F.col("with_revenue") > 0, F.col("room_revenue")))
     )
 

@@ -142,6 +142,14 @@ class DatedVersions:
 
         return self._commit(change, df.schema)
 
+    def forget(self, start, end):
+        """Drops the dates from `start` to `end`; returns the commit."""
+
+        def change(found):
+            found["folders"] = {day: v for day, v in found["folders"].items() if not self._inside(day, start, end)}
+
+        return self._commit(change, self._schema(self.commit()))
+
     @staticmethod
     def _note(found, load, version):
         """Notes a load, and returns the version of the one that it repeats."""
@@ -185,6 +193,10 @@ class DatedVersions:
     def _schema(self, found):
         return StructType.fromJson(json.loads(found["schema"]))
 
+    def dates(self):
+        """The dates that have rows."""
+        return sorted(date.fromisoformat(day) for day in self.commit()["folders"] if day)
+
     def loads(self):
         """The records of all loads, by key."""
         return {key: load["record"] for key, load in self.commit()["loads"].items()}

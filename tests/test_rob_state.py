@@ -1,0 +1,89 @@
+"""Day by day over a growing log, with late and early loads: the same as from the whole log."""
+
+import random
+from datetime import timedelta
+
+import brute
+import pytest
+from test_rob_random import FIRST, random_tables
+
+from nightledger import schemas
+from nightledger.plans import rob_state
+from nightledger.plans.rob import rob_range
+
+DAYS = [FIRST + timedelta(days=n) for n in range(2, 14, 3)]
+
+
+def deliveries(seed):
+    """Versions by the day they arrive: most on time, some late, some before their load time."""
+    raw = random_tables(seed, rows=90)
+    rng = random.Random(seed)
+    parts = [[] for _ in DAYS]
+    for row in raw[0]:
+        due = next((n for n, day in enumerate(DAYS) if row[1].date() <= day), len(DAYS) - 1)
+        parts[min(len(DAYS) - 1, max(0, due + rng.choice([0, 0, 0, 1, 2, -1])))].append(row)
+    return parts, raw
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, schemas.RESERVATIONS)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_daily_reports_from_the_state(spark, tables, seed):
+    parts, raw = deliveries(seed)
+    _, hotels, bridge, segments = tables(*raw)
+    state, so_far = None, []
+    for day, part in zip(DAYS, parts):
+        so_far += part
+        state = rob_state.advanced(state, frame(spark, part), day)
+        # As it would be stored.
+        state = spark.createDataFrame(state.collect(), state.schema)
+        assert brute.as_dict(rob_state.state_report(state, hotels, bridge, segments, day)) == brute.rob(so_far, *raw[1:], day)
+    loaded = [row.bkg_num for row in state.collect() if row.load_datetime.date() < DAYS[-1]]
+    assert len(set(loaded)) <= 9
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_extended_totals(spark, tables, seed):
+    parts, raw = deliveries(seed)
+    _, hotels, bridge, segments = tables(*raw)
+    start, last, so_far = FIRST, DAYS[0], list(parts[0])
+    stored = rob_state.night_totals(frame(spark, so_far), bridge, start, last).collect()
+    schema = rob_state.night_totals(frame(spark, so_far), bridge, start, last).schema
+    for day, part in zip(DAYS[1:], parts[1:]):
+        totals = spark.createDataFrame(stored, schema)
+        arrivals = frame(spark, part)
+        first = max(start, rob_state.first_changed(arrivals, last))
+        history = rob_state.state_of(frame(spark, so_far))
+        more = rob_state.extended_totals(totals, history, arrivals, bridge, first, last, day).select(totals.columns).collect()
+        stored = [row for row in stored if row.as_of_date < first] + more
+        so_far += part
+        last = day
+        expected = brute.as_dict(rob_range(frame(spark, so_far), hotels, bridge, segments, start, day))
+        assert brute.as_dict(rob_state.totals_report(spark.createDataFrame(stored, schema), hotels, segments)) == expected
+
+
+def test_a_state_is_history_enough_without_late_loads(spark, tables):
+    parts, raw = deliveries(5)
+    _, hotels, bridge, segments = tables(*raw)
+    rows, (last, day) = raw[0], (DAYS[1], DAYS[2])
+    early = [row for row in rows if row[1].date() <= last and (row[1].date() < last or row[1].hour == 0)]
+    late = [row for row in rows if row not in early]
+    state = rob_state.advanced(None, frame(spark, early), last)
+    totals = rob_state.night_totals(frame(spark, early), bridge, last, last)
+    arrivals = frame(spark, late)
+    assert rob_state.first_changed(arrivals, last) == last + timedelta(days=1)
+    more = rob_state.extended_totals(totals, state, arrivals, bridge, last + timedelta(days=1), last, day)
+    expected = brute.as_dict(rob_range(frame(spark, early + late), hotels, bridge, segments, last + timedelta(days=1), day))
+    assert brute.as_dict(rob_state.totals_report(more, hotels, segments)) == expected
+
+
+def test_no_arrivals(spark, tables):
+    parts, raw = deliveries(3)
+    _, hotels, bridge, segments = tables(*raw)
+    empty = frame(spark, [])
+    assert rob_state.first_changed(empty, DAYS[0]) == DAYS[0] + timedelta(days=1)
+    state = rob_state.advanced(rob_state.advanced(None, frame(spark, parts[0]), DAYS[0]), empty, DAYS[1])
+    assert brute.as_dict(rob_state.state_report(state, hotels, bridge, segments, DAYS[1])) == brute.rob(parts[0], *raw[1:], DAYS[1])
+    assert rob_state.advanced(None, empty, DAYS[0]).count() == 0
