@@ -20,8 +20,8 @@ from nightledger.operators.schema import align_schema, conform, null_markers_to_
 from nightledger.operators.versions import collapse_copies, latest_versions
 from nightledger.plans import jobs, mat, rob, sql_reports
 from nightledger.sinks.audit import audited_commit, audited_write, committed_audits
-from nightledger.sinks.files import write_by_date, write_csv_by_date, write_parquet
-from nightledger.sinks.tables import register_by_date, repair_by_date, write_table
+from nightledger.sinks.files import write_aligned, write_by_date, write_csv_by_date, write_parquet
+from nightledger.sinks.tables import register_by_date, repair_by_date, write_bucketed, write_table
 from nightledger.sinks.versions import DatedVersions
 from nightledger.sources import stand_in
 from nightledger.sources.files import read_files
@@ -235,18 +235,26 @@ def recode_hotel(spark, sf_dir):
     )
 
 
-def aligned(spark, sf_dir):
+def _landed(spark, sf_dir):
     """Upper-case text columns, one of them unknown to the target schema; some rates are empty or broken text."""
     rate = F.col("rm_rate").cast("string")
     broken = F.when(F.col("num_of_room_booked") == 1, "").when(F.col("num_of_room_booked") == 2, "n/a").otherwise(rate)
-    landed = stand_in.reservations(spark, sf_dir).select(
+    return stand_in.reservations(spark, sf_dir).select(
         F.col("bkg_num").cast("string").alias("BKG_NUM"),
         F.col("arrival_dt").cast("string").alias("Arrival_Dt"),
         broken.alias("RM_RATE"),
         F.col("num_of_room_booked").cast("string").alias("num_of_room_booked"),
         F.concat(F.lit("h"), "hotel_id").alias("Hotel Label"),
     )
-    return align_schema(landed, schemas.RESERVATIONS)
+
+
+def aligned(spark, sf_dir):
+    return align_schema(_landed(spark, sf_dir), schemas.RESERVATIONS)
+
+
+def rejected(spark, sf_dir):
+    """The cells that did not parse, by column and value."""
+    return write_aligned(_landed(spark, sf_dir), schemas.RESERVATIONS, scratch_path(spark, "aligned"))[1]
 
 
 def null_markers(spark, sf_dir):
@@ -398,6 +406,17 @@ def _deliveries(versions, *days):
     return [numbered.filter(F.col("delivery") == n).drop("delivery") for n in range(len(days))]
 
 
+def rob_bucketed_job(spark, sf_dir):
+    """The report over copies of log and bridge that are bucketed by booking."""
+    reservations, hotels, bridge, segments = _rob_tables(spark, sf_dir, AS_OF)
+    dealt = []
+    for df, key in ((reservations, "bkg_num"), (bridge, "source_rsrv_id")):
+        table = _table_name()
+        write_bucketed(df, table, key, 8, scratch_path(spark, "bucketed"))
+        dealt.append(spark.table(table))
+    return rob.rob(dealt[0], hotels, dealt[1], segments, AS_OF)
+
+
 def rob_daily_state_job(spark, sf_dir):
     """The report of a date from a state that three deliveries, each with late loads, have brought forward."""
     path, state, table = scratch_path(spark, "rob-state"), scratch_path(spark, "state"), _table_name()
@@ -584,6 +603,7 @@ QUERIES = {
     "decode_status": decode_status,
     "recode_hotel": recode_hotel,
     "align_schema": aligned,
+    "rejected_cells": rejected,
     "null_markers": null_markers,
     "zero_dates": zero_dates,
     "parse_dates": parse_dates,
@@ -597,6 +617,7 @@ QUERIES = {
     "table_append": table_append,
     "rob_daily_job": rob_daily_job,
     "rob_bulk_job": rob_bulk_job,
+    "rob_bucketed_job": rob_bucketed_job,
     "rob_daily_state_job": rob_daily_state_job,
     "rob_extend_job": rob_extend_job,
     "mat_daily_job": mat_daily_job,

@@ -47,19 +47,34 @@ def conform(df, schema, date_patterns=None):
     return df.select(*columns)
 
 
-def align_schema(df, target):
+def align_schema(df, target, rejects=None):
     """`df` with lower-cased names, cast to the types `target` has for those names.
 
     Columns `target` lacks are kept as they are; columns only `target` has are
-    not added. Text that does not parse, empty text too, gives NULL.
+    not added. Text that does not parse, empty text too, gives NULL. With `rejects` a column of that name
+    lists the cells of the row that did not.
     """
     kinds = {field.name.lower(): field.dataType for field in target}
-    return df.select(
-        *[
-            (_typed(_quoted(f.name), f.dataType, kinds[low]) if low in kinds else _quoted(f.name)).alias(low)
-            for low, f in _by_lower_name(df).items()
-        ]
-    )
+    columns, broken = [], []
+    for low, field in _by_lower_name(df).items():
+        cell = _quoted(field.name)
+        typed = _typed(cell, field.dataType, kinds[low]) if low in kinds else cell
+        columns.append(typed.alias(low))
+        if low in kinds and isinstance(field.dataType, T.StringType) and kinds[low] != field.dataType:
+            found = F.struct(F.lit(low).alias("column_name"), cell.alias("value"))
+            broken.append(F.when(cell.isNotNull() & typed.isNull(), found))
+    if rejects:
+        if rejects.lower() in _by_lower_name(df):
+            raise ValueError(f"there is a column {rejects} already")
+        none = F.array().cast("array<struct<column_name:string,value:string>>")
+        columns.append((F.filter(F.array(*broken), lambda found: found.isNotNull()) if broken else none).alias(rejects))
+    return df.select(*columns)
+
+
+def rejected_cells(df, rejects):
+    """How often each value of each column did not parse, from the column that `align_schema` made."""
+    cells = df.select(F.explode(rejects).alias("cell"))
+    return cells.groupBy("cell.column_name", "cell.value").agg(F.count(F.lit(1)).alias("cells"))
 
 
 def null_markers_to_null(df, markers=NULL_MARKERS):

@@ -103,15 +103,17 @@ def daily_latest(log, end, hot=None):
     Needs `valid_from`. Of the versions that become visible on the same day only
     the newest matter, which leaves a booking at most one load per day in range;
     it then stays valid until the day before the booking's next one. Rows move once, to
-    their booking, and all else is done there. For hot bookings the days are found
+    their booking, or not at all if the log is bucketed by it. For hot bookings the days are found
     over booking, day and load time alone and joined to the rows.
     """
     keys = ["bkg_num", "valid_from"]
     plain, uneven = _parted(log, "bkg_num", hot)
-    by_load = Window.partitionBy(*keys).orderBy(F.desc("load_datetime"))
+    same_day = Window.partitionBy("bkg_num").orderBy("valid_from").rangeBetween(Window.currentRow, Window.currentRow)
     # Going backwards in time, the days before the current one in the frame are the later ones.
     later = Window.partitionBy("bkg_num").orderBy(F.desc(F.unix_date("valid_from"))).rangeBetween(Window.unboundedPreceding, -1)
-    found = _first_ranked(plain.repartition("bkg_num"), by_load).withColumn("valid_to", _until(F.min("valid_from").over(later), end))
+    newest = plain.withColumn("newest_load", F.max("load_datetime").over(same_day))
+    newest = newest.filter(F.col("load_datetime") == F.col("newest_load")).drop("newest_load")
+    found = newest.withColumn("valid_to", _until(F.min("valid_from").over(later), end))
     if uneven is None:
         return found
     newest = uneven.groupBy(*keys).agg(F.max("load_datetime").alias("newest_load"))

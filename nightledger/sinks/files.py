@@ -1,5 +1,7 @@
 from pyspark.sql import functions as F
 
+from ..operators.schema import align_schema, rejected_cells
+
 # Folder name that Spark gives to rows without a date.
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
@@ -42,3 +44,15 @@ def write_csv_by_date(df, path, by="as_of_date", mode="append", tasks=None, deli
 def write_parquet(df, path, files=None):
     """A plain write, which fails when `path` exists."""
     (df.repartition(files) if files else df).write.parquet(path)
+
+
+def write_aligned(df, target, path, rejects="rejected"):
+    """Casts rows to `target` and stores them, in one pass over their source; returns them as stored, and the rejected cells.
+
+    Cells that did not parse are stored with their row, in the column `rejects`. Their counts by column and value
+    read that column alone.
+    """
+    aligned = align_schema(df, target, rejects)
+    aligned.write.parquet(path)
+    stored = df.sparkSession.read.schema(aligned.schema).parquet(path)
+    return stored.drop(rejects), rejected_cells(stored, rejects)

@@ -1,5 +1,7 @@
 """Sinks into catalog tables and databases, and the catalog's view of written files."""
 
+from pyspark.sql import functions as F
+
 from ..fixed_values import JDBC_BATCH_ROWS
 
 
@@ -95,3 +97,14 @@ def repair_by_date(spark, table):
     """Lets the table see all date folders added or dropped behind its back, by listing them all."""
     spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
     spark.catalog.refreshTable(table)
+
+
+def write_bucketed(df, table, key, buckets, path):
+    """A copy of `df` as a catalog table at `path`, dealt into `buckets` by `key` and sorted by it in each.
+
+    Tables that are dealt alike join by their keys, and group by them, without a shuffle. Rows are gathered by key
+    for writing, and keys with very many rows are split over tasks. A reader takes a bucket as a whole, though: a log in
+    which single bookings are a large part (`hot_keys`) is better left as it is.
+    """
+    dealt = df.hint("rebalance", buckets, F.col(key))
+    dealt.write.format("parquet").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table)

@@ -9,6 +9,7 @@ from checks.queries import QUERIES
 from nightledger.operators import versions
 from nightledger.plans.mat import mat_range
 from nightledger.plans.rob import rob, rob_range
+from nightledger.sinks.tables import write_bucketed
 from nightledger.sources import stand_in
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -69,6 +70,20 @@ def test_a_range_moves_the_log_once(spark, no_broadcast, capsys):
     assert not any("valid_from" in key or "arrival" in key or "load_datetime" in key for key in keys)
 
 
+def test_bucketed_log_and_bridge_do_not_move(spark, no_broadcast, tmp_path, capsys):
+    log, hotels, bridge, segments = rob_tables(spark)
+    for df, table, key in ((log, "bucketed_log", "bkg_num"), (bridge, "bucketed_bridge", "source_rsrv_id")):
+        write_bucketed(df, table, key, 4, str(tmp_path / table))
+    dealt = spark.table("bucketed_log"), hotels, spark.table("bucketed_bridge"), segments
+    for report in (rob(*dealt, DAY), rob_range(*dealt, date(1998, 5, 1), DAY)):
+        keys = keys_of(plan_of(report, capsys))
+        # What moves first are totals of nights, or changes of them.
+        assert keys and keys[0].startswith("stay_date")
+        assert not any("bkg_num" in key or "source_rsrv_id" in key for key in keys)
+    for table in ("bucketed_log", "bucketed_bridge"):
+        spark.sql(f"DROP TABLE {table}")
+
+
 def test_hot_bookings_have_no_window(spark, no_broadcast, monkeypatch, capsys):
     """Where keys are hot, only narrow columns are grouped by them; rows go by a join that can be split."""
     monkeypatch.setattr(versions, "HOT_ROWS", 0)
@@ -102,7 +117,7 @@ def test_text_dates_of_a_range_are_filtered_and_added_up_once(spark, capsys):
 
 WRITING = {
     name for name in QUERIES if name.endswith(("_roundtrip", "_job")) or name in (
-        "truncate_overwrite", "table_append", "catalog_refresh", "load_audit", "load_audit_once", "mat_landed_daily", "csv_inferred", "rob_from_csv")
+        "truncate_overwrite", "rejected_cells", "table_append", "catalog_refresh", "load_audit", "load_audit_once", "mat_landed_daily", "csv_inferred", "rob_from_csv")
 }
 
 

@@ -5,9 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from nightledger import schemas
-from nightledger.operators.schema import conform
+from nightledger.operators.schema import align_schema, conform
 from nightledger.sinks.audit import audited_write, write_audit
-from nightledger.sinks.files import write_by_date, write_csv_by_date, write_parquet
+from nightledger.sinks.files import write_aligned, write_by_date, write_csv_by_date, write_parquet
 from nightledger.sinks.tables import refresh_by_date, register_by_date, repair_by_date, write_jdbc_options, write_table
 from nightledger.sources.files import read_files
 from nightledger.sources.jdbc import connection_options, read_options
@@ -213,3 +213,15 @@ def test_scratch_is_in_the_folder_the_cluster_shares(spark):
         scratch_path(session_like("yarn"), "x")
     assert scratch_path(cluster, "x") != scratch_path(cluster, "x")
     assert scratch_path(spark, "x", "/tmp/own").startswith("/tmp/own/x-")
+
+
+def test_rejected_cells_are_counted(spark, tmp_path):
+    rows = [("1", "2025-01-01", "x"), ("one", "2025-13-01", "y"), ("one", None, "z"), ("", "2025-01-02", None)]
+    df = spark.createDataFrame(rows, "BKG_NUM string, arrival_dt string, note string")
+    aligned, found = write_aligned(df, schemas.RESERVATIONS, str(tmp_path / "aligned"))
+    assert sorted(map(tuple, found.collect())) == [
+        ("arrival_dt", "2025-13-01", 1), ("bkg_num", "", 1), ("bkg_num", "one", 2)]
+    assert sorted(map(str, aligned.collect())) == sorted(map(str, align_schema(df, schemas.RESERVATIONS).collect()))
+    assert align_schema(df.select("note"), schemas.RESERVATIONS, "rejected").first().rejected == []
+    with pytest.raises(ValueError, match="already"):
+        align_schema(df, schemas.RESERVATIONS, "NOTE")
