@@ -1,7 +1,7 @@
 """Secret scan with DataFrame functions alone: fixed patterns, and character Markov models for the rest.
 
 Two first-order character models, one of random strings and one of ordinary words,
-are trained from labelled samples that the patterns find in the corpus itself. A run of token
+are trained from samples that the patterns label in all documents. A run of token
 characters is a secret if the first model explains it better than the second, by
 more than nearly all ordinary words.
 """
@@ -30,9 +30,10 @@ ORDINARY = r"[A-Za-z0-9_-]{6,}"
 
 FIRST, LAST = ord("+"), ord("z")
 SIGNS = LAST - FIRST + 1
-TRAIN_DOCS = 4000
 #: Ordinary strings score below the bound but for this share: there may be secrets among them that no pattern names.
 QUANTILE = 0.99
+#: For the bound, scores of ordinary strings are counted in steps of 1 / SCORE_STEPS from 0 up to MOST_SCORE.
+SCORE_STEPS, MOST_SCORE = 16, 1000
 SMOOTHING = 0.5
 
 
@@ -71,15 +72,12 @@ def _passes() -> Column:
     return (F.col("kind") != "assign") | (F.char_length(assigned) >= ASSIGNED_LENGTH)
 
 
-def _transitions(value: str, label: Column) -> list[Column]:
-    steps = F.expr(f"sequence(1, char_length({value}) - 1)")
-    return [label.alias("random"), F.explode(F.transform(steps, lambda i: _step(value, i))).alias("step")]
-
-
-def _step(value: str, i: Column) -> Column:
-    """The number of the transition from the i-th character to the next, from 1 on."""
-    sign = lambda at: F.ascii(F.substring(F.col(value), at, 1)) - FIRST
-    return sign(i) * SIGNS + sign(i + 1) + 1
+def _steps(value: str) -> Column:
+    """The numbers of the transitions from each character to the next, from 1 on; the run is split once."""
+    signs = F.transform(F.split(F.col(value), ""), lambda sign: F.ascii(sign) - FIRST)
+    signs = F.slice(signs, F.lit(1), F.char_length(value))
+    after = F.slice(signs, F.lit(2), F.char_length(value))
+    return F.zip_with(F.slice(signs, F.lit(1), F.char_length(value) - 1), after, lambda a, b: a * SIGNS + b + 1)
 
 
 def log_ratios(counts: dict[tuple[bool, int], int]) -> list[float]:
@@ -101,40 +99,48 @@ def log_ratios(counts: dict[tuple[bool, int], int]) -> list[float]:
 
 def _score(value: str, ratios: list[float]) -> Column:
     table = F.lit(ratios)
-    steps = F.expr(f"sequence(1, char_length({value}) - 1)")
-    return F.aggregate(steps, F.lit(0.0), lambda total, i: total + F.element_at(table, _step(value, i).cast("int")))
+    return F.aggregate(_steps(value), F.lit(0.0), lambda total, step: total + F.element_at(table, step.cast("int")))
 
 
-def train(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> tuple[list[float], float]:
-    """The ratios and the score that all but 1 in 100 ordinary words stay below, 0 at least.
+def train(docs: DataFrame) -> tuple[list[float], float]:
+    """The ratios, and the score that all but 1 in 100 ordinary strings stay below, 0 at least.
 
-    Fitted on about `train_docs` documents chosen by a hash of their id: values of
-    the fixed patterns are the random strings, other runs of letters and digits the ordinary
-    ones. Counts come back as at most 2 * SIGNS^2 numbers. Without random strings or
+    Fitted on all documents: values of the fixed patterns are the random strings, other runs of letters and
+    digits the ordinary ones. Equal strings are counted first. Counts come back as at most 2 * SIGNS^2 numbers, and scores as
+    a histogram of at most MOST_SCORE * SCORE_STEPS + 1. Without random strings or
     without ordinary ones there is no model, and the bound is infinite.
     """
-    share = max(1, docs.count() // train_docs)
-    sample = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == 0).select(
-        F.monotonically_increasing_id().alias("row_id"), "doc_id", whole_text().alias("text")
-    )
+    texts = docs.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", whole_text().alias("text"))
     secret = F.when(F.col("kind") == "assign", F.regexp_extract("value", KINDS["assign"], 1)).otherwise(F.col("value"))
-    random = _found(sample, KINDS).filter("kind is not null").filter(_passes()).select(secret.alias("value"), F.lit(True).alias("random"))
-    masked = sample.select(F.regexp_replace("text", "|".join(f"(?:{p})" for p in KINDS.values()), " ").alias("text"))
-    words = masked.select(F.explode(F.regexp_extract_all("text", F.lit(f"({ORDINARY})"), F.lit(0))).alias("value"))
+    random = _found(texts, KINDS).filter("kind is not null").filter(_passes()).select(secret.alias("value"), F.lit(True).alias("random"))
+    pattern = "|".join(f"(?:{p})" for p in KINDS.values())
+    text = F.col("text")
+    masked = F.when(text.rlike(pattern), F.regexp_replace(text, pattern, " ")).otherwise(text)
+    words = texts.select(F.explode(F.regexp_extract_all(masked, F.lit(f"({ORDINARY})"), F.lit(0))).alias("value"))
     ordinary = words.filter(F.col("value").rlike("[A-Za-z]")).select("value", F.lit(False).alias("random"))
-    samples = saved(random.union(ordinary).filter(F.char_length("value") > 1), "labelled-strings")
-    counts = {
-        (r["random"], r["step"]): r["n"]
-        for r in samples.select(*_transitions("value", F.col("random"))).groupBy("random", "step").agg(F.count("*").alias("n")).collect()
-    }
+    strings = random.union(ordinary).filter(F.char_length("value") > 1).groupBy("random", "value").agg(F.count("*").alias("n"))
+    samples = saved(strings, "labelled-strings")
+    steps = samples.select("random", "n", F.explode(_steps("value")).alias("step"))
+    counts = {(r["random"], r["step"]): r["n"] for r in steps.groupBy("random", "step").agg(F.sum("n").alias("n")).collect()}
     if len({label for label, _ in counts}) < 2:
         return [0.0] * (SIGNS * SIGNS), math.inf
     ratios = log_ratios(counts)
-    bound = samples.filter("not random").agg(F.percentile_approx(_score("value", ratios), QUANTILE, 100_000)).first()[0]
-    return ratios, max(0.0, bound)
+    score = F.least(F.greatest(_score("value", ratios), F.lit(0.0)), F.lit(float(MOST_SCORE)))
+    bins = samples.filter("not random").groupBy(F.ceil(score * SCORE_STEPS).alias("bin")).agg(F.sum("n").alias("n"))
+    return ratios, upper_bound({r["bin"]: r["n"] for r in bins.collect()})
+
+
+def upper_bound(bins: dict[int, int]) -> float:
+    """The end of the first step that all but 1 - QUANTILE of the scores do not go beyond."""
+    below, total = 0, sum(bins.values())
+    for number in sorted(bins):
+        below += bins[number]
+        if below >= QUANTILE * total:
+            return number / SCORE_STEPS
+    return 0.0
 
 
-def scan_secrets(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFrame:
+def scan_secrets(docs: DataFrame) -> DataFrame:
     """One row per row of `docs` (doc_id, text; other columns are not looked at).
 
     doc_id, n_assign, n_access, n_hex, base_sha256 (of the spans of the fixed patterns)
@@ -143,7 +149,7 @@ def scan_secrets(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFrame:
     as empty; repeated rows and null doc_ids are scanned each for itself. An empty
     table gives no rows; without labelled strings to learn from, fixed patterns alone count.
     """
-    ratios, bound = train(docs, train_docs)
+    ratios, bound = train(docs)
     texts = docs.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", whole_text().alias("text"))
     found = _found(texts, {**KINDS, MARKOV: CANDIDATE})
     base = F.col("kind").isin(*KINDS)

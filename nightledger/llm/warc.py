@@ -1,4 +1,4 @@
-"""WARC archives: a writer made of Spark's text sink, and a reader that salvages what damage has left.
+"""WARC archives: a writer that goes through Spark's text sink, and a reader that salvages what damage has left.
 
 The reader checks every record (version line, header, length, closing blank lines,
 payload digest). After a failed check it looks for the next version line, or the next
@@ -8,6 +8,7 @@ gap, with the reason.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import zlib
 from collections.abc import Iterator
@@ -27,8 +28,10 @@ MEMBER = b"\x1f\x8b\x08"
 
 #: Payloads from this many bytes on are written once.
 REVISIT_BYTES = 1000
-#: Records per archive, so that an archive fits in a task.
-ARCHIVE_RECORDS = 2000
+#: An archive is closed at the first record that fills so many bytes as written: one task can hold it.
+ARCHIVE_BYTES = 32 << 20
+#: The last byte of a member of less than 16 MB: the top of its size.
+MEMBER_END = "\0"
 DATE = "2026-01-01T00:00:00Z"
 PAGE_ID = "urn:nightledger:page:"
 
@@ -86,15 +89,47 @@ def record_text() -> Column:
     )
 
 
-def write_warc(pages: DataFrame, path: str, compression: str = "gzip") -> None:
+def gzip_member(record: bytes) -> bytes:
+    """The record as a member of its own; where its last byte is not MEMBER_END an empty member follows."""
+    member = gzip.compress(record, mtime=0)
+    return member if member.endswith(MEMBER_END.encode()) else member + gzip.compress(b"", mtime=0)
+
+
+def _archives(compression: str, size: int):
+    """Records as whole archives but for their last bytes, which are the separator of the text sink."""
+    end = END if compression == "none" else MEMBER_END.encode()
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, filled = [], 0
+        whole = lambda: pa.RecordBatch.from_pydict({"value": [b"".join(held)[: -len(end)]]})
+        for batch in batches:
+            for value in batch.column(0):
+                record = value.as_py() + END
+                held.append(record if compression == "none" else gzip_member(record))
+                filled += len(held[-1])
+                if filled >= size:
+                    yield whole()
+                    held, filled = [], 0
+        if held:
+            yield whole()
+
+    return pack
+
+
+def write_warc(pages: DataFrame, path: str, compression: str = "gzip", archive_bytes: int = ARCHIVE_BYTES) -> None:
     """A record per row of `pages` (page_id, url, html; other columns are not looked at; null html: empty).
 
-    Spark's text sink closes each record with the two blank lines and commits whole
-    files, on any store, also when executors are lost.
+    With `gzip` each record is a member of its own, so that damage costs no other; the other choice is `none`. Archives
+    are of about `archive_bytes`. Spark's text sink commits whole files, on any store, also when executors
+    are lost; it takes bytes as they are.
     """
-    with_types(pages).select(record_text().alias("value")).write.option("lineSep", END.decode()).option(
-        "compression", compression
-    ).option("maxRecordsPerFile", ARCHIVE_RECORDS).text(path)
+    if compression not in ("gzip", "none"):
+        raise ValueError(f"unknown compression {compression!r}: expected 'gzip' or 'none'")
+    small_batches(pages.sparkSession)
+    records = with_types(pages).select(record_text().cast("binary").alias("value"))
+    archives = records.mapInArrow(_archives(compression, archive_bytes), "value binary").select(F.col("value").cast("string"))
+    end = END.decode() if compression == "none" else MEMBER_END
+    archives.write.option("lineSep", end).option("compression", "none").option("maxRecordsPerFile", 1).text(path)
 
 
 class Damaged(ValueError):
@@ -205,6 +240,23 @@ def _inflate(data: bytes, at: int, steps: tuple[int, ...] = (1 << 16, 1 << 8, 1)
     return b"".join(out), here, damage
 
 
+def compressed(data: bytes) -> bool:
+    """Whether a member that holds a version line comes before any version line as it is.
+
+    Bodies of records of a plain archive may be members too, but come later.
+    """
+    plain = 0 if data.startswith(b"WARC/1.") else _next_version(data, 0)
+    at = data.find(MEMBER)
+    while 0 <= at < plain:
+        try:
+            if zlib.decompressobj(31).decompress(data[at : at + (1 << 16)], 7) == b"WARC/1.":
+                return True
+        except zlib.error:
+            pass
+        at = data.find(MEMBER, at + 1)
+    return data.startswith(MEMBER) and plain == len(data)
+
+
 def salvage(data: bytes) -> Iterator[dict]:
     """Records and gaps of an archive, compressed by members or not.
 
@@ -212,7 +264,7 @@ def salvage(data: bytes) -> Iterator[dict]:
     damaged member the records before the damage count, but for the last, and carry the
     reason; the member is logged as a gap.
     """
-    if not data.startswith(MEMBER[:2]) and MEMBER not in data:
+    if not compressed(data):
         yield from salvage_records(data)
         return
     at = gap = 0

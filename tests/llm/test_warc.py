@@ -4,7 +4,7 @@ import zlib
 
 import pytest
 
-from nightledger.llm.warc import END, pages_through_warc, read_warc, salvage, write_warc
+from nightledger.llm.warc import gzip_member, END, pages_through_warc, read_warc, salvage, write_warc
 
 SCHEMA = "page_id long, url string, html string"
 LONG = "<p>é " * 400
@@ -133,4 +133,29 @@ def test_payloads_survive_and_damage_is_logged(spark, tmp_path, compression):
     (tmp_path / "damaged").mkdir()
     (tmp_path / "damaged" / "a.warc").write_bytes(bytes(data))
     kinds = [r.kind for r in read_warc(spark, f"file://{tmp_path}/damaged").collect()]
-    assert "gap" in kinds and kinds.count("record") >= (39 if compression == "none" else 1)
+    assert "gap" in kinds and kinds.count("record") == 39
+    # Archives are bounded by bytes, and each is whole.
+    write_warc(spark.createDataFrame(rows, SCHEMA).coalesce(1), f"file://{path}-small", compression, archive_bytes=5000)
+    small = [p.read_bytes() for p in (tmp_path / "archives-small").iterdir() if p.name.startswith("part-")]
+    assert len(small) >= (2 if compression == "gzip" else 10)
+    assert sum(len(seen(data)[0]) for data in small) == 40 and all(not seen(data)[1] for data in small)
+    if compression == "gzip":
+        assert sum(gzip.decompress(data).count(b"WARC/1.1\r\n") for data in small) == 40
+
+
+def test_a_plain_archive_may_hold_gzip_bodies():
+    records = [record(k, gzip.compress(b"body %d" % k) if k == 20 else b"plain") for k in range(40)]
+    assert seen(b"".join(records)) == ([f"urn:x:{k}" for k in range(40)], [])
+    # Also with the first record lost, and a body that is an archive itself.
+    inner = record(90, gzip.compress(RECORDS[0]))
+    ids, gaps = seen((records[0] + inner + records[1])[5:])
+    assert ids == ["urn:x:90", "urn:x:1"] and len(gaps) == 1
+    # A compressed archive that begins with damage.
+    members = [gzip.compress(r) for r in RECORDS]
+    assert seen(b"\0" * 30 + members[0][30:] + b"".join(members[1:]))[0] == [f"urn:x:{k}" for k in range(1, 5)]
+
+
+def test_members_end_as_the_sink_ends_them(monkeypatch):
+    for size in (0, 10, (1 << 24) - 1, (1 << 24) + 5):
+        data = gzip_member(bytes(size))
+        assert data.endswith(b"\0") and gzip.decompress(data) == bytes(size)
