@@ -98,7 +98,9 @@ def test_one_secret_in_many_documents_is_enough(documents):
 def test_a_long_run_takes_time_in_proportion(documents):
     pick = random.Random(6)
     run = "".join(pick.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=1 << 20))
-    docs = documents([(1, f"token={run[:3000]} plain words about nothing"), (2, f"data:image/png;base64,{run} end")])
+    words = ["information", "configuration", "understanding", "responsible", "international"]
+    plain = [(10 + k, " ".join(pick.choices(words, k=60))) for k in range(3000)]
+    docs = documents([*plain, (1, f"token={run[:3000]} plain words about nothing"), (2, f"data:image/png;base64,{run} end")])
     begun = time.perf_counter()
     found = {r.doc_id: r.spans for r in scan_secrets(docs).collect()}
     assert found[2].startswith(f"markov:22:{22 + len(run)}") and time.perf_counter() - begun < 60
