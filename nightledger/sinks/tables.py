@@ -5,6 +5,9 @@ from pyspark.sql import functions as F
 from ..fixed_values import JDBC_BATCH_ROWS
 
 
+#: Catalog statements name so many partitions each.
+PARTITIONS_AT_ONCE = 200
+
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
@@ -85,11 +88,10 @@ def _bare(spark, path):
 
 def refresh_by_date(spark, table, written=(), dropped=(), by="as_of_date"):
     """Tells the table of the date folders just written and dropped; looks at no others."""
-    parts = lambda days: [f"PARTITION (`{by}` = DATE '{day}')" for day in days]
-    if written:
-        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {' '.join(parts(written))}")
-    if dropped:
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(parts(dropped))}")
+    for days, change, between in ((written, "ADD IF NOT EXISTS", " "), (dropped, "DROP IF EXISTS", ", ")):
+        for first in range(0, len(days), PARTITIONS_AT_ONCE):
+            parts = [f"PARTITION (`{by}` = DATE '{day}')" for day in days[first : first + PARTITIONS_AT_ONCE]]
+            spark.sql(f"ALTER TABLE {table} {change} {between.join(parts)}")
     spark.catalog.refreshTable(table)
 
 

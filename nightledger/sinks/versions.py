@@ -18,9 +18,8 @@ from pyspark.sql.types import StructType
 
 
 from .files import NULL_FOLDER, write_by_date
+from .tables import PARTITIONS_AT_ONCE
 
-#: Catalog statements name so many partitions each.
-PARTITIONS_AT_ONCE = 200
 #: Versions that no commit names are taken for those of failed writes after this time.
 ORPHAN_SECONDS = 7 * 24 * 3600
 COMMIT_TRIES = 20

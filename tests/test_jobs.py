@@ -3,10 +3,12 @@ from decimal import Decimal
 
 import pytest
 from conftest import version
+from pyspark.sql import functions as F
 
 from nightledger import schemas
 from nightledger.plans import jobs
-from nightledger.plans.rob import rob
+from nightledger.plans.rob import rob, rob_range
+from nightledger.sinks.versions import DatedVersions
 
 
 def days(spark, path):
@@ -101,3 +103,50 @@ def test_mat_bulk_runs_from_the_first_fact_to_two_days_ago(spark, tables, facts,
     assert jobs.stored(spark, path).drop("as_of_date").columns == [
         "hotel_id", "hotel_code", "inventory", "source_nm", "segment_nm", "Total_rooms", "total_room_revenue"]
     assert schemas.MAT_REVENUE == jobs.stored(spark, path).schema["total_room_revenue"].dataType
+
+
+def by_day(df):
+    return {day: sorted(str(r) for r in df.filter(F.col("as_of_date") == F.lit(day)).collect()) for day in {r.as_of_date for r in df.collect()}}
+
+
+def test_a_state_is_brought_forward_and_days_can_be_run_again(spark, tables, path, tmp_path):
+    """Arrivals count once however often a day is run; going back to a day forgets what came after it."""
+    state = str(tmp_path / "state")
+    first = [version(), version(bkg_num=2, status=9), version(bkg_num=3, load="2025-03-04")]
+    second = [version(load="2025-03-02", status=9), version(bkg_num=4, load="2025-02-20"), version(bkg_num=2, load="2025-02-28")]
+    third = [version(bkg_num=5, load="2025-03-03")]
+    days = [date(2025, 3, 1), date(2025, 3, 2), date(2025, 3, 4)]
+    log, others = [], tables([version()])[1:]
+    for day, part in zip(days, (first, second, third)):
+        arrivals = tables(part)[0]
+        log += part
+        for _ in range(2):
+            jobs.rob_daily_from_state(arrivals, *others, path, state, as_of=day, table="state_check")
+        expected = by_day(rob(tables(log)[0], *others, day))
+        assert by_day(spark.table("state_check").select(rob(tables(log)[0], *others, day).columns)).get(day, []) == expected.get(day, [])
+    store = DatedVersions(spark, state, "state_day")
+    assert store.dates() == days[1:]
+    # The second day once more, without what came on the third.
+    jobs.rob_daily_from_state(tables(third)[0], *others, path, state, as_of=days[2], table="state_check")
+    assert store.read(days[2], days[2]).count() == 5
+    spark.sql("DROP VIEW state_check")
+
+
+def test_a_range_is_extended_by_deliveries(spark, tables, path, tmp_path):
+    totals = str(tmp_path / "totals")
+    parts = [
+        [version(departure="2025-03-20"), version(bkg_num=2, departure="2025-03-20")],
+        [version(bkg_num=2, load="2025-03-04", status=9)],
+        [version(bkg_num=2, load="2025-03-02", rooms=3, departure="2025-03-20"), version(bkg_num=3, load="2025-03-06", departure="2025-03-21")],
+        [],
+    ]
+    start, ends = date(2025, 3, 1), [date(2025, 3, 3), date(2025, 3, 5), date(2025, 3, 7), date(2025, 3, 8)]
+    log, others = [], tables([version()])[1:]
+    for n, (end, part) in enumerate(zip(ends, parts)):
+        before, arrivals = tables(log)[0], tables(part)[0]
+        log += part
+        for _ in range(2):
+            jobs.rob_extend(arrivals, before, *others, path, totals, f"delivery {n}", end, start=start, table="extend_check")
+        whole = rob_range(tables(log)[0], *others, start, end)
+        assert by_day(spark.table("extend_check").select(whole.columns)) == by_day(whole)
+    spark.sql("DROP VIEW extend_check")
