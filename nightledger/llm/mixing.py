@@ -1,10 +1,10 @@
 """Mixing to target weights with soft membership.
 
 A classifier learnt from labelled rows gives each document the probabilities of the
-domains. Projected gradient steps on weighted least squares then find nonnegative rates,
-copies per document, under which the expected tokens of the domains match their targets.
-A rate depends on the probabilities alone, so each step is one small sum over the
-distinct probability vectors, and rates are recomputed from the steps, never stored.
+domains. Projected gradient on weighted least squares then finds nonnegative rates,
+copies per document, as near to 1 as can be, under which the expected tokens of the domains match their targets.
+Steps add up before they are projected, so a rate is one function of the probabilities, and each
+step is one small sum over the distinct probability vectors.
 """
 
 from __future__ import annotations
@@ -29,9 +29,12 @@ DEVIATIONS = 6.0
 
 #: Probabilities are multiples of 1 / GRID: the distinct vectors are bounded, and steps sum over those.
 GRID = 64
-#: Gradient steps, after which Newton steps on the same residual go on, and the most of both.
-STEPS, MOST_STEPS = 40, 100
+#: What may be missing of a domain's tokens, in parts of those there are.
 TOLERANCE = 1e-4
+#: Weight of the distance from 1 against the residual: next to nothing, and what stands where targets cannot be met.
+RIDGE, COMPROMISE = 1e-10, 1e-2
+#: Where steps no longer get anywhere; far more than convex problems of this size take.
+MOST_STEPS = 300
 
 SIGNS = "#*$%&|<>"
 _UPPER = bytes(range(ord("A"), ord("Z") + 1))
@@ -161,81 +164,89 @@ def memberships(docs: DataFrame, labelled: DataFrame, domains: list[str], fit_ro
     return docs.mapInPandas(predict, "doc_id long, text_key long, n_tokens long, p array<long>")
 
 
-def rate(p: Column, steps: list[list[float]]) -> Column:
-    """The rate after the given steps from 1: each adds p * step, and what falls below 0 becomes 0."""
-    if not steps:
+def rate(p: Column, push: list[float], most: float | None = None) -> Column:
+    """1 and the push of each domain times its probability, from 0 to `most`."""
+    if not push:
         return F.lit(1.0)
-    moves = F.lit([[float(v) / GRID for v in step] for step in steps])
-    gain = lambda step: F.aggregate(F.zip_with(p, step, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
-    return F.aggregate(moves, F.lit(1.0), lambda r, step: F.greatest(F.lit(0.0), r + gain(step)))
+    parts = F.zip_with(p, F.lit([float(v) / GRID for v in push]), lambda a, b: a * b)
+    moved = F.greatest(F.lit(0.0), F.aggregate(parts, F.lit(1.0), lambda r, v: r + v))
+    return moved if most is None else F.least(F.lit(float(most)), moved)
 
 
-def solve(members: DataFrame, weights: list[float], repeat: float = 1.0, steps: int = STEPS) -> list[list[float]]:
-    """Projected gradient steps that bring expected tokens per domain to their targets.
+def solve(members: DataFrame, weights: list[float], repeat: float = 1.0, most: float | None = None) -> list[float]:
+    """The push per domain under which expected tokens per domain meet their targets (see `rate`).
 
     The domain of the largest weight is to have `repeat` times its tokens, and the others
-    theirs in proportion; of a domain scarcer than that, documents are repeated. Each residual counts
-    relative to its domain's size, which makes a unit step safe. What is not met after `steps` is
-    solved for by Newton steps, halved until they bring the residual down. If those do not reach the tolerance
-    either, the gradient steps stand, and a warning tells what is not met.
+    theirs in proportion; of a domain scarcer than that, documents are repeated, up to `most` times if given. Steps go
+    against the gradient in the metric of the documents whose rates are free to move, halved until they
+    bring the convex dual of the least-squares problem down, so that they end at its only solution. If that misses a target, none
+    can meet all of them: a warning tells what is missing, and a compromise stands that stays near 1.
     """
     cells = saved(members.groupBy("p").agg(F.sum("n_tokens").alias("tokens")), "membership-cells")
     k = len(weights)
     share_of = lambda i: F.element_at("p", i + 1) / GRID
-    totals = lambda r: [F.sum(F.col("tokens") * r * share_of(i)).alias(f"t{i}") for i in range(k)]
-    there = np.array(cells.agg(*totals(F.lit(1.0))).first(), float)
+    there = np.array(cells.agg(*(F.sum(F.col("tokens") * share_of(i)) for i in range(k))).first(), float)
     if not np.isfinite(there).all() or not there.any():
         return []
     share = np.array(weights, float) / sum(weights)
     main = int(share.argmax())
     target = repeat * share * there[main] / share[main]
-    found: list[list[float]] = []
-
-    def residual(moves: list[list[float]]) -> np.ndarray:
-        now = np.array(cells.agg(*totals(rate(F.col("p"), moves))).first(), float)
-        return np.divide(target - now, there, out=np.zeros(k), where=there > 0)
-
-    def curved(moves: list[list[float]]) -> np.ndarray:
-        """How residuals fall with a step, over the cells whose rates are not at 0."""
-        live = cells.filter(rate(F.col("p"), moves) > 0)
-        both = [F.sum(F.col("tokens") * share_of(i) * share_of(j)).alias(f"h{i}_{j}") for i in range(k) for j in range(k)]
-        sums = np.array([v or 0.0 for v in live.agg(*both).first()], float).reshape(k, k)
-        return np.divide(sums, there[:, None], out=np.zeros((k, k)), where=there[:, None] > 0)
-
-    away = residual(found)
-    while np.abs(away).max() >= TOLERANCE and len(found) < steps:
-        found.append([float(v) for v in away])
-        away = residual(found)
-    plain, left = list(found), away
-    while np.abs(away).max() >= TOLERANCE and len(found) < MOST_STEPS:
-        step, better = np.linalg.pinv(curved(found), rcond=1e-9) @ away, None
-        for part in (1.0, 0.5, 0.25, 0.125, 1 / 32):
-            tried = residual([*found, [float(v) for v in part * step]])
-            if np.abs(tried).sum() < (1 - 1e-3 * part) * np.abs(away).sum():
-                better = part, tried
+    known = there > 0
+    size = np.where(known, there, 1.0)
+
+    def measured(push: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        """The dual's sum over documents, tokens per domain, and how those move with the push."""
+        moved = rate(F.col("p"), push.tolist(), most)
+        free = F.aggregate(F.zip_with("p", F.lit((push / GRID).tolist()), lambda a, b: a * b), F.lit(1.0), lambda r, v: r + v)
+        inside = (free > 0) & (F.lit(True) if most is None else free < most)
+        weigh = lambda value: F.sum(F.col("tokens") * value)
+        live = [weigh(F.when(inside, share_of(i) * share_of(j)).otherwise(0.0)) for i in range(k) for j in range(i, k)]
+        row = cells.agg(weigh(moved * free - moved * moved / 2), *(weigh(moved * share_of(i)) for i in range(k)), *live).first()
+        both = np.zeros((k, k))
+        both[np.triu_indices(k)] = row[1 + k :]
+        return float(row[0]), np.array(row[1 : 1 + k], float), both + np.triu(both, 1).T
+
+    def fitted(ridge: float) -> tuple[np.ndarray, np.ndarray]:
+        """Push and what is missing per domain, in parts of its tokens."""
+        push = np.zeros(k)
+        dual = lambda value, push: value - target @ push + ridge / 2 * (size * push) @ push
+        value, tokens, curve = measured(push)
+        for _ in range(MOST_STEPS):
+            slope = tokens - target + ridge * size * push
+            if np.abs(slope / size).max() < TOLERANCE / 10:
                 break
-        if better is None:
-            break
-        found.append([float(v) for v in better[0] * step])
-        away = better[1]
-    if np.abs(away).max() >= TOLERANCE:
-        found, away = plain, left
-    unmet = {i: float(v) for i, v in enumerate(away) if abs(v) >= TOLERANCE} | {
-        i: None for i in range(k) if there[i] == 0 and target[i] > 0
-    }
+            step = -np.linalg.solve(curve + np.diag((ridge + 1e-12) * size), slope)
+            part, now = 1.0, dual(value, push)
+            while part > 1e-12:
+                tried = measured(push + part * step)
+                if dual(tried[0], push + part * step) <= now + 1e-4 * part * (slope @ step):
+                    break
+                part /= 2
+            else:
+                break
+            push = push + part * step
+            value, tokens, curve = tried
+        return push, np.where(known, (target - tokens) / size, 0.0)
+
+    push, missing = fitted(RIDGE)
+    unmet = {i: None for i in range(k) if not known[i] and target[i] > 0}
+    if np.abs(missing).max() >= TOLERANCE:
+        push, missing = fitted(COMPROMISE)
+        unmet |= {i: float(v) for i, v in enumerate(missing) if abs(v) >= TOLERANCE}
     if unmet:
-        warnings.warn(f"mix targets are not met; part of the domain's tokens that is missing, by domain number: {unmet}", stacklevel=2)
-    return found
+        warnings.warn(f"mix targets cannot be met; part of the domain's tokens that is missing, by domain number: {unmet}", stacklevel=2)
+    return [float(v) for v in push]
 
 
 def mix(
-    docs: DataFrame, labelled: DataFrame, targets: dict[str, float], repeat: float = 1.0, fit_rows: int = FIT_ROWS
+    docs: DataFrame, labelled: DataFrame, targets: dict[str, float], repeat: float = 1.0, fit_rows: int = FIT_ROWS,
+    most: float | None = None,
 ) -> DataFrame:
     """One row per row of `docs` (doc_id, text): doc_id, n_tokens, p_<domain>, rate, text_key and copies.
 
     `labelled` has doc_id and domain (of repeated ids the first domain by name counts;
     rows without an id or of another domain do not); `targets` weighs the domains. The rate is the expected number
-    of copies; copies is that number, rounded up or down by a hash of doc_id and length. Null texts are
+    of copies, at most `most` if given; copies is that number, rounded up or down by a hash of doc_id and length. Null texts are
     empty, with no tokens; null and repeated doc_ids are rated each for itself. Other
     columns are not looked at. Without labelled rows of two domains all rates follow from even
     memberships; an empty table gives no rows.
@@ -246,11 +257,11 @@ def mix(
         F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("text_key"), F.col("text").cast("string").alias("text")
     )
     members = saved(memberships(texts, labelled, domains, fit_rows), "memberships")
-    found = solve(members, [targets[d] for d in domains], repeat)
+    found = solve(members, [targets[d] for d in domains], repeat, most)
     chance = F.pmod(F.xxhash64("doc_id", "n_tokens", F.lit(17)), F.lit(1 << 30)) / float(1 << 30)
     return members.select(
         "doc_id", "n_tokens", *((F.element_at("p", k + 1) / GRID).alias(f"p_{d}") for k, d in enumerate(domains)),
-        rate(F.col("p"), found).alias("rate"), "text_key",
+        rate(F.col("p"), found, most).alias("rate"), "text_key",
     ).withColumn("copies", F.floor(F.col("rate") + chance).cast("long"))
 
 

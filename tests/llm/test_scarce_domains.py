@@ -31,5 +31,5 @@ def test_steps_go_on_until_the_tolerance(spark):
 
 
 def test_targets_out_of_reach_are_told(spark):
-    with pytest.warns(UserWarning, match="not met"):
+    with pytest.warns(UserWarning, match="cannot be met"):
         solve(members(spark, [(100, [32, 32])] * 5), [0.9, 0.1])
