@@ -32,7 +32,7 @@ GRID = 64
 #: What may be missing of a domain's tokens, in parts of those there are.
 TOLERANCE = 1e-4
 #: Weight of the distance from 1 against the residual: next to nothing, and what stands where targets cannot be met.
-RIDGE, COMPROMISE = 1e-10, 1e-2
+RIDGE, COMPROMISE = 1e-10, 5e-2
 #: Where steps no longer get anywhere; far more than convex problems of this size take.
 MOST_STEPS = 300
 
