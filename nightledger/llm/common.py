@@ -46,6 +46,27 @@ def dropped(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+class Scratch:
+    """Scratch tables by name, each dropped when what has been made of it is written."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def save(self, df: DataFrame, name: str) -> DataFrame:
+        path = self.paths[name] = scratch_path(self.spark, name)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            dropped(self.spark, self.paths.pop(name))
+
+
+def early_cleanup(spark: SparkSession) -> None:
+    """Shuffle files go when their query ends, not when the driver next collects garbage."""
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
 def whole_text(column: str = "text") -> Column:
     """The text as a string; null counts as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

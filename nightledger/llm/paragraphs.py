@@ -3,7 +3,7 @@
 Paragraphs are the lines of a text, and, so that a passage is found wherever it has
 been put in, windows of WINDOW words that start at minima of the text itself. Lines are banded by
 MinHash, and lines that collide are linked if their shingle sets are similar enough.
-A window's band is its whole content; equal windows grow on both sides for as long as words
+A window's band is its whole content; windows of one document alone go by a count of 64-bit names, and equal windows grow on both sides for as long as words
 agree with another document. Either way, the cluster's first paragraph stays.
 """
 
@@ -13,25 +13,25 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from nightledger.llm.common import saved, small_batches, text_key
+from nightledger.llm.common import Scratch, early_cleanup, small_batches, text_key
 from nightledger.llm.hashing import SHINGLE, ascii_lower, hash_words, mix, windows
 from nightledger.llm.linking import crowded, link_buckets
 
 NUMERATOR, DENOMINATOR = 80, 100
 RECALL = 0.9995
-#: Lines of fewer words are not paragraphs of their own.
+#: Lines of fewer words are not paragraphs of their own, unless told otherwise.
 LINE_WORDS = 40
-#: Any passage of at least SPREAD + WINDOW words holds a window whole: each SPREAD consecutive shingles start one.
-SPREAD, WINDOW = 32, 18
-#: Words of a passage before its first window or after its last one, at most; also between two of them, less a window.
-REACH = SPREAD - 1
+#: Shorter passages may be missed, unless told otherwise: one of WINDOW + spread words holds a window whole, as each
+#: spread consecutive shingles start one.
+PASSAGE_WORDS, WINDOW = 50, 18
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 
 
-def tune_bands(similarity: float = NUMERATOR / DENOMINATOR, recall: float = RECALL, most_rows: int = 2) -> tuple[int, int]:
+def tune_bands(similarity: float = NUMERATOR / DENOMINATOR, recall: float = RECALL, most_rows: int = 4) -> tuple[int, int]:
     """(bands, rows): as many rows as allowed, and the fewest bands that miss at most 1 - recall of pairs at the threshold."""
     bands = int(np.ceil(np.log(1 - recall) / np.log(1 - similarity**most_rows)))
     return bands, most_rows
@@ -42,24 +42,26 @@ _FACTORS = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0xA24
 _SHIFTS = mix(_FACTORS)
 
 
-def band_keys(shingles: np.ndarray) -> np.ndarray:
-    """A key per band, from the minima of BANDS * ROWS linear functions over a set of hashes that is not empty."""
-    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
-    for start in range(0, len(shingles), 4096):
-        part = shingles[start : start + 4096, None] * _FACTORS[None, :] + _SHIFTS[None, :]
-        least = np.minimum(least, part.min(axis=0))
-    keys = np.arange(1, BANDS + 1, dtype=np.uint64)
-    for row in least.reshape(BANDS, ROWS).T:
-        keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + row)
-    return keys
-
-
-def anchors(found: np.ndarray, n_words: int) -> np.ndarray:
-    """Starts of windows: the word where the least shingle of each SPREAD consecutive ones begins."""
-    if len(found) < SPREAD:
-        starts = np.array([found.argmin()]) if len(found) else np.zeros(0, int)
-    else:
-        starts = np.unique(sliding_window_view(found, SPREAD).argmin(axis=1) + np.arange(len(found) - SPREAD + 1))
+def band_keys(shingles: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """A row of keys, one per band, for each set that `shingles` holds one after another from `starts` on; none is empty."""
+    least = np.empty((BANDS * ROWS, len(starts)), np.uint64)
+    for row, factor, shift in zip(least, _FACTORS, _SHIFTS):
+        row[:] = np.minimum.reduceat(shingles * factor + shift, starts)
+    keys = np.repeat(np.arange(1, BANDS + 1, dtype=np.uint64)[:, None], len(starts), axis=1)
+    for row in least.reshape(BANDS, ROWS, len(starts)).transpose(1, 0, 2):
+        keys = mix(keys * _BASE + row)
+    return keys.T
+
+
+def anchors(found: np.ndarray, n_words: int, spread: int) -> np.ndarray:
+    """Starts of windows: the word where the least shingle of each `spread` consecutive ones begins."""
+    starts, have, spread = np.arange(len(found)), 1, min(spread, len(found))
+    while have < spread:
+        # From the least of `have` to that of twice as many; the first of equal ones.
+        step = min(have, spread - have)
+        left, right = starts[:-step], starts[step:]
+        starts, have = np.where(found[left] <= found[right], left, right), have + step
+    starts = starts[np.diff(starts, prepend=-1) > 0]
     return starts[starts + WINDOW <= n_words]
 
 
@@ -74,12 +76,22 @@ def line_ranges(text: bytes, least: int) -> list[tuple[int, int]]:
     return out
 
 
-def _whole(words: np.ndarray) -> np.ndarray:
-    """A hash of each column's words, in order."""
-    total = np.zeros(words.shape[1], np.uint64)
-    for row in words:
-        total = total * np.uint64(0x9E3779B97F4A7C15) + row
-    return mix(total)
+class Spans:
+    """Hashes of any spans of a row of words, the same wherever the words stand: differences of running sums."""
+
+    _up = _down = np.ones(1, np.uint64)
+
+    def __init__(self, words: np.ndarray):
+        n = len(words)
+        if len(Spans._up) < n + 1:
+            ones = np.ones(2 * n + 2, np.uint64)
+            Spans._up, Spans._down = (np.cumprod(np.concatenate([ones[:1], ones[1:] * base])) for base in (_BASE, _INVERSE))
+        self.sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(words * Spans._down[:n], out=self.sums[1:])
+
+    def __call__(self, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Of each span, the words' sum times falling powers of the base; 0 without words."""
+        return (self.sums[end] - self.sums[first]) * Spans._up[np.maximum(end, 1) - 1]
 
 
 def _digest(values: np.ndarray) -> tuple[int, int]:
@@ -87,138 +99,186 @@ def _digest(values: np.ndarray) -> tuple[int, int]:
     return int(values.sum(dtype=np.uint64)) - (1 << 63), int(np.bitwise_xor.reduce(mix(values))) - (1 << 63)
 
 
-def _paragraphs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows of all paragraphs of a batch, put together column by column."""
+def _line_keys(lines: list[tuple], sets: list[np.ndarray]) -> pd.DataFrame:
+    starts = np.cumsum([0] + [len(found) for found in sets[:-1]])
+    keys = band_keys(np.concatenate(sets), starts).view(np.int64)
+    frame = pd.DataFrame(lines, columns=["row_id", "doc_id", "text_key", "first", "end", "low", "high"])
+    return frame.assign(keys=list(keys), firsts=None, names=None)
+
+
+def _paragraphs(batches: Iterator[pd.DataFrame], line_words: int, spread: int) -> Iterator[pd.DataFrame]:
+    """A row per text with the places and 64-bit names of its windows, and one per line."""
     for batch in batches:
-        rows: list[tuple[int, int]] = []
-        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        lines: list[tuple] = []
+        rows, lines, sets, held = [], [], [], 0
         for row_id, doc_id, key, text in zip(batch["row_id"], batch["doc_id"], batch["text_key"], batch["text"]):
             data = ascii_lower(text)
             hashes = hash_words(data.split())
             every = windows(hashes, SHINGLE)
-            starts = anchors(every, len(hashes))
+            starts = anchors(every, len(hashes), spread)
             if len(starts):
-                words = hashes[starts[:, None] + np.arange(WINDOW)].T
-                rows.append((row_id, doc_id, key))
-                found.append((starts, _whole(words), _whole(mix(words))))
-            for first, end in line_ranges(data, LINE_WORDS):
+                names = mix(Spans(hashes)(starts, starts + WINDOW))
+                rows.append((row_id, doc_id, key, starts.astype(np.int32), names.view(np.int64)))
+            for first, end in line_ranges(data, line_words):
                 shingles = np.unique(every[first : end - SHINGLE + 1])
-                lines.append((row_id, doc_id, key, first, end, *_digest(shingles), band_keys(shingles).view(np.int64)))
-        if found:
-            ids = np.repeat(np.array(rows, np.int64), [len(starts) for starts, _, _ in found], axis=0)
-            first, low, high = (np.concatenate(column) for column in zip(*found))
-            columns = {"row_id": ids[:, 0], "doc_id": ids[:, 1], "text_key": ids[:, 2], "first": first, "end": first + WINDOW}
-            yield pd.DataFrame({**columns, "low": low.view(np.int64), "high": high.view(np.int64)}).assign(keys=None)
+                lines.append((row_id, doc_id, key, first, end, *_digest(shingles)))
+                sets.append(shingles)
+                held += len(shingles)
+                if held > 1 << 16:
+                    yield _line_keys(lines, sets)
+                    lines, sets, held = [], [], 0
         if lines:
-            yield pd.DataFrame(lines, columns=["row_id", "doc_id", "text_key", "first", "end", "low", "high", "keys"])
+            yield _line_keys(lines, sets)
+        if rows:
+            frame = pd.DataFrame(rows, columns=["row_id", "doc_id", "text_key", "firsts", "names"])
+            none = pd.Series([None] * len(rows), dtype="Int64")
+            yield frame.assign(first=none, end=none, low=none, high=none, keys=None)
 
 
-def _line_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _line_sets(batches: Iterator[pd.DataFrame], line_words: int) -> Iterator[pd.DataFrame]:
     for batch in batches:
         out = []
         for text in batch["text"]:
             data = ascii_lower(text)
             every = windows(hash_words(data.split()), SHINGLE)
-            for first, end in line_ranges(data, LINE_WORDS):
+            for first, end in line_ranges(data, line_words):
                 shingles = np.unique(every[first : end - SHINGLE + 1])
                 out.append((*_digest(shingles), shingles.view(np.int64)))
         yield pd.DataFrame(out, columns=["low", "high", "shingles"])
 
 
-def _chains(words: np.ndarray, starts: np.ndarray, step: int) -> list[np.ndarray]:
-    """For each start, hashes of the 1, 2, ... REACH words from there on by `step`, as far as there are words."""
-    total = np.full(len(starts), 1 + (step > 0), np.uint64)
-    out = np.zeros((len(starts), REACH), np.uint64)
-    for k in range(REACH):
-        at = np.clip(starts + step * k, 0, len(words) - 1)
-        total = mix(total * np.uint64(0x9E3779B97F4A7C15) + words[at])
-        out[:, k] = total
-    there = np.clip(len(words) - starts if step > 0 else starts + 1, 0, REACH)
-    return [row[:n].view(np.int64) for row, n in zip(out, there)]
+def _salted(spans: np.ndarray, n: np.ndarray, right: np.ndarray) -> np.ndarray:
+    return mix(spans + (2 * n + right).astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
 
 
-def _around(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """What is around the windows of each text, at most 64 texts at once."""
+def _around(batches: Iterator[pd.DataFrame], reach: int) -> Iterator[pd.DataFrame]:
+    """The whole name of each window, and on both sides how many words are looked at and their hash; at most 64 texts at once."""
     for whole in batches:
         for start in range(0, len(whole), 64):
             batch, out = whole.iloc[start : start + 64], []
-            for row_id, doc_id, key, text, firsts, classes in zip(*(batch[c] for c in ("row_id", "doc_id", "text_key", "text", "firsts", "classes"))):
+            for row_id, doc_id, n_rows, text, firsts in zip(*(batch[c] for c in ("row_id", "doc_id", "n_rows", "text", "firsts"))):
                 words = hash_words(ascii_lower(text).split())
-                first = np.asarray(firsts, np.int64)
-                sides = zip(_chains(words, first - 1, -1), _chains(words, first + WINDOW, 1))
-                out += [(c, row_id, doc_id, key, f, *side) for c, f, side in zip(classes, first, sides)]
-            yield pd.DataFrame(out, columns=["class_id", "row_id", "doc_id", "text_key", "first", "left", "right"])
+                first, spans = np.asarray(firsts, np.int64), Spans(words)
+                end = first + WINDOW
+                left, right = np.minimum(first, reach), np.minimum(len(words) - end, reach)
+                low, high = (mix(s(first, end)) for s in (spans, Spans(mix(words))))
+                tails = _salted(spans(first - left, first), left, left * 0), _salted(spans(end, end + right), right, right * 0 + 1)
+                same = (np.full(len(first), value, np.int64) for value in (row_id, doc_id, n_rows))
+                out.append((low, high, *same, first, *tails, left, right))
+            names = ["low", "high", "row_id", "doc_id", "n_rows", "first", "tail_left", "tail_right", "reach_left", "reach_right"]
+            yield pd.DataFrame({name: np.concatenate(column).view(np.int64) for name, column in zip(names, zip(*out))})
+
+
+def _chains(batches: Iterator[pd.DataFrame], reach: int) -> Iterator[pd.DataFrame]:
+    """For places and sides, hashes of the 1, 2, ... `reach` words there, as far as there are words, with the class in them."""
+    columns = ["firsts", "rights", "lows", "highs", "tails", "lasts", "ns"]
+    for whole in batches:
+        for start in range(0, len(whole), 64):
+            out = []
+            for row_id, doc_id, text, *arrays in zip(*(whole.iloc[start : start + 64][c] for c in ("row_id", "doc_id", "text", *columns))):
+                words = hash_words(ascii_lower(text).split())
+                first, right, low, high, tail, last, n = (np.asarray(a, np.int64) for a in arrays)
+                there = np.where(right, np.minimum(len(words) - first - WINDOW, reach), np.minimum(first, reach))
+                k = np.arange(1, reach + 1)
+                begin = np.where(right[:, None], first[:, None] + WINDOW, np.maximum(first[:, None] - k, 0))
+                end = np.where(right[:, None], np.minimum(begin + k, len(words)), first[:, None])
+                found = mix(_salted(Spans(words)(begin, end), k[None, :], right[:, None]) + high.view(np.uint64)[:, None]).view(np.int64)
+                chains = (row[:m] for row, m in zip(found, there))
+                out += zip([row_id] * len(n), [doc_id] * len(n), first, right, low, high, tail, last, n, chains)
+            yield pd.DataFrame(out, columns=["row_id", "doc_id", "first", "right", "low", "high", "tail", "last_id", "n", "chain"])
+
 
+_CLASS = ["low", "high"]
 
-def _reaches(around: DataFrame, side: str) -> DataFrame:
-    """class_id, tail, owner, any, behind, n: how far windows with the same words around them agree with another document.
 
-    `any` words are also in another document after the same window, n times in all; of the
+def _reaches(around: DataFrame, held: DataFrame, scratch: Scratch, reach: int) -> DataFrame:
+    """low, high, right, tail, owner, any, behind, every: how far windows with the same words around them agree with another document.
+
+    `any` words are also in another document on that side of the same window, `every` times in all; of the
     first place of the tail (owner), `behind` of them also in an earlier place, of its other places all.
-    A tail is a class's windows with the same REACH words on that side.
+    A tail is a class's windows with the same words, up to `reach`, on that side. Where a class has one tail, all of it
+    is in all of its documents: such classes are left out. Others compare one chain per tail, made from the texts again.
     """
-    tail = F.xxhash64(side).alias("tail")
-    tails = around.groupBy("class_id", tail).agg(
-        F.min(F.struct("doc_id", "row_id", "first")).alias("owner"), F.max("doc_id").alias("last_id"),
-        F.count("*").alias("n"), F.max(F.size(side)).alias("reach"),
-    )
-    tails = saved(tails, f"tails-{side}")
-    # Where a class has one tail, all of it is in all of its documents; others compare one chain per tail.
-    several = saved(tails.groupBy("class_id").agg(F.count("*").alias("tails")), f"tail-counts-{side}").filter("tails > 1")
-    place = ["doc_id", "row_id", "first"]
-    owners = tails.join(several.select("class_id"), "class_id", "left_semi").select(
-        "class_id", "tail", "owner", "last_id", "n", *(F.col(f"owner.{c}").alias(c) for c in place)
+    place = F.struct("doc_id", "row_id", "first")
+    sides = F.explode(F.array(*(F.struct(F.lit(right).alias("right"), F.col(f"tail_{side}").alias("tail")) for right, side in ((0, "left"), (1, "right")))))
+    tails = (
+        around.select(*_CLASS, "doc_id", "row_id", "first", "n_rows", sides.alias("side")).select("*", "side.*")
+        .groupBy(*_CLASS, "right", "tail").agg(F.min(place).alias("owner"), F.max("doc_id").alias("last_id"), F.sum("n_rows").alias("n"))
     )
-    chains = around.select("class_id", tail, *place, F.col(side).alias("chain")).join(owners, ["class_id", "tail", *place])
-    chains = saved(chains.select("class_id", "tail", "owner", "last_id", "n", "chain"), f"chains-{side}")
-    tall = chains.select("class_id", "tail", "owner", "last_id", "n", F.posexplode("chain").alias("k", "hash"))
-    shared = tall.groupBy("class_id", "hash").agg(
+    tails = scratch.save(tails, "tails")
+    several = tails.groupBy(*_CLASS, "right").agg(F.count("*").alias("tails")).filter("tails > 1").drop("tails")
+    owners = scratch.save(tails.join(several, [*_CLASS, "right"], "left_semi"), "owners")
+    scratch.drop("tails")
+    wanted = F.struct(F.col("owner.first").alias("first"), "right", *_CLASS, "tail", "last_id", "n")
+    wanted = owners.groupBy(F.col("owner.row_id").alias("row_id")).agg(F.collect_list(wanted).alias("w"))
+    fields = {"firsts": "first", "rights": "right", "lows": "low", "highs": "high", "tails": "tail", "lasts": "last_id", "ns": "n"}
+    wanted = wanted.select("row_id", *(F.col(f"w.{field}").alias(name) for name, field in fields.items()))
+    schema = "row_id long, doc_id long, first int, right int, low long, high long, tail long, last_id long, n long, chain array<long>"
+    chains = held.select("row_id", "doc_id", "text").join(wanted, "row_id").mapInPandas(lambda batches: _chains(batches, reach), schema)
+    chains = scratch.save(chains, "chains")
+    tall = chains.select(*_CLASS, "right", "tail", place.alias("owner"), "last_id", "n", F.posexplode("chain").alias("k", "hash"))
+    # The hash holds the side and the other half of the class's name.
+    shared = tall.groupBy("low", "hash").agg(
         F.min("owner").alias("least"), F.max("last_id").alias("last_id"), F.sum("n").alias("every")
     ).filter("least.doc_id != last_id").drop("last_id")
-    found = tall.join(saved(shared, f"shared-{side}"), ["class_id", "hash"]).groupBy("class_id", "tail").agg(
+    found = tall.drop("last_id", "n").join(scratch.save(shared, "shared"), ["low", "hash"]).groupBy(*_CLASS, "right", "tail").agg(
         F.max(F.col("k") + 1).alias("any"), F.max(F.when(F.col("least") != F.col("owner"), F.col("k") + 1)).alias("behind"),
-        F.max(F.struct("k", "every")).alias("most"),
-    )
-    one = tails.join(several.select("class_id"), "class_id", "left_anti").select(
-        "class_id", "tail", F.col("reach").alias("any"), F.lit(0).alias("behind"), F.struct(F.lit(0).alias("k"), F.col("n").alias("every")).alias("most")
-    )
-    found = found.union(one)
-    zero = lambda c: F.coalesce(c, F.lit(0))
-    reaches = tails.select("class_id", "tail", "owner").join(found, ["class_id", "tail"], "left")
-    return saved(
-        reaches.select("class_id", F.col("tail").alias(f"tail_{side}"), F.col("owner").alias(f"owner_{side}"),
-                       *(zero(c).alias(f"{c}_{side}") for c in ("any", "behind")), F.col("most.every").alias(f"n_{side}")),
-        f"reaches-{side}",
+        F.max_by("every", "k").alias("every"),
     )
+    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    reaches = owners.select(*_CLASS, "right", "tail", "owner").join(found, [*_CLASS, "right", "tail"], "left")
+    reaches = scratch.save(reaches.select(*_CLASS, "right", "tail", "owner", zero("any"), zero("behind"), "every"), "reaches")
+    scratch.drop("owners", "chains", "shared")
+    return reaches
 
 
-def _grown(texts: DataFrame, occurrences: DataFrame) -> DataFrame:
-    """Placed pieces (as in `repeated_passages`) of equal windows, with what is around them in more than one document.
+def _grown(texts: DataFrame, found: DataFrame, scratch: Scratch, reach: int) -> DataFrame:
+    """Placed pieces (as in `repeated_passages`) of windows that are in more than one document, with what is around them.
 
-    `occurrences` (class_id, row_id, doc_id, text_key, first, keep, n) are windows whose class is in two documents.
-    Where words around a removed window occur elsewhere, but not before, they are a piece of their own that stays.
+    `found` has row_id, doc_id, text_key, firsts and names of windows. Where words around a removed
+    window occur elsewhere, but not before, they are a piece of their own that stays.
     """
-    name = ["doc_id", "text_key"]
-    starts = occurrences.groupBy(*name).agg(
-        F.min("row_id").alias("row_id"), F.max("row_id").alias("last_row"),
-        F.array_sort(F.collect_set(F.struct("first", "class_id"))).alias("s"),
-    )
-    starts = saved(starts.select("row_id", "last_row", *name, F.col("s.first").alias("firsts"), F.col("s.class_id").alias("classes")), "starts")
-    texts, again = texts.drop("row_id"), starts.filter("row_id != last_row")
-    held = texts.join(starts.filter("row_id = last_row"), name)
-    if not again.isEmpty():
-        # Rows that repeat the doc_id and the text have the same words around their windows.
-        held = held.union(texts.join(again, name).dropDuplicates(name))
-    schema = "class_id long, row_id long, doc_id long, text_key long, first int, left array<long>, right array<long>"
-    around = saved(held.select("row_id", *name, "text", "firsts", "classes").mapInPandas(_around, schema), "around")
-    tails = saved(
-        around.select("class_id", *name, "first", *(F.xxhash64(s).alias(f"tail_{s}") for s in ("left", "right"))), "window-tails"
+    # Names that one document has alone are gone before anything but names has moved.
+    names = found.select("doc_id", F.explode("names").alias("name")).groupBy("name").agg(
+        F.min("doc_id").alias("least"), F.max("doc_id").alias("last")
+    ).filter("least != last").select("name")
+    windows_of = found.select("row_id", F.explode(F.arrays_zip("firsts", "names")).alias("w")).select(
+        "row_id", F.col("w.firsts").alias("first"), F.col("w.names").alias("name")
     )
-    x = occurrences.join(tails, ["class_id", *name, "first"])
-    for side in ("left", "right"):
-        x = x.join(_reaches(around, side), ["class_id", f"tail_{side}"])
+    shared = windows_of.join(scratch.save(names, "shared-names"), "name", "left_semi")
+    shared = shared.groupBy("row_id").agg(F.array_sort(F.collect_list("first")).alias("firsts"))
+    rows = scratch.save(found.select("row_id", "doc_id", "text_key").join(shared, "row_id"), "shared-windows")
+    # Rows that repeat the doc_id and the text have the same words around their windows.
+    text_of = ["doc_id", "text_key"]
+    starts = rows.groupBy(*text_of).agg(F.min("row_id").alias("row_id"), F.count("*").alias("n_rows"), F.first("firsts").alias("firsts"))
+    starts = scratch.save(starts, "starts")
+    again = starts.filter("n_rows > 1")
+    repeated = not again.isEmpty()
+    texts = texts.drop("row_id")
+    held = texts.join(starts.filter("n_rows = 1"), text_of) if repeated else texts.join(starts, text_of)
+    if repeated:
+        held = held.union(texts.join(again, text_of).dropDuplicates(text_of))
+    held = scratch.save(held.select("row_id", "doc_id", "n_rows", "text", "firsts"), "shared-texts")
+    columns = ["low", "high", "row_id", "doc_id", "n_rows", "first", "tail_left", "tail_right", "reach_left", "reach_right"]
+    schema = ", ".join(f"{c} {'int' if c.startswith(('first', 'reach')) else 'long'}" for c in columns)
+    around = scratch.save(held.mapInPandas(lambda batches: _around(batches, reach), schema), "around")
     place = F.struct("doc_id", "row_id", "first")
+    classes = around.groupBy(*_CLASS).agg(F.min(place).alias("keep"), F.max("doc_id").alias("last_id"), F.sum("n_rows").alias("n"))
+    classes = scratch.save(classes.filter("keep.doc_id != last_id").drop("last_id"), "classes")
+    reaches = _reaches(around, held, scratch, reach)
+    if repeated:
+        others = around.filter("n_rows > 1").withColumnRenamed("row_id", "first_row").join(
+            starts.select(F.col("row_id").alias("first_row"), "doc_id", "text_key").join(rows.select("row_id", *text_of), text_of).drop(*text_of), "first_row"
+        )
+        around = around.filter("n_rows = 1").unionByName(others.drop("first_row"))
+    x = around.drop("n_rows").join(classes, _CLASS)
+    for right, side in ((0, "left"), (1, "right")):
+        one = reaches.filter(F.col("right") == right).select(
+            *_CLASS, F.col("tail").alias(f"tail_{side}"), *(F.col(c).alias(f"{c}_{side}") for c in ("owner", "any", "behind", "every"))
+        )
+        x = x.join(one, [*_CLASS, f"tail_{side}"], "left").withColumns({
+            f"any_{side}": F.coalesce(f"any_{side}", f"reach_{side}"), f"behind_{side}": F.coalesce(f"behind_{side}", F.lit(0)),
+            f"owner_{side}": F.coalesce(f"owner_{side}", "keep"), f"every_{side}": F.when(F.col(f"owner_{side}").isNull(), F.col("n")).otherwise(F.col(f"every_{side}")),
+        })
     gone = lambda side: F.when(place == F.col(f"owner_{side}"), F.col(f"behind_{side}")).otherwise(F.col(f"any_{side}"))
     x = x.withColumns({"place": place, "gone_left": gone("left"), "gone_right": gone("right"), "end": F.col("first") + WINDOW})
     first, end, stays = F.col("first"), F.col("end"), F.col("place") == F.col("keep")
@@ -229,45 +289,49 @@ def _grown(texts: DataFrame, occurrences: DataFrame) -> DataFrame:
     high = {c: end + F.col(f"{c}_right") for c in ("any", "gone")}
     pieces = F.when(stays, F.array(piece(low["any"], high["any"], F.lit(False), F.col("keep"), F.col("n")))).otherwise(F.array(
         piece(low["gone"], high["gone"], F.lit(True), F.col("keep"), F.col("n")),
-        piece(low["any"], low["gone"], F.lit(False), F.col("place"), F.col("n_left")),
-        piece(high["gone"], high["any"], F.lit(False), F.col("place"), F.col("n_right")),
+        piece(low["any"], low["gone"], F.lit(False), F.col("place"), F.col("every_left")),
+        piece(high["gone"], high["any"], F.lit(False), F.col("place"), F.col("every_right")),
     ))
     pieces = x.select("row_id", "doc_id", F.explode(F.filter(pieces, lambda p: p["first"] < p["end"])).alias("piece"))
-    return pieces.select("row_id", "doc_id", "piece.*")
+    pieces = scratch.save(pieces.select("row_id", "doc_id", "piece.*"), "pieces")
+    scratch.drop("shared-names", "shared-windows", "starts", "shared-texts", "around", "classes", "reaches")
+    return pieces
 
 
-def repeated_passages(docs: DataFrame) -> DataFrame:
+def repeated_passages(docs: DataFrame, line_words: int = LINE_WORDS, passage_words: int = PASSAGE_WORDS) -> DataFrame:
     """One row per maximal passage of `docs` (doc_id, text) that is repeated in another document.
 
     doc_id, first and end (words from 0, end exclusive), n_words, removed (false where
     a passage occurs first, by doc_id and place), cluster_id (smallest doc_id that has
-    a part of it) and n_paragraphs (of the largest cluster that it has a part of). Passages of at least SPREAD + WINDOW words that occur twice word for word, A-Z and a-z
-    taken as one, are always found, from their first word to their last; lines of at least LINE_WORDS words also if their
+    a part of it) and n_paragraphs (of the largest cluster that it has a part of). Passages of at least passage_words that occur twice word for word, A-Z and a-z
+    taken as one, are always found, from their first word to their last; lines of at least line_words also if their
     five-word shingle sets have a Jaccard similarity of 0.8 or more. Overlapping paragraphs
     are merged. Repeats within one doc_id alone do not count, nor do rows without a
     doc_id; null and short texts have no paragraphs. Other columns are not looked at. An
     empty table gives no rows.
     """
+    if line_words < SHINGLE or passage_words < 2 * WINDOW:
+        raise ValueError(f"lines have {SHINGLE} words and passages {2 * WINDOW} at least")
     small_batches(docs.sparkSession)
+    early_cleanup(docs.sparkSession)
+    scratch, spread = Scratch(docs.sparkSession), passage_words - WINDOW
     texts = docs.filter("doc_id is not null").select(
         F.monotonically_increasing_id().alias("row_id"), F.col("doc_id").cast("long").alias("doc_id"),
         text_key().alias("text_key"), F.col("text").cast("string").alias("text"),
     )
-    schema = "row_id long, doc_id long, text_key long, first int, end int, low long, high long, keys array<long>"
-    found = saved(texts.mapInPandas(_paragraphs, schema).withColumn("id", F.monotonically_increasing_id()), "paragraphs")
+    schema = "row_id long, doc_id long, text_key long, firsts array<int>, names array<long>, first int, end int, low long, high long, keys array<long>"
+    found = texts.mapInPandas(lambda batches: _paragraphs(batches, line_words, spread), schema)
+    found = scratch.save(found.withColumn("id", F.monotonically_increasing_id()), "paragraphs")
+    # Between two windows of a passage, and before its first or after its last one, are at most spread - 1 words.
+    pieces = _grown(texts, found.filter("names is not null"), scratch, spread - 1)
+
     name = ["low", "high"]
-    equal = found.groupBy(*name).agg(
-        F.min("id").alias("class_id"), F.count("*").alias("n"), F.max("doc_id").alias("last_id"),
-        F.min(F.struct("doc_id", "row_id", "first")).alias("keep"),
-    ).filter("n > 1")
-    equal = saved(equal, "equal-paragraphs")
-    same = found.filter("keys is null").join(equal.filter("keep.doc_id != last_id"), name)
-    occurrences = saved(same.select("class_id", "row_id", "doc_id", "text_key", "first", "keep", "n"), "equal-windows")
-    equal = equal.select(*name, "class_id")
-
-    lines = found.filter("keys is not null")
+    lines = scratch.save(found.filter("keys is not null").drop("firsts", "names"), "lines")
+    scratch.drop("paragraphs")
+    equal = lines.groupBy(*name).agg(F.min("id").alias("class_id"), F.count("*").alias("n")).filter("n > 1")
+    equal = scratch.save(equal.drop("n"), "equal-lines")
     firsts = lines.join(equal, name, "left").filter("class_id is null or class_id = id")
-    linked = _linked_lines(texts, firsts.select("id", *name, "doc_id", "keys"))
+    linked = _linked_lines(texts, firsts.select("id", *name, "doc_id", "keys"), scratch, line_words)
 
     place = ["id", "row_id", "doc_id", "first", "end"]
     shared = lines.join(equal, name).select(*place, "class_id")
@@ -275,12 +339,13 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
         lines.join(linked, "id", "left_semi").select(*place, F.col("id").alias("class_id"))
         .join(equal.select("class_id"), "class_id", "left_anti").select(*place, "class_id")
     )
-    clustered = saved(
+    clustered = scratch.save(
         shared.union(alone).join(linked.select(F.col("id").alias("class_id"), "component"), "class_id", "left")
         .withColumn("cluster", F.coalesce("component", "class_id")).drop("component", "class_id", "id"),
         "clustered",
     )
-    clusters = saved(
+    scratch.drop("lines", "equal-lines", "linked-lines")
+    clusters = scratch.save(
         clustered.groupBy("cluster").agg(
             F.min(F.struct("doc_id", "row_id", "first")).alias("keep"), F.max("doc_id").alias("last_id"),
             F.count("*").alias("n"),
@@ -289,7 +354,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     )
     placed = clustered.join(clusters, "cluster").withColumn(
         "removed", F.struct("doc_id", "row_id", "first") != F.col("keep")
-    ).select("row_id", "doc_id", "first", "end", "removed", "keep", "n").unionByName(_grown(texts, occurrences))
+    ).select("row_id", "doc_id", "first", "end", "removed", "keep", "n").unionByName(pieces)
     so_far = Window.partitionBy("row_id", "removed").orderBy("first", "end")
     opens = F.coalesce(F.max("end").over(so_far.rowsBetween(Window.unboundedPreceding, -1)), F.lit(-1)) < F.col("first")
     merged = placed.withColumn("opens", opens.cast("int")).withColumn("part", F.sum("opens").over(so_far))
@@ -299,17 +364,19 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     ).select("doc_id", "first", "end", (F.col("end") - F.col("first")).alias("n_words"), "removed", "cluster_id", "n_paragraphs")
 
 
-def _linked_lines(texts: DataFrame, firsts: DataFrame) -> DataFrame:
+def _linked_lines(texts: DataFrame, firsts: DataFrame, scratch: Scratch, line_words: int) -> DataFrame:
     """(id, component) of lines that similar shingle sets connect; `firsts` are lines with different sets."""
-    firsts = saved(firsts, "different-lines")
+    firsts = scratch.save(firsts, "different-lines")
     members = crowded(firsts.select(F.explode("keys").alias("bucket"), "id"))
-    wanted = saved(firsts.join(members.select("id").distinct(), "id", "left_semi").drop("keys"), "candidate-lines")
+    wanted = scratch.save(firsts.join(members.select("id").distinct(), "id", "left_semi").drop("keys"), "candidate-lines")
+    scratch.drop("different-lines")
     sets = (
         texts.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi").select("text")
-        .mapInPandas(_line_sets, "low long, high long, shingles array<long>")
+        .mapInPandas(lambda batches: _line_sets(batches, line_words), "low long, high long, shingles array<long>")
         .join(wanted.select("id", "low", "high"), ["low", "high"])
         .groupBy("id").agg(F.first("shingles").alias("shingles"))
     )
-    sets = saved(sets, "line-sets")
-
-    return saved(link_buckets(members, sets, NUMERATOR, DENOMINATOR), "linked-lines")
+    sets = scratch.save(sets, "line-sets")
+    linked = scratch.save(link_buckets(members, sets, NUMERATOR, DENOMINATOR), "linked-lines")
+    scratch.drop("line-sets", "candidate-lines")
+    return linked
