@@ -27,6 +27,8 @@ LINE_WORDS = 40
 #: Shorter passages may be missed, unless told otherwise: one of WINDOW + spread words holds a window whole, as each
 #: spread consecutive shingles start one.
 PASSAGE_WORDS, WINDOW = 50, 18
+#: Rounds in which tails meet the first one of their group, before lengths are compared one by one.
+MEETINGS = 3
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 
@@ -169,7 +171,7 @@ def _around(batches: Iterator[pd.DataFrame], reach: int) -> Iterator[pd.DataFram
 
 
 def _chains(batches: Iterator[pd.DataFrame], reach: int) -> Iterator[pd.DataFrame]:
-    """For places and sides, hashes of the 1, 2, ... `reach` words there, as far as there are words, with the class in them."""
+    """For places and sides, hashes of the 1, 2, ... `reach` words there, as far as there are words; 32 bits will do beside the class."""
     columns = ["firsts", "rights", "lows", "highs", "tails", "lasts", "ns"]
     for whole in batches:
         for start in range(0, len(whole), 64):
@@ -181,7 +183,8 @@ def _chains(batches: Iterator[pd.DataFrame], reach: int) -> Iterator[pd.DataFram
                 k = np.arange(1, reach + 1)
                 begin = np.where(right[:, None], first[:, None] + WINDOW, np.maximum(first[:, None] - k, 0))
                 end = np.where(right[:, None], np.minimum(begin + k, len(words)), first[:, None])
-                found = mix(_salted(Spans(words)(begin, end), k[None, :], right[:, None]) + high.view(np.uint64)[:, None]).view(np.int64)
+                found = mix(_salted(Spans(words)(begin, end), k[None, :], right[:, None]) + high.view(np.uint64)[:, None])
+                found = (found >> np.uint64(32)).astype(np.uint32).view(np.int32)
                 chains = (row[:m] for row, m in zip(found, there))
                 out += zip([row_id] * len(n), [doc_id] * len(n), first, right, low, high, tail, last, n, chains)
             yield pd.DataFrame(out, columns=["row_id", "doc_id", "first", "right", "low", "high", "tail", "last_id", "n", "chain"])
@@ -212,23 +215,80 @@ def _reaches(around: DataFrame, held: DataFrame, scratch: Scratch, reach: int) -
     wanted = owners.groupBy(F.col("owner.row_id").alias("row_id")).agg(F.collect_list(wanted).alias("w"))
     fields = {"firsts": "first", "rights": "right", "lows": "low", "highs": "high", "tails": "tail", "lasts": "last_id", "ns": "n"}
     wanted = wanted.select("row_id", *(F.col(f"w.{field}").alias(name) for name, field in fields.items()))
-    schema = "row_id long, doc_id long, first int, right int, low long, high long, tail long, last_id long, n long, chain array<long>"
+    schema = "row_id long, doc_id long, first int, right int, low long, high long, tail long, last_id long, n long, chain array<int>"
     chains = held.select("row_id", "doc_id", "text").join(wanted, "row_id").mapInPandas(lambda batches: _chains(batches, reach), schema)
     chains = scratch.save(chains, "chains")
-    tall = chains.select(*_CLASS, "right", "tail", place.alias("owner"), "last_id", "n", F.posexplode("chain").alias("k", "hash"))
-    # The hash holds the side and the other half of the class's name.
-    shared = tall.groupBy("low", "hash").agg(
+    reaches = scratch.save(_agreement(chains, scratch), "reaches")
+    scratch.drop("owners", "chains", *(name for name in list(scratch.paths) if name.startswith("compared-")))
+    return reaches
+
+
+def _agreement(chains: DataFrame, scratch: Scratch) -> DataFrame:
+    """low, high, right, tail, owner, any, behind, every, as `_reaches` says.
+
+    Tails of a class and side meet the one whose place is first. Those that leave it after the same number of words by
+    the same word are a group of the next round, the others have met all that they agree with further.
+    A round is a partial minimum and a join by group, and takes one tail at least from each group. What MEETINGS rounds
+    leave is told by the hashes of all lengths beyond those met: the same result, whichever way.
+    """
+    two = F.col("owner.doc_id") != F.col("last_id")
+    live = chains.select(
+        *_CLASS, "right", "tail", F.struct("doc_id", "row_id", "first").alias("owner"), "last_id", "n", "chain",
+        F.xxhash64(*_CLASS, "right").alias("group"),
+    ).withColumns({"any": F.when(two, F.size("chain")).otherwise(F.lit(0)), "behind": F.lit(0)})
+    group, done = ["low", "group"], None
+    for turn in range(MEETINGS):
+        first = F.min(F.struct("owner", "last_id", "chain")).alias("first_one")
+        met = live.join(live.groupBy(*group).agg(first, F.count("*").alias("size")), group)
+        parts = F.array_position(F.zip_with("chain", "first_one.chain", lambda x, y: F.coalesce(x == y, F.lit(False))), False)
+        met = met.select(
+            *live.columns, "size", (F.col("owner") == F.col("first_one.owner")).alias("leads"),
+            F.when(parts == 0, F.size("chain")).otherwise(parts.cast("int") - 1).alias("common"),
+            F.col("first_one.owner.doc_id").alias("first_id"), (F.col("first_one.owner.doc_id") != F.col("first_one.last_id")).alias("first_two"),
+        )
+        met = scratch.save(met, f"met-{turn}")
+        other = two | (F.col("owner.doc_id") != F.col("first_id"))
+        lengths = met.filter("not leads").groupBy(*group, "common").agg(F.sum("n").alias("n"), F.max(other).alias("other"))
+        # At most one entry for each length.
+        lengths = lengths.groupBy(*group).agg(
+            F.max(F.when(F.col("other"), F.col("common"))).alias("most"), F.collect_list(F.struct("common", "n")).alias("lengths")
+        )
+        most = F.coalesce("most", F.lit(0))
+        reached = F.when(F.col("first_two") | other, F.col("common")).otherwise(F.least(F.col("common"), most))
+        now = met.join(lengths, group, "left").withColumns({
+            "any": F.greatest("any", F.when(F.col("leads"), most).otherwise(reached)),
+            "behind": F.when(F.col("leads"), F.col("behind")).otherwise(F.greatest("behind", "common")),
+        })
+        as_far = F.filter(F.coalesce("lengths", F.array().cast("array<struct<common:int,n:bigint>>")), lambda x: x["common"] >= F.col("any"))
+        now = now.withColumns({
+            "every": F.aggregate(as_far, F.col("n"), lambda total, x: total + x["n"]),
+            "done": F.col("leads") | (F.size("chain") == F.col("common")),
+        })
+        left = F.when(~F.col("done"), F.xxhash64("group", "common", F.get("chain", F.col("common"))))
+        now = now.select(
+            *_CLASS, "right", "tail", "owner", "last_id", "n", F.when(~F.col("done"), F.col("chain")).alias("chain"),
+            left.alias("group"), "any", "behind", "every", "done",
+        )
+        now = scratch.save(now, f"compared-{turn}")
+        scratch.drop(f"met-{turn}")
+        ended = now.filter("done").select(*_CLASS, "right", "tail", "owner", "any", F.least("any", "behind").alias("behind"), "every")
+        done = ended if done is None else done.union(ended)
+        live = now.filter("not done").select(*live.columns)
+    key = [*group, "k", "hash"]
+    tall = live.select(*group, *_CLASS[1:], "right", "tail", "owner", "last_id", "n", "any", "behind", F.posexplode("chain").alias("k", "hash"))
+    tall = tall.filter("k >= behind").drop("any", "behind")
+    shared = tall.groupBy(*key).agg(
         F.min("owner").alias("least"), F.max("last_id").alias("last_id"), F.sum("n").alias("every")
     ).filter("least.doc_id != last_id").drop("last_id")
-    found = tall.drop("last_id", "n").join(scratch.save(shared, "shared"), ["low", "hash"]).groupBy(*_CLASS, "right", "tail").agg(
-        F.max(F.col("k") + 1).alias("any"), F.max(F.when(F.col("least") != F.col("owner"), F.col("k") + 1)).alias("behind"),
+    further = tall.drop("last_id", "n").join(scratch.save(shared, "compared-lengths"), key).groupBy(*_CLASS, "right", "tail").agg(
+        F.max(F.col("k") + 1).alias("more"), F.max(F.when(F.col("least") != F.col("owner"), F.col("k") + 1)).alias("after"),
         F.max_by("every", "k").alias("every"),
     )
-    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
-    reaches = owners.select(*_CLASS, "right", "tail", "owner").join(found, [*_CLASS, "right", "tail"], "left")
-    reaches = scratch.save(reaches.select(*_CLASS, "right", "tail", "owner", zero("any"), zero("behind"), "every"), "reaches")
-    scratch.drop("owners", "chains", "shared")
-    return reaches
+    far = F.greatest("any", F.coalesce("more", F.lit(0)))
+    rest = live.join(further, [*_CLASS, "right", "tail"], "left").select(
+        *_CLASS, "right", "tail", "owner", far.alias("any"), F.least(far, F.greatest("behind", F.coalesce("after", F.lit(0)))).alias("behind"), "every"
+    )
+    return rest if done is None else done.union(rest)
 
 
 def _grown(texts: DataFrame, found: DataFrame, scratch: Scratch, reach: int) -> DataFrame:

@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from llm_fixtures import clashing, documents  # noqa: F401
-from nightledger.llm import linking
+from nightledger.llm import linking, paragraphs
+from nightledger.llm.common import Scratch
 from nightledger.llm.components import components
 from nightledger.llm.hashing import shingle_set
 from nightledger.llm.hyperminhash import BUCKETS, chance_agreement, near_duplicates, registers
@@ -183,3 +184,32 @@ def test_bands_reach_their_recall():
 
 def test_empty_shingles():
     assert len(shingle_set([])) == 0 and len(shingle_set([b"a", b"b"])) == 1 and BUCKETS == 130
+
+
+@pytest.mark.parametrize("meetings", [0, 1, 3])
+def test_agreement_of_tails_against_brute_force(spark, monkeypatch, meetings):
+    monkeypatch.setattr(paragraphs, "MEETINGS", meetings)
+    pick, tails = random.Random(meetings), {}
+    for place in range(400):
+        words = tuple(pick.choice((1, 1, 1, 2)) for _ in range(pick.choice((0, 1, 2, 3, 6, 6))))
+        tails.setdefault((pick.randrange(6), pick.randrange(2), words), []).append((pick.randrange(30), 0, place))
+    rows, number = [], {}
+    for tail, ((low, right, words), places) in enumerate(tails.items()):
+        number[low, right, words] = tail
+        chain = [hash((right, words[: k + 1])) % 2**31 for k in range(len(words))]
+        rows.append((*min(places), right, low, -low, tail, max(places)[0], len(places), chain))
+    schema = "doc_id long, row_id long, first int, right int, low long, high long, tail long, last_id long, n long, chain array<int>"
+    found = paragraphs._agreement(spark.createDataFrame(rows, schema), Scratch(spark)).collect()
+    assert len(found) == len(tails)
+    found = {r.tail: r for r in found}
+    for (low, right, words), places in tails.items():
+        reach, before, every = 0, 0, None
+        for k in range(1, len(words) + 1):
+            same = [p for (a, b, w), ps in tails.items() if (a, b, w[:k]) == (low, right, words[:k]) for p in ps if len(w) >= k]
+            if len({p[0] for p in same}) > 1:
+                reach, every = k, len(same)
+                before = k if min(same) != min(places) else before
+        r = found[number[low, right, words]]
+        assert (r.any, r.behind) == (reach, before)
+        # Asked only where a piece reaches further than what came before.
+        assert reach == before or r.every == every
