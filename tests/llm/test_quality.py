@@ -1,11 +1,13 @@
+import math
 import random
+from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
 
 from llm_fixtures import clashing, documents, labels  # noqa: F401
-from nightledger.llm.kneser_ney import discounts, log_probabilities, model, perplexity_filter, trigram_counts, coded
+from nightledger.llm.kneser_ney import coded, discounts, frequent_words, log_probabilities, model, perplexity_filter, trigram_counts
 from nightledger.llm.quality_rules import isolation_filter, rule_statistics, statistics
-from nightledger.llm.tokens16 import SAME, Coder, trigrams
+from nightledger.llm.tokens16 import SAME, START, Coder, trigrams, word_hash
 
 COMMON = ["the", "of", "and", "to", "in", "is", "it", "was", "for", "on"]
 SYLLABLES = ["ther", "ing", "ation", "ment", "able", "or", "est", "ough", "and", "in"]
@@ -117,3 +119,91 @@ def test_perplexity_of_odd_tables(documents, labels):
     assert len(found) == 7 and all(r.perplexity > 0 for r in found)
     assert perplexity_filter(documents([]), labels([])).count() == 0
     assert perplexity_filter(documents([]).drop("lang"), labels(marks)).count() == 0
+
+
+def brute_kneser_ney(grams):
+    """log p(w | u, v) by nested dictionaries, from a list of (u, v, w)."""
+
+    def discounted(counts):
+        n = Counter(counts.values())
+        if not (n[1] and n[2] and n[3]):
+            return [0.5, 0.75, 0.9]
+        y = n[1] / (n[1] + 2 * n[2])
+        return [min(max(k - (k + 1) * y * n[k + 1] / n[k], 0.05), k - 0.05) for k in (1, 2, 3)]
+
+    def level(counts, lower):
+        d, total, back = discounted(counts), Counter(), Counter()
+        for (*context, _), c in counts.items():
+            total[tuple(context)] += c
+            back[tuple(context)] += d[min(c, 3) - 1]
+
+        def p(*gram):
+            context = gram[:-1]
+            if not total[context]:
+                return lower(*gram[1:])
+            c = counts.get(gram, 0)
+            own = c - d[min(c, 3) - 1] if c else 0
+            return own / total[context] + back[context] / total[context] * lower(*gram[1:])
+
+        return p
+
+    threes = Counter(grams)
+    before, often = defaultdict(set), Counter()
+    for (u, v, w), n in threes.items():
+        before[v, w].add(u)
+        often[v, w] += n
+    twos = {(v, w): often[v, w] if v == START else len(us) for (v, w), us in before.items()}
+    ones = Counter(w for _, w in twos)
+    one = level({(w,): c for w, c in ones.items()}, lambda: 1 / (len(ones) + 1))
+    three = level(threes, level(twos, one))
+    return lambda *gram: math.log(three(*gram))
+
+
+def parts(gram):
+    return gram >> 32, gram >> 16 & 0xFFFF, gram & 0xFFFF
+
+
+def test_probabilities_against_brute_force(spark, documents, labels):
+    pick = random.Random(21)
+    rows = [(k, clean(pick, 60)) for k in range(40)] + [(40, ""), (41, "the of the of the of"), (42, "to to to in")]
+    trained = coded(documents(rows), labels([(k, 1, 0) for k, _ in rows])).filter("trusted")
+    coder = Coder()
+    brute = brute_kneser_ney([parts(int(g)) for _, text in rows for g in trigrams(coder(text))])
+    asked = {int(g) for _ in range(10) for g in trigrams(coder(clean(pick)))} | {int(g) for g in trigrams(coder("on is zzz yy x the"))}
+    found = log_probabilities(spark.createDataFrame([(g,) for g in asked], "gram long"), model(trigram_counts(trained))).collect()
+    assert len(found) == len(asked)
+    for row in found:
+        assert abs(row.logp - brute(*parts(row.gram))) < 1e-4, parts(row.gram)
+
+
+def test_frequent_words_against_brute_force(documents):
+    pick = random.Random(4)
+    texts = [" ".join(pick.choice(["house", "HOUSE", "House", "water,", "water", "the", "straße", "don't", f"w{'x' * pick.randrange(9)}"])
+                      for _ in range(200)) for _ in range(20)]
+    plain = Counter(w.lower() for t in texts for w in t.split() if w.isalpha() and not w.isupper() and len(w) > 3)
+    for least in (0.05, 0.2):
+        wanted = {word_hash(w) for w, n in plain.items() if n >= least * sum(plain.values())}
+        assert wanted == frequent_words(documents([*enumerate(texts), (99, None), (100, "")]), least) and wanted
+    assert frequent_words(documents([])) == frozenset()
+
+
+def test_shuffled_letters_lose(documents, labels):
+    """The same words with their letters shuffled are less likely, text by text."""
+    pick = random.Random(6)
+    long_words = [a + b for a in SYLLABLES for b in SYLLABLES if len(a + b) > 4][:40]
+    texts = [" ".join(pick.choice(long_words) for _ in range(80)) for _ in range(200)]
+    mixed = [" ".join("".join(pick.sample(w, len(w))) for w in t.split()) for t in texts[100:]]
+    rows = [*enumerate(texts), *((1000 + k, t) for k, t in enumerate(mixed))]
+    found = {r.doc_id: r for r in perplexity_filter(documents(rows), labels([(k, 1, 0) for k in range(100)])).collect()}
+    assert all(found[1000 + k].perplexity > 2 * found[100 + k].perplexity for k in range(100))
+    assert sum(found[100 + k].kept for k in range(100)) > 90 and not any(found[1000 + k].kept for k in range(100))
+
+
+def test_small_languages_share_the_general_bound(documents, labels):
+    """One held-out row does not set the bound of its language alone."""
+    rows, marks = table(12)
+    rows = [(k, t, "xx" if k % 40 == 1 else "en") for k, t in rows]
+    found = perplexity_filter(documents(rows), labels([*marks, *((k, 1, 0) for k, _, lang in rows if lang == "xx")])).collect()
+    general = {r.bound for r in found if r.lang == "en"}
+    assert len(general) == 1 and all(r.bound >= min(general) * 0.8 for r in found)
+    assert all(r.kept for r in found if r.lang == "xx")
