@@ -52,9 +52,9 @@ class Scratch:
     def __init__(self, spark: SparkSession):
         self.spark, self.paths = spark, {}
 
-    def save(self, df: DataFrame, name: str) -> DataFrame:
+    def save(self, df: DataFrame, name: str, **options: str) -> DataFrame:
         path = self.paths[name] = scratch_path(self.spark, name)
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:
