@@ -145,16 +145,21 @@ def rob_range(reservations, hotels, bridge, segments, start, end):
     `start` None begins at the first load. A stay night adds to all dates from
     the first that sees it to the last; instead of repeating it for each of them
     it is counted once as a change on the first and once, negative, on the day
-    after the last. Running sums of the changes over the dates give the report.
+    after the last. Running sums of the changes over the dates give the report. Changes move once
+    for both sums, a quarter of a hotel's nights to one task: so a task has all of what a later sum by date
+    and hotel adds up, and passes on one row for it.
     """
     first, end = as_day(start), given_day(end)
     changes = night_changes(booked_stays_in_range(reservations, first, end), bridge, end)
+    keys = [*REPORT_KEYS, "quarter"]
     per_night = (
         _decorated(changes, hotels, segments)
-        .groupBy(*REPORT_KEYS, "day")
+        .withColumn("quarter", F.trunc("stay_date", "quarter"))
+        .repartition("hotel_id", "quarter")
+        .groupBy(*keys, "day")
         .agg(*[F.sum(name).alias(name) for name in MEASURES])
     )
-    return reported(running_totals(per_night, REPORT_KEYS, end).filter(F.col("stays") > 0))
+    return reported(running_totals(per_night, keys, end).filter(F.col("stays") > 0))
 
 
 def night_changes(stays, bridge, end):

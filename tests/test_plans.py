@@ -96,6 +96,12 @@ def test_hot_bookings_have_no_window(spark, no_broadcast, monkeypatch, capsys):
     assert "SortMergeJoin" in plan and "partial_max(load_datetime" in plan
 
 
+def test_changes_of_a_range_move_once_for_both_sums(spark, no_broadcast, capsys):
+    """A quarter of a hotel is in one task, so that sums by date and hotel are whole before they move."""
+    keys = keys_of(plan_of(rob_range(*rob_tables(spark), None, DAY), capsys))
+    assert keys.count("hotel_id, quarter") == 1 and not any("hotel_code" in key for key in keys)
+
+
 def test_scans_are_pruned_and_filtered(spark, capsys):
     plan = plan_of(rob(*rob_tables(spark), DAY), capsys)
     assert "LessThanOrEqual(l_shipdate,1998-06-01T00:00)" in plan
