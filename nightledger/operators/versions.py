@@ -55,20 +55,21 @@ def _parted(log, key, hot):
     return log.filter(~_named(key).isin(hot)), log.filter(_named(key).isin(hot))
 
 
-def latest(log, key, hot=None):
-    """Per key the rows with the newest load_datetime, copies and ties included; a NULL key is one.
+def latest(log, key, hot=None, within=()):
+    """Per key, and columns `within` it, the rows with the newest load_datetime, copies and ties included; a NULL key is one.
 
     A ranking does it in one pass: tasks leave out what is older than another row they hold, and rows move once.
     That would put all ties of a key into one task. For hot keys the newest load is found
     with partial maxima over two narrow columns and joined to the rows, which Spark can split.
     """
     plain, uneven = _parted(log, key, hot)
-    by_load = Window.partitionBy(key).orderBy(F.desc("load_datetime"))
+    keys = [key, *within]
+    by_load = Window.partitionBy(*keys).orderBy(F.desc("load_datetime"))
     found = _first_ranked(plain, by_load)
     if uneven is None:
         return found
-    newest = uneven.groupBy(key).agg(F.max("load_datetime").alias("newest_load"))
-    return found.unionByName(_joined(uneven, newest, [key]).drop("newest_load"))
+    newest = uneven.groupBy(*keys).agg(F.max("load_datetime").alias("newest_load"))
+    return found.unionByName(_joined(uneven, newest, keys).drop("newest_load"))
 
 
 def _first_ranked(log, window):

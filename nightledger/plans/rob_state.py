@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from ..functions.parsing import first_midnight_from, moment_from
-from ..operators.versions import daily_latest, latest, with_valid_from
+from ..operators.versions import daily_latest, hot_keys, latest, with_valid_from
 from .rob import BOOKING_KEYS, MEASURES, REPORT_KEYS, _decorated, night_changes, reported, running_totals, slim, stays_report
 
 STATE = ["bkg_num", "load_datetime", "stay"]
@@ -24,25 +24,33 @@ def _counted(rows):
     return rows.groupBy(*[name for name in rows.columns if name != "copies"]).agg(F.sum("copies").alias("copies"))
 
 
-def state_of(versions):
-    """Versions in the form of the state: key, load time, the stay if it can count, and copies."""
+def _rows_of(versions):
+    """Key, load time and the stay if it can count, of each version that has a load time."""
     kind = versions.schema["load_datetime"].dataType
     timed = versions.withColumn("load_datetime", moment_from(F.col("load_datetime"), kind))
-    rows = slim(timed).filter(F.col("load_datetime").isNotNull())
-    return rows.groupBy(*STATE).agg(F.count(F.lit(1)).alias("copies"))
+    return slim(timed).filter(F.col("load_datetime").isNotNull()).select(*STATE)
+
+
+def state_of(versions):
+    """Versions in the form of the state: key, load time, the stay if it can count, and copies."""
+    return _rows_of(versions).groupBy(*STATE).agg(F.count(F.lit(1)).alias("copies"))
 
 
 def advanced(state, arrivals, day):
     """The state as of `day`, from an earlier one (None: none) and the versions that have come since.
 
     It does not matter when arrivals were loaded. Of versions loaded by `day` only the newest of each booking
-    count from now on; those loaded later wait.
+    count from now on; those loaded later wait, each load time for itself. Rows move once, to their booking, and
+    equal ones are added up where they then are.
     """
-    rows = state_of(arrivals)
+    rows = _rows_of(arrivals).withColumn("copies", F.lit(1).cast("long"))
+    keys = arrivals.select("bkg_num")
     if state is not None:
         rows = state.select(*rows.columns).unionByName(rows)
-    loaded = F.col("load_datetime") <= F.lit(day)
-    return _counted(latest(rows.filter(loaded), "bkg_num").unionByName(rows.filter(~loaded)))
+        keys = state.select("bkg_num").unionByName(keys)
+    load = F.col("load_datetime")
+    parted = rows.withColumn("waits_for", F.when(load > F.lit(day), load))
+    return _counted(latest(parted, "bkg_num", hot_keys(keys, "bkg_num"), ["waits_for"])).select(*STATE, "copies")
 
 
 def state_report(state, hotels, bridge, segments, day):

@@ -8,6 +8,7 @@ import pytest
 from test_rob_random import FIRST, random_tables
 
 from nightledger import schemas
+from nightledger.operators import versions
 from nightledger.plans import rob_state
 from nightledger.plans.rob import rob_range
 
@@ -44,6 +45,24 @@ def test_daily_reports_from_the_state(spark, tables, seed):
     assert len(set(loaded)) <= 9
 
 
+def test_a_state_moves_its_rows_once(spark, capsys):
+    rows = frame(spark, deliveries(1)[0][0])
+    state = rob_state.advanced(None, rows, DAYS[0])
+    state = spark.createDataFrame(state.collect(), state.schema)
+    capsys.readouterr()
+    rob_state.advanced(state, rows, DAYS[1]).explain()
+    plan = capsys.readouterr().out
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(moved) == 1 and "bkg_num" in moved[0] and "waits_for" in moved[0]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_states_with_hot_bookings(spark, tables, monkeypatch, seed):
+    monkeypatch.setattr(versions, "HOT_ROWS", 0)
+    monkeypatch.setattr(versions, "SAMPLE", 1.0)
+    test_daily_reports_from_the_state(spark, tables, seed)
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_extended_totals(spark, tables, seed):
     parts, raw = deliveries(seed)
