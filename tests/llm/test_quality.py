@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from llm_fixtures import clashing, documents, labels  # noqa: F401
 from nightledger.llm.kneser_ney import coded, discounts, frequent_words, log_probabilities, model, perplexity_filter, trigram_counts
 from nightledger.llm.quality_rules import isolation_filter, rule_statistics, statistics
-from nightledger.llm.tokens16 import SAME, START, Coder, trigrams, word_hash
+from nightledger.llm.tokens16 import SAME, START, Coder, Words, trigrams, triples, word_hash
 
 COMMON = ["the", "of", "and", "to", "in", "is", "it", "was", "for", "on"]
 SYLLABLES = ["ther", "ing", "ation", "ment", "able", "or", "est", "ough", "and", "in"]
@@ -207,3 +207,34 @@ def test_small_languages_share_the_general_bound(documents, labels):
     general = {r.bound for r in found if r.lang == "en"}
     assert len(general) == 1 and all(r.bound >= min(general) * 0.8 for r in found)
     assert all(r.kept for r in found if r.lang == "xx")
+
+
+def test_every_word_is_its_own(documents, labels):
+    """Rare words in another order are less likely: no word is too rare to be told from others of its length."""
+    pick = random.Random(31)
+    rare = ["".join(pick.choice("bcdfghklmnprst") + pick.choice("aeiou") for _ in range(3)) for _ in range(12_000)]
+    sentences = [rare[k : k + 6] for k in range(0, len(rare), 6)]
+    texts = [" ".join(sum(pick.sample(sentences, 10), [])) for _ in range(1000)]
+    rows = [*enumerate(texts), *((2000 + k, " ".join(pick.sample(t.split(), 60))) for k, t in enumerate(texts[:50]))]
+    found = {r.doc_id: r for r in perplexity_filter(documents(rows), labels([(k, 1, 0) for k in range(1000)])).collect()}
+    assert all(found[2000 + k].perplexity > 3 * found[k].perplexity and found[2000 + k].n_words == 60 for k in range(50))
+    assert not any(found[2000 + k].kept for k in range(50))
+
+
+def test_word_scores_against_brute_force(documents, labels):
+    pick = random.Random(32)
+    rows = [(k, clean(pick, 40)) for k in range(60)] + [(60, "on is zzz yy x the the the"), (60, "on is zzz yy x the the the"), (61, None)]
+    good = [(k, 1, 0) for k in range(40)]
+    taught = documents(rows).filter("doc_id < 40").filter(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(5)) != 0)
+    grams = lambda text: [tuple(map(int, t)) for t in zip(*triples(Words()(text)))]
+    brute = brute_kneser_ney([g for r in taught.collect() for g in grams(r.text)])
+    held = [k for k in range(40) if k not in {r.doc_id for r in taught.collect()}]
+    logp = {k: sum(brute(*g) for g in grams(text)) for k, text in rows}
+    size = {k: len((text or "").split()) + 1 for k, text in rows}
+    mean = sum(logp[k] for k in held) / sum(size[k] for k in held)
+    found = perplexity_filter(documents(rows), labels(good)).collect()
+    assert len(found) == len(rows)
+    for row in found:
+        assert row.n_words == size[row.doc_id] - 1
+        wanted = (logp[row.doc_id] + 30 * mean) / (size[row.doc_id] + 30)
+        assert abs(math.log(row.perplexity) + wanted) < 1e-5
