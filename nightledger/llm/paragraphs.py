@@ -10,6 +10,7 @@ agree with another document. Either way, the cluster's first paragraph stays.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import accumulate, chain
 
 import numpy as np
 import pandas as pd
@@ -57,25 +58,22 @@ def band_keys(shingles: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 def anchors(found: np.ndarray, n_words: int, spread: int) -> np.ndarray:
     """Starts of windows: the word where the least shingle of each `spread` consecutive ones begins."""
-    starts, have, spread = np.arange(len(found)), 1, min(spread, len(found))
+    starts, least, have, spread = np.arange(len(found), dtype=np.int32), found, 1, min(spread, len(found))
     while have < spread:
         # From the least of `have` to that of twice as many; the first of equal ones.
         step = min(have, spread - have)
-        left, right = starts[:-step], starts[step:]
-        starts, have = np.where(found[left] <= found[right], left, right), have + step
+        left, right = least[:-step], least[step:]
+        starts, have = np.where(left <= right, starts[:-step], starts[step:]), have + step
+        least = np.minimum(left, right)
     starts = starts[np.diff(starts, prepend=-1) > 0]
     return starts[starts + WINDOW <= n_words]
 
 
-def line_ranges(text: bytes, least: int) -> list[tuple[int, int]]:
-    """(first word, end) of the lines that have at least `least` words."""
-    out, at = [], 0
-    for line in text.split(b"\n"):
-        n = len(line.split())
-        if n >= least:
-            out.append((at, at + n))
-        at += n
-    return out
+def words_and_lines(text: bytes, least: int) -> tuple[list[bytes], list[tuple[int, int]]]:
+    """The words, and (first word, end) of the lines that have at least `least` of them; split once."""
+    lines = [line.split() for line in text.split(b"\n")]
+    ends = list(accumulate(map(len, lines)))
+    return list(chain.from_iterable(lines)), [(end - len(line), end) for line, end in zip(lines, ends) if len(line) >= least]
 
 
 class Spans:
@@ -96,40 +94,50 @@ class Spans:
         return (self.sums[end] - self.sums[first]) * Spans._up[np.maximum(end, 1) - 1]
 
 
-def _digest(values: np.ndarray) -> tuple[int, int]:
-    """128 bits of a set of hashes, as two signed numbers."""
-    return int(values.sum(dtype=np.uint64)) - (1 << 63), int(np.bitwise_xor.reduce(mix(values))) - (1 << 63)
+def _sets(shingles: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct sorted shingles of all lines one after another, where each line's start, and 128 bits of each set as two signed numbers."""
+    values = np.concatenate(shingles)
+    ends = np.cumsum([len(own) for own in shingles])
+    for end, own in zip(ends, shingles):
+        values[end - len(own) : end].sort()
+    new = np.ones(len(values), bool)
+    new[1:] = values[1:] != values[:-1]
+    new[ends[:-1]] = True
+    starts = np.concatenate([[0], np.cumsum(new)[ends[:-1] - 1]])
+    values = values[new]
+    # Less 2^63, as signed numbers.
+    low, high = (x ^ np.uint64(1 << 63) for x in (np.add.reduceat(values, starts), np.bitwise_xor.reduceat(mix(values), starts)))
+    return values, starts, low.view(np.int64), high.view(np.int64)
 
 
-def _line_keys(lines: list[tuple], sets: list[np.ndarray]) -> pd.DataFrame:
-    starts = np.cumsum([0] + [len(found) for found in sets[:-1]])
-    keys = band_keys(np.concatenate(sets), starts).view(np.int64)
-    frame = pd.DataFrame(lines, columns=["row_id", "doc_id", "text_key", "first", "end", "low", "high"])
-    return frame.assign(keys=list(keys), firsts=None, names=None)
+def _line_keys(lines: list[tuple], shingles: list[np.ndarray]) -> pd.DataFrame:
+    values, starts, low, high = _sets(shingles)
+    keys = band_keys(values, starts).view(np.int64)
+    frame = pd.DataFrame(lines, columns=["row_id", "doc_id", "text_key", "first", "end"])
+    return frame.assign(low=low, high=high, keys=list(keys), firsts=None, names=None)
 
 
 def _paragraphs(batches: Iterator[pd.DataFrame], line_words: int, spread: int) -> Iterator[pd.DataFrame]:
     """A row per text with the places and 64-bit names of its windows, and one per line."""
     for batch in batches:
-        rows, lines, sets, held = [], [], [], 0
+        rows, lines, shingles, held = [], [], [], 0
         for row_id, doc_id, key, text in zip(batch["row_id"], batch["doc_id"], batch["text_key"], batch["text"]):
-            data = ascii_lower(text)
-            hashes = hash_words(data.split())
+            words, ranges = words_and_lines(ascii_lower(text), line_words)
+            hashes = hash_words(words)
             every = windows(hashes, SHINGLE)
             starts = anchors(every, len(hashes), spread)
             if len(starts):
                 names = mix(Spans(hashes)(starts, starts + WINDOW))
                 rows.append((row_id, doc_id, key, starts.astype(np.int32), names.view(np.int64)))
-            for first, end in line_ranges(data, line_words):
-                shingles = np.unique(every[first : end - SHINGLE + 1])
-                lines.append((row_id, doc_id, key, first, end, *_digest(shingles)))
-                sets.append(shingles)
-                held += len(shingles)
+            for first, end in ranges:
+                lines.append((row_id, doc_id, key, first, end))
+                shingles.append(every[first : end - SHINGLE + 1])
+                held += len(shingles[-1])
                 if held > 1 << 16:
-                    yield _line_keys(lines, sets)
-                    lines, sets, held = [], [], 0
+                    yield _line_keys(lines, shingles)
+                    lines, shingles, held = [], [], 0
         if lines:
-            yield _line_keys(lines, sets)
+            yield _line_keys(lines, shingles)
         if rows:
             frame = pd.DataFrame(rows, columns=["row_id", "doc_id", "text_key", "firsts", "names"])
             none = pd.Series([None] * len(rows), dtype="Int64")
@@ -138,14 +146,24 @@ def _paragraphs(batches: Iterator[pd.DataFrame], line_words: int, spread: int) -
 
 def _line_sets(batches: Iterator[pd.DataFrame], line_words: int) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        out = []
+        shingles, held = [], 0
         for text in batch["text"]:
-            data = ascii_lower(text)
-            every = windows(hash_words(data.split()), SHINGLE)
-            for first, end in line_ranges(data, line_words):
-                shingles = np.unique(every[first : end - SHINGLE + 1])
-                out.append((*_digest(shingles), shingles.view(np.int64)))
-        yield pd.DataFrame(out, columns=["low", "high", "shingles"])
+            words, ranges = words_and_lines(ascii_lower(text), line_words)
+            if not ranges:
+                continue
+            every = windows(hash_words(words), SHINGLE)
+            shingles += (every[first : end - SHINGLE + 1] for first, end in ranges)
+            held += len(every)
+            if held > 1 << 16:
+                yield _set_rows(shingles)
+                shingles, held = [], 0
+        if shingles:
+            yield _set_rows(shingles)
+
+
+def _set_rows(shingles: list[np.ndarray]) -> pd.DataFrame:
+    values, starts, low, high = _sets(shingles)
+    return pd.DataFrame({"low": low, "high": high, "shingles": np.split(values.view(np.int64), starts[1:])})
 
 
 def _salted(spans: np.ndarray, n: np.ndarray, right: np.ndarray) -> np.ndarray:

@@ -213,3 +213,33 @@ def test_agreement_of_tails_against_brute_force(spark, monkeypatch, meetings):
         assert (r.any, r.behind) == (reach, before)
         # Asked only where a piece reaches further than what came before.
         assert reach == before or r.every == every
+
+
+def test_lines_and_anchors_against_brute_force():
+    pick = random.Random(5)
+    text = "".join(pick.choice(["a", "b", "c", "\x0b", "\r", " ", " ", "\n", "\u00e4"]) for _ in range(4000)).encode()
+    words, ranges = paragraphs.words_and_lines(text, 3)
+    assert words == text.split()
+    want, at = [], 0
+    for line in text.split(b"\n"):
+        if len(line.split()) >= 3:
+            want.append((at, at + len(line.split())))
+        at += len(line.split())
+    assert ranges == want
+    # Values that repeat within a line, at its ends, and across lines.
+    lines = [np.array([pick.randrange(6) << 61 for _ in range(pick.randrange(1, 9))], np.uint64) for _ in range(200)]
+    values, starts, low, high = paragraphs._sets([line.copy() for line in lines])
+    ends = [*starts[1:], len(values)]
+    for line, start, end, a, b in zip(lines, starts, ends, low, high, strict=True):
+        each = sorted(set(map(int, line)))
+        assert list(map(int, values[start:end])) == each
+        assert int(a) == sum(each) % (1 << 64) - (1 << 63)
+        folded = 0
+        for x in paragraphs.mix(np.array(each, np.uint64)):
+            folded ^= int(x)
+        assert int(b) == folded - (1 << 63)
+    for n in (0, 1, 5, 31, 32, 33, 400):
+        found = np.array([pick.randrange(50) for _ in range(n)], np.uint64)
+        least = {min(range(k, min(k + 32, n)), key=lambda i: found[i]) for k in range(max(n - 31, min(n, 1)))}
+        n_words = n + 4
+        assert list(paragraphs.anchors(found, n_words, 32)) == sorted(k for k in least if k + paragraphs.WINDOW <= n_words)
