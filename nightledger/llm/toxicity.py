@@ -36,6 +36,8 @@ PRIOR = 0.25
 STEM = 5
 BINS = 200
 FOLDS, HELD_OUT, CALIBRATION = 4, 2, 1
+#: Texts whose evidence a task holds before it passes it on.
+PIECE = 512
 
 _TO_SPACE = str.maketrans({c: " " for c in ".,;:!?\"'()[]{}<>|*#$%&=+/\\_-"})
 
@@ -203,6 +205,17 @@ def isotonic(toxic: np.ndarray, rows: np.ndarray, little: float = 0.05) -> np.nd
     return np.repeat(level, width)
 
 
+def _scored(batches: Iterator[pd.DataFrame], index: BlockMaxIndex) -> Iterator[pd.DataFrame]:
+    """doc_id, vote and evidence of each text, at most PIECE texts at once."""
+    for whole in batches:
+        for start in range(0, len(whole), PIECE):
+            batch = whole.iloc[start : start + PIECE]
+            near = [index.nearest(*index.vector(terms(text))) for text in batch["text"]]
+            evidence = [[{"doc_id": int(index.ids[at]), "toxic": int(index.labels[at]), "cosine": c} for c, at in n] for n in near]
+            votes = [index.vote(n) for n in near]
+            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64").array, "vote": votes, "evidence": evidence})
+
+
 def toxicity_scores(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
     """One row per row of `docs` (doc_id, text): doc_id, held_out, score, predicted and evidence.
 
@@ -224,21 +237,14 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS
     # At most 2 * EXAMPLES examples over TERMS terms, whatever the input.
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        found = shared.value
-        for batch in batches:
-            near = [found.nearest(*found.vector(terms(text))) for text in batch["text"]]
-            evidence = [[{"doc_id": int(found.ids[at]), "toxic": int(found.labels[at]), "cosine": c} for c, at in n] for n in near]
-            yield pd.DataFrame(
-                {"doc_id": batch["doc_id"].astype("Int64"), "vote": [found.vote(n) for n in near], "evidence": evidence}
-            )
-
     schema = "doc_id long, vote double, evidence array<struct<doc_id:bigint,toxic:bigint,cosine:double>>"
-    votes = saved(texts.mapInPandas(score, schema), "votes")
+    voted = lambda rows: rows.mapInPandas(lambda batches: _scored(batches, shared.value), schema)
+    # The calibrating quarter is scored twice, so that nothing is stored of the others.
+    votes = voted(texts)
     cell = F.least(F.floor(F.col("vote") * BINS), F.lit(BINS - 1)).cast("int")
     marks = labels.filter("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
     marks = marks.agg(F.max("toxic").cast("int").alias("toxic")).filter(fold() == CALIBRATION)
-    bins = votes.join(marks, "doc_id").groupBy(cell.alias("cell")).agg(F.sum("toxic").alias("toxic"), F.count("*").alias("n")).collect()
+    bins = voted(texts.filter(fold() == CALIBRATION)).join(marks, "doc_id").groupBy(cell.alias("cell")).agg(F.sum("toxic").alias("toxic"), F.count("*").alias("n")).collect()
     toxic, rows = np.zeros(BINS), np.zeros(BINS)
     for row in bins:
         toxic[row["cell"]], rows[row["cell"]] = row["toxic"], row["n"]

@@ -1,10 +1,13 @@
 import random
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
+import pandas as pd
 
 from llm_fixtures import clashing, documents, labels  # noqa: F401
-from nightledger.llm.toxicity import BlockMaxIndex, isotonic, terms, toxicity_scores
+from nightledger.llm.common import shared_folder
+from nightledger.llm.toxicity import PIECE, BlockMaxIndex, _scored, isotonic, terms, toxicity_scores
 
 BAD = ["vile", "rotten", "grobian", "canalla"]
 WORDS = [f"{a}{b}{c}" for a in "bdfgklm" for b in "aeiou" for c in ("n", "r", "st", "mp")]
@@ -80,3 +83,14 @@ def test_terms_and_isotonic():
     assert terms("Loser! loser, Worthless") == {"loser": 2, "worthless": 1, "worth*": 1}
     levels = isotonic(np.array([0, 5, 1, 9.0]), np.array([10, 10, 10, 10.0]))
     assert list(levels) == sorted(levels) and len(levels) == 4
+
+
+def test_evidence_is_passed_on_in_pieces_and_not_stored(spark, documents, labels):
+    index = BlockMaxIndex({w: 1.0 for w in BAD}, [(k, 1, Counter([BAD[k % 4]])) for k in range(40)], 0.5, (1.0, 1.0))
+    batch = pd.DataFrame({"doc_id": range(2 * PIECE + 3), "text": ["vile text"] * (2 * PIECE + 3)})
+    pieces = list(_scored(iter([batch]), index))
+    assert [len(p) for p in pieces] == [PIECE, PIECE, 3] and [k for p in pieces for k in p["doc_id"]] == list(batch["doc_id"])
+    rows, marks = table(300)
+    assert toxicity_scores(documents(rows), labels(marks)).count() == 300
+    folder = Path(shared_folder(spark).removeprefix("file://").removeprefix("file:"), "llm")
+    assert list(folder.glob("examples-*")) and not list(folder.glob("votes-*"))
