@@ -21,10 +21,11 @@ def ascii_lower(text: str | None) -> bytes:
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values under which any input bit moves all output bits."""
     x = x ^ (x >> np.uint64(30))
-    x = x * np.uint64(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> np.uint64(27))
-    x = x * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def hash_words(tokens: list[bytes], seed: int = 0) -> np.ndarray:
@@ -37,10 +38,12 @@ def windows(hashes: np.ndarray, size: int) -> np.ndarray:
     n = len(hashes) - size + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    total = np.zeros(n, np.uint64)
-    for i in range(size):
-        total = total * np.uint64(0x9E3779B97F4A7C15) + hashes[i : i + n]
-    return mix(total + np.uint64(size))
+    total = hashes[:n].copy()
+    for i in range(1, size):
+        total *= np.uint64(0x9E3779B97F4A7C15)
+        total += hashes[i : i + n]
+    total += np.uint64(size)
+    return mix(total)
 
 
 def shingle_set(tokens: list[bytes], size: int = SHINGLE) -> np.ndarray:

@@ -65,7 +65,10 @@ def anchors(found: np.ndarray, n_words: int, spread: int) -> np.ndarray:
         left, right = least[:-step], least[step:]
         starts, have = np.where(left <= right, starts[:-step], starts[step:]), have + step
         least = np.minimum(left, right)
-    starts = starts[np.diff(starts, prepend=-1) > 0]
+    if len(starts):
+        new = np.ones(len(starts), bool)
+        np.not_equal(starts[1:], starts[:-1], out=new[1:])
+        starts = starts[new]
     return starts[starts + WINDOW <= n_words]
 
 

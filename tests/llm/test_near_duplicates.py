@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from llm_fixtures import clashing, documents  # noqa: F401
-from nightledger.llm import linking, paragraphs
+from nightledger.llm import hashing, linking, paragraphs
 from nightledger.llm.common import Scratch
 from nightledger.llm.components import components
 from nightledger.llm.hashing import shingle_set
@@ -243,3 +243,16 @@ def test_lines_and_anchors_against_brute_force():
         least = {min(range(k, min(k + 32, n)), key=lambda i: found[i]) for k in range(max(n - 31, min(n, 1)))}
         n_words = n + 4
         assert list(paragraphs.anchors(found, n_words, 32)) == sorted(k for k in least if k + paragraphs.WINDOW <= n_words)
+
+
+def test_hashes_leave_their_input_as_it_is():
+    hashes = np.array([3, 5, 3, 5, 8, 1 << 63, 2, 7], np.uint64)
+    before, mask = hashes.copy(), (1 << 64) - 1
+    found = hashing.windows(hashes, 3)
+    mixed = hashing.mix(hashes)
+    assert (hashes == before).all() and len(mixed) == len(hashes) and not (mixed == before).any()
+    base = 0x9E3779B97F4A7C15
+    plain = [((int(a) * base + int(b)) * base + int(c) + 3) & mask for a, b, c in zip(before, before[1:], before[2:])]
+    assert list(found) == list(hashing.mix(np.array(plain, np.uint64)))
+    # Of equal shingles in reach of each other the first one counts.
+    assert list(paragraphs.anchors(np.array([4, 4, 9, 4] + [9] * 40, np.uint64), 100, 3)) == [0, 1, 3, *range(4, 42)]
