@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 from nightledger.llm.common import saved
 
+#: Bytes of an edge.
+EDGE = 16
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
+
+def _star(edges: DataFrame, large: bool, size: int) -> DataFrame:
     """Hang the larger (large star) or the smaller (small star) neighbours of each node on its smallest neighbour.
 
     The smallest neighbours are written out before the join, so that both of its sides
@@ -17,7 +20,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     around = edges
     if large:
         around = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = saved(around.groupBy("u").agg(F.min("v").alias("w")), "star").select("u", F.least("u", "w").alias("w"))
+    least = saved(around.groupBy("u").agg(F.min("v").alias("w")), "star", size).select("u", F.least("u", "w").alias("w"))
     hung = around.join(least, "u")
     if large:
         hung = hung.filter("v > u").select(F.col("v").alias("u"), F.col("w").alias("v"))
@@ -35,17 +38,19 @@ def _settled(edges: DataFrame) -> bool:
     return both.filter("below > 1 or (below > 0 and above > 0)").isEmpty()
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
-    """(id, component) of all nodes in edges (a, b): the smallest node that can be reached.
+def components(edges: DataFrame, rounds: int = 60, most: int | None = None) -> DataFrame:
+    """(id, component) of all nodes in edges (a, b), of which there are `most` at most: the smallest node that can be reached.
 
     Each round writes its edges out. It ends when each node hangs on the smallest
     node of its component; the rounds needed grow with the logarithm of the longest path.
     """
     down = edges.filter("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    now = saved(down.distinct(), "edges")
+    now = saved(down.distinct(), "edges", most if most is None else EDGE * most)
+    # A large star takes each edge from both ends; neither star adds edges but the one of a node to its smallest neighbour.
+    size = 4 * EDGE * now.count()
     for _ in range(rounds):
         if _settled(now):
             stars = now.select(F.col("u").alias("id"), F.col("v").alias("component"))
             return stars.union(stars.select(F.col("component").alias("id"), "component").distinct())
-        now = saved(_star(_star(now, large=True), large=False), "edges")
+        now = saved(_star(_star(now, large=True, size=size), large=False, size=size), "edges", size)
     raise RuntimeError("components did not settle")

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nightledger.llm.common import saved, small_batches, text_key
+from nightledger.llm.common import in_few, saved, small_batches, text_key
 from nightledger.llm.components import components
 from nightledger.llm.hashing import SHINGLE, ascii_lower, mix, shingle_set
 from nightledger.llm.linking import crowded, link_buckets
@@ -28,6 +28,8 @@ NUMERATOR, DENOMINATOR = 85, 100
 MISSED = 2.5e-7
 #: Pairs whose estimate is this many standard deviations below the threshold are not verified.
 DEVIATIONS = 6.0
+#: Bytes of a row without registers, about.
+ROW = 64
 
 
 def bands_for(similarity: float) -> int:
@@ -145,30 +147,34 @@ def near_duplicates(docs: DataFrame, part: int = NUMERATOR, whole: int = DENOMIN
         ),
         "sketches",
     )
+    most, sketch = sketches.count(), ROW + 2 * buckets_of_set + 8 * buckets_of_set // ROWS
     known = sketches.filter("doc_id is not null and n_shingles > 0")
     # Documents with equal sets are one class; its smallest doc_id stands for it.
     name = ["n_shingles", "low", "high"]
-    classes = saved(known.groupBy(*name).agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")), "equal-sets")
+    classes = saved(known.groupBy(*name).agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")), "equal-sets", ROW * most)
     firsts = known.join(classes, name).filter("doc_id = first_id").select("doc_id", "keys", "registers")
-    firsts = saved(firsts, "class-sketches")
+    firsts = saved(firsts, "class-sketches", sketch * most)
     buckets = firsts.select(F.explode("keys").alias("bucket"), F.col("doc_id").alias("id"))
 
-    members = crowded(buckets)
-    candidates = saved(members.select(F.col("id").alias("doc_id")).distinct(), "candidates")
+    members = crowded(buckets, buckets_of_set // ROWS * most)
+    candidates = saved(members.select(F.col("id").alias("doc_id")).distinct(), "candidates", ROW * most)
     sets = saved(
         texts.join(candidates, "doc_id", "left_semi").drop("text_key").mapInPandas(_sets, "doc_id long, shingles array<long>"), "sets"
     )
-    small = saved(firsts.join(candidates, "doc_id", "left_semi").select("doc_id", "registers"), "candidate-registers")
+    small = saved(firsts.join(candidates, "doc_id", "left_semi").select("doc_id", "registers"), "candidate-registers", sketch * most)
 
-    def likely(pairs: DataFrame) -> DataFrame:
-        return (
+    def likely(pairs: DataFrame, count: int) -> DataFrame:
+        both = (
             pairs.join(small.select(F.col("doc_id").alias("a"), F.col("registers").alias("registers_a")), "a")
             .join(small.select(F.col("doc_id").alias("b"), F.col("registers").alias("registers_b")), "b")
+        )
+        return (
+            in_few(both, 2 * sketch * count)
             .mapInPandas(lambda batches: _estimates(batches, bound, buckets_of_set), "a long, b long").distinct()
         )
 
     by_id = sets.select(F.col("doc_id").alias("id"), "shingles")
-    linked = saved(link_buckets(members, by_id, part, whole, likely), "linked-classes")
+    linked = link_buckets(members, by_id, part, whole, likely)
     # A repeated doc_id ties the classes of its texts together.
     ids = known.join(classes, name).select("doc_id", "first_id")
     ties = ids.filter("doc_id != first_id").distinct()
@@ -183,7 +189,7 @@ def near_duplicates(docs: DataFrame, part: int = NUMERATOR, whole: int = DENOMIN
         )
         found = components(edges).select(F.col("id").alias("doc_id"), "component")
     return (
-        sketches.select("doc_id", "text_key", "n_shingles").join(saved(found.distinct(), "found"), "doc_id", "left")
+        sketches.select("doc_id", "text_key", "n_shingles").join(saved(found.distinct(), "found", ROW * most), "doc_id", "left")
         .withColumn("component_id", F.coalesce("component", "doc_id"))
         .select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"), "text_key")
     )

@@ -12,6 +12,7 @@ members of different components that are left and fit each other.
 from __future__ import annotations
 
 from collections.abc import Callable
+from math import log
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,14 +26,20 @@ LARGE = 16
 RATIO = 1.05
 #: Pivots per bucket and class of each round; in the last, all that is left.
 PIVOTS = (1, 8, None)
+#: Bytes of a member's row in any of the tables, of a pair and of the two sets of one, about.
+ROW, PAIR, SETS = 100, 16, 8192
 
 
-def crowded(buckets: DataFrame) -> DataFrame:
-    """Rows (bucket, id, n, weight) of buckets with two ids or more: n members, and all members of the id's buckets."""
-    sizes = saved(buckets.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1"), "bucket-sizes")
-    members = saved(buckets.join(sizes, "bucket").groupBy("bucket", "id").agg(F.max("n").alias("n")), "sized-members")
+def crowded(buckets: DataFrame, most: int | None = None) -> DataFrame:
+    """Rows (bucket, id, n, weight) of buckets with two ids or more: n members, and all members of the id's buckets.
+
+    `buckets` has `most` rows at most, if that is known.
+    """
+    size = most if most is None else ROW * most
+    sizes = saved(buckets.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1"), "bucket-sizes", size)
+    members = saved(buckets.join(sizes, "bucket").groupBy("bucket", "id").agg(F.max("n").alias("n")), "sized-members", size)
     weights = members.groupBy("id").agg(F.sum("n").alias("weight"))
-    return saved(members.join(weights, "id"), "members")
+    return saved(members.join(weights, "id"), "members", ROW * members.count())
 
 
 def _sized(members: DataFrame, sets: DataFrame, part: int, whole: int) -> DataFrame:
@@ -45,7 +52,7 @@ def _sized(members: DataFrame, sets: DataFrame, part: int, whole: int) -> DataFr
     heavy = members.filter(F.col("n") >= LARGE).select("id").distinct()
     elements = sets.join(heavy, "id", "left_semi").select("id", F.explode("shingles").alias("element"))
     own = elements.groupBy("element").agg(F.count("*").alias("times"), F.min("id").alias("id")).filter("times = 1")
-    single = saved(own.groupBy("id").agg(F.count("*").alias("single")), "single-elements")
+    single = own.groupBy("id").agg(F.count("*").alias("single"))
     u = F.when(F.col("n") >= LARGE, F.coalesce("single", F.lit(0))).otherwise(F.lit(0))
     most = F.floor((whole * (F.col("size") - u) - part * u) / part)
     return members.join(sizes, "id").join(single, "id", "left").select(
@@ -64,8 +71,8 @@ def _sides(sized: DataFrame, part: int, whole: int) -> DataFrame:
     return smaller.union(larger)
 
 
-def _open(rows: DataFrame) -> DataFrame:
-    """The rows whose bucket and class hold a fitting row of the other side in another component."""
+def _open(rows: DataFrame, most: int) -> DataFrame:
+    """The rows, `most` at most, whose bucket and class hold a fitting row of the other side in another component."""
     small, large = F.col("small"), ~F.col("small")
     facts = rows.groupBy("bucket", "cell").agg(
         *(
@@ -78,54 +85,62 @@ def _open(rows: DataFrame) -> DataFrame:
         (F.col(f"min_size_{other}") <= F.col("most")) & (F.col("size") <= F.col(f"max_most_{other}"))
         & ((F.col(f"min_component_{other}") != F.col("component")) | (F.col(f"max_component_{other}") != F.col("component")))
     )
-    kept = rows.join(saved(facts, "bucket-facts"), ["bucket", "cell"]).filter((small & fits("large")) | (large & fits("small")))
-    return saved(kept.select(*rows.columns), "open-members")
+    kept = rows.join(saved(facts, "bucket-facts", ROW * most), ["bucket", "cell"]).filter((small & fits("large")) | (large & fits("small")))
+    return saved(kept.select(*rows.columns), "open-members", ROW * most)
 
 
 def link_buckets(
-    members: DataFrame, sets: DataFrame, part: int, whole: int, likely: Callable[[DataFrame], DataFrame] | None = None
+    members: DataFrame, sets: DataFrame, part: int, whole: int, likely: Callable[[DataFrame, int], DataFrame] | None = None
 ) -> DataFrame:
     """(id, component) of all ids that links connect; ids without a link are not in it.
 
     `members` as `crowded` gives them, ids long and not null; `sets` has (id, shingles)
     for all of them. Sets in a common bucket are linked if whole * intersection >= part * union.
-    `likely` may take out distinct pairs (a, b) that cannot be.
+    `likely` may take out distinct pairs (a, b), so many, that cannot be.
     """
-    sized = saved(_sized(members, sets, part, whole), "sized")
-    left = _open(_sides(sized, part, whole).withColumn("component", F.col("id")))
-    rounds, stars, compared = list(PIVOTS), None, None
-    while rounds and not left.isEmpty():
+    most = members.count()
+    sized = saved(_sized(members, sets, part, whole), "sized", 4 * ROW * most)
+    # One row as the smaller set, and one for each class between a size and the least that fits it.
+    classes = 3 + int(log(whole / part) / log(RATIO))
+    left = _open(_sides(sized, part, whole).withColumn("component", F.col("id")), classes * most)
+    rounds, stars, compared, edges = list(PIVOTS), None, None, 0
+    while rounds and (rows := left.count()):
         pivots = rounds.pop(0)
         if pivots is None:
-            left = _referred(left, members, compared)
-        pairs = _pairs(left, pivots, part, whole)
+            left = _referred(left, members, compared, most, edges)
+        pairs = _pairs(left, pivots, part, whole, rows)
+        pairs = saved(pairs, "pairs", pivots and PAIR * pivots * rows)
+        count = pairs.count()
         if likely is not None and pivots is not None:
-            pairs = likely(saved(pairs, "pairs"))
-        now = saved(_compared(saved(pairs, "likely-pairs"), sets), "compared")
+            pairs = saved(likely(pairs, count), "likely-pairs", PAIR * count)
+            count = pairs.count()
+        edges += count
+        now = saved(_compared(pairs, sets), "compared", SETS * count)
         compared = now if compared is None else compared.union(now)
         links = now.filter(whole * F.col("common") >= part * (F.col("size_a") + F.col("size_b") - F.col("common")))
         links = links.select("a", "b")
         if stars is not None:
             links = links.union(stars.filter("id != component").select(F.col("component").alias("a"), F.col("id").alias("b")))
-        stars = saved(components(links), "components")
+        # A link for each pair that was compared, at most, and both ends of it.
+        stars = saved(components(links, most=edges), "components", 2 * PAIR * edges)
         if rounds:
             rest = left.drop("component").join(stars, "id", "left")
-            left = _open(rest.withColumn("component", F.coalesce("component", "id")).select(*left.columns))
+            left = _open(rest.withColumn("component", F.coalesce("component", "id")).select(*left.columns), rows)
     if stars is None:
         return members.select("id", F.col("id").alias("component")).limit(0)
     return stars
 
 
-def _referred(left: DataFrame, members: DataFrame, compared: DataFrame) -> DataFrame:
+def _referred(left: DataFrame, members: DataFrame, compared: DataFrame, most: int, pairs: int) -> DataFrame:
     """Adds all buckets of the id; and ref, the weightiest id that it has been compared with, or itself, and how many elements differ.
 
-    A ref that is in no large bucket may hold elements counted as single; then none are.
+    There are `most` members and so many `pairs` compared. A ref that is in no large bucket may hold elements counted as single; then none are.
     """
     shared = members.groupBy("id").agg(
         F.array_sort(F.collect_set("bucket")).alias("all"), F.max("weight").alias("own_weight"),
         (F.max("n") >= LARGE).alias("heavy"),
     )
-    shared = saved(shared, "shared-buckets")
+    shared = saved(shared, "shared-buckets", ROW * most)
     differ = (F.col("size_a") + F.col("size_b") - 2 * F.col("common")).alias("differ")
     both = compared.select(F.col("a").alias("id"), F.col("b").alias("other"), differ).union(
         compared.select(F.col("b").alias("id"), F.col("a").alias("other"), differ)
@@ -135,12 +150,12 @@ def _referred(left: DataFrame, members: DataFrame, compared: DataFrame) -> DataF
     every = both.join(weights, "other").select("id", "other", "differ", "weight", "heavy").union(own)
     refs = every.groupBy("id").agg(F.max(F.struct("weight", "other", "differ", "heavy")).alias("r"))
     refs = refs.select("id", F.col("r.other").alias("ref"), F.col("r.differ").alias("differ"), F.col("r.heavy").alias("heavy"))
-    found = left.join(shared.select("id", "all"), "id").join(saved(refs, "references"), "id")
+    found = left.join(shared.select("id", "all"), "id").join(saved(refs, "references", ROW * (most + 2 * pairs)), "id")
     return found.withColumn("single", F.when(F.col("heavy"), F.col("single")).otherwise(F.lit(0))).drop("heavy")
 
 
-def _pairs(left: DataFrame, pivots: int | None, part: int, whole: int) -> DataFrame:
-    """Distinct pairs (a, b) of different components that fit: of `pivots` members of each bucket and class, or of all."""
+def _pairs(left: DataFrame, pivots: int | None, part: int, whole: int, most: int) -> DataFrame:
+    """Distinct pairs (a, b) of different components that fit: of `pivots` members of each bucket and class, or of all; `left` has `most` rows."""
     pivot = lambda names: [F.col(name).alias(f"pivot_{name.removeprefix('p.')}") for name in names]
     own = ["id", "component", "size", "most"]
     fits = (
@@ -159,7 +174,7 @@ def _pairs(left: DataFrame, pivots: int | None, part: int, whole: int) -> DataFr
         slot = F.pmod(F.xxhash64("id", F.lit(11)), F.lit(pivots))
         order = F.struct((-F.col("weight")).alias("w"), F.xxhash64("id").alias("h"), *own)
         found = small.groupBy("bucket", "cell", slot.alias("slot")).agg(F.min(order).alias("p"))
-        chosen = saved(found.select("bucket", "cell", *pivot([f"p.{name}" for name in own])), "pivots")
+        chosen = saved(found.select("bucket", "cell", *pivot([f"p.{name}" for name in own])), "pivots", ROW * most)
     pairs = large.join(chosen, ["bucket", "cell"]).filter(fits)
     return pairs.select(F.least("id", "pivot_id").alias("a"), F.greatest("id", "pivot_id").alias("b")).distinct()
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from llm_fixtures import clashing, documents  # noqa: F401
 from nightledger.llm import hashing, linking, paragraphs
-from nightledger.llm.common import Scratch
+from nightledger.llm.common import FILE, Scratch, saved
 from nightledger.llm.components import components
 from nightledger.llm.hashing import shingle_set
 from nightledger.llm.hyperminhash import BUCKETS, chance_agreement, near_duplicates, registers
@@ -119,6 +119,38 @@ def test_components(spark):
     assert found == want
 
 
+@pytest.fixture
+def many_partitions(spark):
+    names = ["spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled"]
+    before = [spark.conf.get(name) for name in names]
+    for name, value in zip(names, ["100", "false"]):
+        spark.conf.set(name, value)
+    yield
+    for name, value in zip(names, before):
+        spark.conf.set(name, value)
+
+
+def test_small_tables_take_few_files(spark, many_partitions):
+    edges = [(i, i + 1) for i in range(0, 2000, 2)]
+    found = components(spark.createDataFrame(edges, "a long, b long"), most=len(edges))
+    assert found.count() == 2000
+    assert len(found.inputFiles()) <= spark.sparkContext.defaultParallelism
+    buckets = [(k, i) for k in range(300) for i in (2 * k, 2 * k + 1)]
+    members = linking.crowded(spark.createDataFrame(buckets, "bucket long, id long"))
+    assert len(members.inputFiles()) <= spark.sparkContext.defaultParallelism
+    sets = spark.createDataFrame([(i, list(range(i // 2, i // 2 + 20))) for i in range(600)], "id long, shingles array<long>")
+    stars = linking.link_buckets(members, sets, 85, 100)
+    assert {r.id: r.component for r in stars.collect()} == {i: i - i % 2 for i in range(600)}
+    assert len(stars.inputFiles()) <= spark.sparkContext.defaultParallelism
+
+
+def test_rows_worth_more_than_a_file_keep_their_partitions(spark):
+    rows = spark.range(0, 1000, 1, 50)
+    files = lambda size: len(saved(rows, "some", size).inputFiles())
+    cores = spark.sparkContext.defaultParallelism
+    assert [files(None), files(0), files(40 * FILE), files(80 * FILE)] == [50, min(cores, 50), max(cores, 40), 50]
+
+
 def passages(seed=2):
     pick = random.Random(seed)
     text = lambda n: [pick.choice(WORDS) + pick.choice(WORDS) for _ in range(n)]
