@@ -69,11 +69,15 @@ def rob_bulk(spark, sf_dir):
 
 def rob_bulk_default_start(spark, sf_dir):
     """Every date from the first load on, added up per date and hotel."""
-    report = rob.rob_range(*_rob_tables(spark, sf_dir), None, LOG_END)
-    return report.groupBy("as_of_date", "hotel_code").agg(
-        F.count(F.lit(1)).alias("report_rows"),
-        F.sum("rob").alias("rob"),
-        F.sum("room_revenue").cast(schemas.ROB_REVENUE).alias("room_revenue"),
+    report = rob.rob_range(*_rob_tables(spark, sf_dir), None, LOG_END, by_quarter=True)
+    return (
+        report.groupBy("quarter", "as_of_date", "hotel_code")
+        .agg(
+            F.count(F.lit(1)).alias("report_rows"),
+            F.sum("rob").alias("rob"),
+            F.sum("room_revenue").cast(schemas.ROB_REVENUE).alias("room_revenue"),
+        )
+        .drop("quarter")
     )
 
 

@@ -97,8 +97,9 @@ def _decorated(totals, hotels, segments):
     return with_segments(with_hotels(totals, hotels, "hotel_id"), segments)
 
 
-def _report(totals):
+def _report(totals, *more):
     return totals.select(
+        *more,
         "as_of_date",
         "stay_date",
         "hotel_id",
@@ -139,7 +140,7 @@ def stays_report(stays, hotels, bridge, segments, day):
     )
 
 
-def rob_range(reservations, hotels, bridge, segments, start, end):
+def rob_range(reservations, hotels, bridge, segments, start, end, by_quarter=False):
     """Rooms on books as of every date from `start` to `end`, in one plan.
 
     `start` None begins at the first load. A stay night adds to all dates from
@@ -148,9 +149,16 @@ def rob_range(reservations, hotels, bridge, segments, start, end):
     after the last. Running sums of the changes over the dates give the report. Changes move once
     for both sums, a quarter of a hotel's nights to one task: so a task has all of what a later sum by date
     and hotel adds up, and passes on one row for it.
+
+    `by_quarter` is for ranges much longer than stays are on books, where a night has hardly more stays than one and
+    sums are no smaller than what they add up: see `quarter_totals`. The rows are the same, with the first day of
+    their date's `quarter` before them; what is added up by quarter, date and hotel code does not move again.
     """
     first, end = as_day(start), given_day(end)
-    changes = night_changes(booked_stays_in_range(reservations, first, end), bridge, end)
+    stays = booked_stays_in_range(reservations, first, end)
+    if by_quarter:
+        return reported(quarter_totals(stays, hotels, bridge, segments, end), "quarter")
+    changes = night_changes(stays, bridge, end)
     keys = [*REPORT_KEYS, "quarter"]
     per_night = (
         _decorated(changes, hotels, segments)
@@ -162,6 +170,51 @@ def rob_range(reservations, hotels, bridge, segments, start, end):
     return reported(running_totals(per_night, keys, end).filter(F.col("stays") > 0))
 
 
+def quarter_totals(stays, hotels, bridge, segments, end):
+    """Totals by REPORT_KEYS for every as_of_date, a `quarter` of those dates and a hotel code in one task.
+
+    Stays move there, cut at the ends of quarters, and become nights and changes where they are then. A quarter begins with
+    the stays that are on books, and a night ends with its date, so that only stays that are replaced before take from it.
+    """
+    keys = [*REPORT_KEYS, "quarter"]
+    placed = _decorated(with_segment_ids(stays, bridge), hotels, segments).drop("bkg_num", "src_sgmnt_id")
+    dealt = stay_quarters(placed).repartition("hotel_code", "quarter")
+    last_day = F.least("stay_date", F.date_sub(F.add_months("quarter", 3), 1), F.lit(end))
+    begins = F.struct(F.col("valid_from").alias("day"), F.lit(1).alias("sign"))
+    ends = F.struct(F.date_add("valid_to", 1).alias("day"), F.lit(-1).alias("sign"))
+    per_night = (
+        stay_nights(dealt, not_before=F.col("valid_from"))
+        .withColumn("change", F.explode(F.when(F.col("valid_to") < last_day, F.array(begins, ends)).otherwise(F.array(begins))))
+        .groupBy(*keys, F.col("change.day").alias("day"))
+        .agg(*_sums_of_changes(F.col("change.sign")))
+    )
+    return running_totals(per_night, keys, last_day).filter(F.col("stays") > 0)
+
+
+def stay_quarters(stays):
+    """Stays cut at the ends of quarters: one row per `quarter` with days that see the stay, `valid_from` to `valid_to`."""
+    last = F.least("valid_to", F.date_sub("departure", 1))
+    quarters = F.sequence(F.trunc("valid_from", "quarter"), F.trunc(last, "quarter"), F.expr("interval 3 months"))
+    return (
+        stays.filter(F.col("valid_from") <= last)
+        .withColumn("quarter", F.explode(quarters))
+        .withColumn("valid_from", F.greatest("valid_from", "quarter"))
+        .withColumn("valid_to", F.least("valid_to", F.date_sub(F.add_months("quarter", 3), 1)))
+    )
+
+
+def _sums_of_changes(sign):
+    return [
+        F.sum(sign * rooms()).alias("rob"),
+        F.sum(sign * revenue()).alias("room_revenue"),
+        # How many stays are on books, and how many of them have rooms and a rate:
+        # sums over none are absent or NULL, not zero.
+        F.sum(sign).alias("stays"),
+        F.sum(F.when(rooms().isNotNull(), sign)).alias("with_rooms"),
+        F.sum(F.when(revenue().isNotNull(), sign)).alias("with_revenue"),
+    ]
+
+
 def night_changes(stays, bridge, end):
     """Per night, booking keys and day: what that day adds to, and takes from, the totals of the night.
 
@@ -181,20 +234,12 @@ def night_changes(stays, bridge, end):
         .withColumn("day", F.col("change.day"))
         .filter(F.col("day") <= F.lit(end))
         .groupBy("stay_date", "day", *BOOKING_KEYS)
-        .agg(
-            F.sum(sign * rooms()).alias("rob"),
-            F.sum(sign * revenue()).alias("room_revenue"),
-            # How many stays are on books, and how many of them have rooms and a rate:
-            # sums over none are absent or NULL, not zero.
-            F.sum(sign).alias("stays"),
-            F.sum(F.when(rooms().isNotNull(), sign)).alias("with_rooms"),
-            F.sum(F.when(revenue().isNotNull(), sign)).alias("with_revenue"),
-        )
+        .agg(*_sums_of_changes(sign))
     )
 
 
 def running_totals(changes, keys, end):
-    """The changes added up, for every `as_of_date` from the first change of `keys` to `end`."""
+    """The changes added up, for every `as_of_date` from the first change of `keys` to `end`, a date or a column of `keys`."""
     by_day = Window.partitionBy(*keys).orderBy("day")
     so_far = by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     running = changes.select(
@@ -208,11 +253,12 @@ def running_totals(changes, keys, end):
     return running.withColumn("as_of_date", days).drop("day", "next_day")
 
 
-def reported(totals):
-    """The report of totals by REPORT_KEYS and as_of_date."""
+def reported(totals, *more):
+    """The report of totals by REPORT_KEYS and as_of_date, with `more` columns of them before it."""
     return _report(
         totals.withColumn("rob", F.when(F.col("with_rooms") > 0, F.col("rob")))
-        .withColumn("room_revenue", F.when(F.col("with_revenue") > 0, F.col("room_revenue")))
+        .withColumn("room_revenue", F.when(F.col("with_revenue") > 0, F.col("room_revenue"))),
+        *more,
     )
 
 

@@ -102,6 +102,13 @@ def test_changes_of_a_range_move_once_for_both_sums(spark, no_broadcast, capsys)
     assert keys.count("hotel_id, quarter") == 1 and not any("hotel_code" in key for key in keys)
 
 
+def test_stays_of_all_dates_move_before_they_are_expanded(spark, no_broadcast, capsys):
+    """Neither nights nor changes of them move, and what is added up by date and hotel code is there already."""
+    keys = keys_of(plan_of(QUERIES["rob_bulk_default_start"](spark, SF_DIR), capsys))
+    assert keys.count("bkg_num") == 1 and keys.count("hotel_code, quarter") == 1
+    assert not any("stay_date" in key or "as_of_date" in key for key in keys)
+
+
 def test_scans_are_pruned_and_filtered(spark, capsys):
     plan = plan_of(rob(*rob_tables(spark), DAY), capsys)
     assert "LessThanOrEqual(l_shipdate,1998-06-01T00:00)" in plan

@@ -68,6 +68,40 @@ def test_range_without_start_begins_at_the_first_load(tables):
     assert brute.as_dict(rob_range(*frames, None, end)) == brute.as_dict(rob_range(*frames, first, end))
 
 
+def later(rows, days):
+    return [tuple(v + timedelta(days=days) if isinstance(v, date) else v for v in row) for row in rows]
+
+
+@pytest.mark.parametrize("hot", ["none", "all"])
+@pytest.mark.parametrize("seed", range(2))
+def test_a_range_by_quarter(tables, seed, hot, monkeypatch):
+    """Stays cut at the ends of quarters give the same report, with stays longer than a quarter too."""
+    if hot == "all":
+        monkeypatch.setattr(versions, "SAMPLE", 1.0)
+        monkeypatch.setattr(versions, "HOT_ROWS", 0)
+    log, *others = random_tables(seed + 20)
+    # Days from 23 March on: a quarter ends in the middle of them, another one in some long stays.
+    raw = [later(log, 22) + [row[:3] + (row[3] + timedelta(days=120),) + row[4:] for row in later(log[:10], 22)], *others]
+    days = [FIRST + timedelta(days=22 + n) for n in range(16)]
+    expected = {}
+    for day in days:
+        expected.update(brute.rob(*raw, day))
+    report = rob_range(*tables(*raw), days[0], days[-1], by_quarter=True).cache()
+    assert report.columns[0] == "quarter" and brute.as_dict(report) == expected
+    assert {(row["quarter"], row["as_of_date"].month) for row in report.collect()} == {(date(2025, 1, 1), 3), (date(2025, 4, 1), 4)}
+
+
+def test_a_stay_on_books_for_years_by_quarter(tables):
+    booked = (1, datetime(2024, 11, 20, 9), date(2025, 12, 30), date(2026, 1, 3), 0, 1, Decimal("10.00"), None, 7, 5, 2)
+    frames = tables([booked, (*booked[:1], datetime(2026, 1, 1), *booked[2:10], 3)])
+    start, end = date(2024, 11, 1), date(2026, 2, 1)
+    report = brute.as_dict(rob_range(*frames, None, end, by_quarter=True))
+    assert report == brute.as_dict(rob_range(*frames, start, end))
+    # Four nights each day until they pass one by one; three rooms from the second version on.
+    assert len(report) == 4 * (date(2025, 12, 30) - date(2024, 11, 21)).days + 4 + 3 + 2 + 1
+    assert {key[0] for key, sums in report.items() if sums[0] == 3} == {date(2026, 1, 1), date(2026, 1, 2)}
+
+
 def test_same_results_without_broadcasts(spark, tables):
     raw = random_tables(12)
     frames = tables(*raw)
